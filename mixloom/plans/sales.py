@@ -153,14 +153,14 @@ def monthly_revenue(t: Tables) -> DataFrame:
 
 
 @query(
-    "k4_top_states",
+    "k4_top_places",
     with_views(
         "customer_",
-        """SELECT state, count(*) AS n_rows FROM customer_ GROUP BY 1 ORDER BY n_rows DESC, state LIMIT 10""",
+        """SELECT city, count(*) AS n_rows FROM customer_ GROUP BY 1 ORDER BY n_rows DESC, city LIMIT 10""",
     ),
 )
-def top_states(t: Tables) -> DataFrame:
-    return descriptive.top_values(views.customer(t), "state", 10)
+def top_places(t: Tables) -> DataFrame:
+    return descriptive.top_values(views.customer(t), "city", 10)
 
 
 @query(

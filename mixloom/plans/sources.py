@@ -36,7 +36,8 @@ def read_csv_inferred(t: Tables) -> DataFrame:
 
 @query(
     "s2_read_csv_contract",
-    """SELECT count(*) AS n_rows, count(*) FILTER (s_suppkey % 7 = 0) AS n_corrupt, count(*) AS n_keyed FROM supplier""",
+    """SELECT count(*) AS n_rows, count(*) FILTER (s_suppkey % 7 = 0) AS n_corrupt, count(*) AS n_s_suppkey,
+              count(*) FILTER (s_suppkey % 7 <> 0) AS n_s_acctbal FROM supplier""",
 )
 def read_csv_contract(t: Tables) -> DataFrame:
     """Every seventh balance is unreadable; the contract turns it into NULL and the row is counted."""
@@ -45,7 +46,7 @@ def read_csv_contract(t: Tables) -> DataFrame:
     )
     path = _as_csv(damaged, _folder(t))
     contract = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_acctbal", T.DoubleType())])
-    return readers.corrupt_count(readers.read_csv(t.spark, path, contract, keep_corrupt=True), "s_suppkey")
+    return readers.corrupt_count(readers.read_csv(t.spark, path, contract, keep_corrupt=True))
 
 
 def _schema_rows(t: Tables, schema: T.StructType) -> DataFrame:

@@ -36,17 +36,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt:
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # A pruned column is not parsed, so its malformed cells would go unseen.
-        .option("columnPruning", not keep_corrupt)
         .csv(path)
     )
 
 
-def corrupt_count(df: DataFrame, key: str) -> DataFrame:
-    """Rows read and rows with a malformed cell, one row of result."""
-    # A query over the corrupt column alone is refused, so a data column goes along.
-    return df.select(F.col(key), F.col(CORRUPT).isNotNull().cast("long").alias("bad")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("bad").alias("n_corrupt"), F.count(key).alias("n_keyed")
+def corrupt_count(df: DataFrame) -> DataFrame:
+    """Rows read, rows with a malformed cell, and readable values per column; one row of result.
+
+    Only cells of columns a query uses are converted, so every column is counted here.
+    """
+    columns = [c for c in df.columns if c != CORRUPT]
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(CORRUPT).alias("n_corrupt"),
+        *[F.count(c).alias(f"n_{c}") for c in columns],
     )
 
 
