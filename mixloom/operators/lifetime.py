@@ -163,59 +163,63 @@ def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     return GammaGamma(*_maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, [1.0] * 3, penalty))
 
 
-def _maximise(data, names, weight, row_loglik, start, penalty, max_steps=60, tolerance=1e-9):
+def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tolerance=1e-7):
     """Newton ascent on the logarithms of positive parameters.
 
-    One Spark job evaluates a whole batch of parameter vectors, held in a broadcast
-    table of some ten rows, which gives value, gradient and curvature at once; a second
-    job tries several step lengths. Only these sums reach the driver.
+    One Spark job evaluates a batch of parameter vectors, held in a broadcast table of
+    some ten rows, which gives value, gradient and curvature at once. Only these sums
+    reach the driver. A step that does not improve is halved.
     """
     spark, k = data.sparkSession, len(names)
-    schema = "id int, " + ", ".join(f"{n} double" for n in names)
+    columns = {n: F.col(n) for n in names}
+    corners = list(itertools.combinations(range(k), 2))
+    h = 1e-3
+    unit = np.eye(k) * h
 
-    def objective(points):
-        table = spark.createDataFrame(
-            [(i, *[float(math.exp(v)) for v in p]) for i, p in enumerate(points)], schema
-        )
-        columns = {n: F.col(n) for n in names}
-        rows = (
+    def evaluate(at):
+        """Penalised mean negative log-likelihood with its gradient and curvature."""
+        points = [at, *[at + u for u in unit], *[at - u for u in unit]]
+        points += [at + unit[i] + unit[j] for i, j in corners]
+        theta = np.exp(np.array(points))
+        rows = ", ".join(f"({i}, {', '.join(f'{v!r}D' for v in p.tolist())})" for i, p in enumerate(theta))
+        table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(id, {', '.join(names)})")
+        sums = (
             data.crossJoin(F.broadcast(table))
             .groupBy("id")
             .agg(F.sum(weight * row_loglik(columns)).alias("ll"), F.sum(weight).alias("w"))
             .collect()
         )
-        values = np.full(len(points), np.inf)
-        for row in rows:
+        f = np.full(len(points), np.inf)
+        for row in sums:
             if row["ll"] is not None and math.isfinite(row["ll"]):
-                theta = np.exp(points[row["id"]])
-                values[row["id"]] = -row["ll"] / row["w"] + penalty * float((theta * theta).sum())
-        return values
-
-    h = 1e-3
-    at = np.log(np.asarray(start, dtype=float))
-    unit = np.eye(k) * h
-    corners = list(itertools.combinations(range(k), 2))
-    for _ in range(max_steps):
-        points = [at, *[at + u for u in unit], *[at - u for u in unit]]
-        points += [at + unit[i] + unit[j] for i, j in corners]
-        f = objective(points)
+                p = theta[row["id"]]
+                f[row["id"]] = -row["ll"] / row["w"] + penalty * float((p * p).sum())
         here, plus, minus = f[0], f[1 : k + 1], f[k + 1 : 2 * k + 1]
-        gradient = (plus - minus) / (2 * h)
-        hessian = np.diag((plus - 2 * here + minus) / h**2)
+        curvature = np.diag((plus - 2 * here + minus) / h**2)
         for n, (i, j) in enumerate(corners):
-            hessian[i, j] = hessian[j, i] = (f[2 * k + 1 + n] - plus[i] - plus[j] + here) / h**2
-        # Make the curvature positive, so that the step always descends.
-        values, vectors = np.linalg.eigh(hessian)
-        step = -vectors @ ((vectors.T @ gradient) / np.maximum(np.abs(values), 1e-4))
-        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-        lengths = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
-        tried = objective([at + s * step for s in lengths])
-        best = int(np.argmin(tried))
-        if not tried[best] < here - tolerance * max(1.0, abs(here)):
-            if tried[best] < here:
-                at = at + lengths[best] * step
-            break
-        at = at + lengths[best] * step
+            curvature[i, j] = curvature[j, i] = (f[2 * k + 1 + n] - plus[i] - plus[j] + here) / h**2
+        return here, (plus - minus) / (2 * h), curvature
+
+    at = np.log(np.asarray(start, dtype=float))
+    here, gradient, curvature = evaluate(at)
+    step, jobs = None, 1
+    while jobs < max_jobs and math.isfinite(here):
+        if step is None:
+            # Positive curvature makes the step a descent; its length is limited.
+            values, vectors = np.linalg.eigh(curvature)
+            step = -vectors @ ((vectors.T @ gradient) / np.maximum(np.abs(values), 1e-4))
+            step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        tried = evaluate(at + step)
+        jobs += 1
+        if tried[0] < here:
+            gained = here - tried[0]
+            at, (here, gradient, curvature), step = at + step, tried, None
+            if gained < tolerance * max(1.0, abs(here)):
+                break
+        else:
+            step = step / 2
+            if np.abs(step).max() < 1e-8:
+                break
     return [float(v) for v in np.exp(at)]
 
 

@@ -32,11 +32,11 @@ _dense_sql = ", ".join(f"round({c}, 6) AS {c}" for c in _dense)
     "j6_densify",
     with_views(
         "dense_panel",
-        f"SELECT GEO, {_day}, {_dense_sql}, CLICK_CLICKS, SIGNUP_CLICKS, VIEW_CLICKS, ALL_PURCHASES FROM dense_panel",
+        f"SELECT GEO, {_day}, {_dense_sql}, CLICK_CLICKS, SIGNUP_CLICKS, VIEW_CLICKS FROM dense_panel",
     ),
 )
 def densify(t: Tables) -> DataFrame:
-    columns = ["GEO", "DATE_DAY", *_dense, "CLICK_CLICKS", "SIGNUP_CLICKS", "VIEW_CLICKS", "ALL_PURCHASES"]
+    columns = ["GEO", "DATE_DAY", *_dense, "CLICK_CLICKS", "SIGNUP_CLICKS", "VIEW_CLICKS"]
     return rounded(as_text(views.dense_panel(t).select(*columns), "DATE_DAY"), 6, *_dense)
 
 
