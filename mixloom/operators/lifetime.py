@@ -163,7 +163,7 @@ def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     return GammaGamma(*_maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, [1.0] * 3, penalty))
 
 
-def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tolerance=1e-7):
+def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tolerance=1e-6):
     """Newton ascent on the logarithms of positive parameters.
 
     One Spark job evaluates a batch of parameter vectors, held in a broadcast table of
@@ -171,7 +171,8 @@ def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tole
     reach the driver. A step that does not improve is halved.
     """
     spark, k = data.sparkSession, len(names)
-    columns = {n: F.col(n) for n in names}
+    # Built once: the parameters are columns, so every job shares the expression and its compiled code.
+    total = F.sum(weight * row_loglik({n: F.col(n) for n in names})).alias("ll")
     corners = list(itertools.combinations(range(k), 2))
     h = 1e-3
     unit = np.eye(k) * h
@@ -186,7 +187,7 @@ def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tole
         sums = (
             data.crossJoin(F.broadcast(table))
             .groupBy("id")
-            .agg(F.sum(weight * row_loglik(columns)).alias("ll"), F.sum(weight).alias("w"))
+            .agg(total, F.sum(weight).alias("w"))
             .collect()
         )
         f = np.full(len(points), np.inf)

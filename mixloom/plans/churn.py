@@ -1 +1,411 @@
-"""Pending."""
+"""Queries over churn features, models and their evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from mixloom.operators import churn as churn_ops
+from mixloom.operators import evaluation
+from mixloom.operators.scoring import CHURN_DAYS
+from mixloom.plans import views
+from mixloom.plans.registry import Tables, query, rounded
+from mixloom.plans.views import with_views
+from mixloom.sources.staging import stage
+
+NUMERIC = ("n_orders", "spend", "balance", "tenure", "urgent_orders")
+CATEGORICAL = ("segment", "nation")
+LABEL = "churn"
+
+
+def features(t: Tables) -> DataFrame:
+    """Churn records: one row per customer with orders; recency makes the label and is left out.
+
+    Segments of customers in debt and spend of customers with few orders are unknown (NULL).
+    """
+    day = F.col("o_orderdate").cast("date")
+    last = t.orders.agg(F.date_add(F.max(day), 1).alias("snapshot"))
+    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum("o_totalprice").alias("total"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent_orders"),
+    )
+    return (
+        per_customer.crossJoin(F.broadcast(last))
+        .join(t.customer, "c_custkey")
+        .select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("n_orders").cast("double").alias("n_orders"),
+            F.when(F.col("n_orders") > 5, F.col("total")).alias("spend"),
+            F.col("c_acctbal").alias("balance"),
+            F.datediff("snapshot", "first_day").cast("double").alias("tenure"),
+            F.col("urgent_orders").cast("double").alias("urgent_orders"),
+            F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment"),
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("nation"),
+            (F.datediff("snapshot", "last_day") > CHURN_DAYS).cast("int").alias(LABEL),
+            ((F.col("c_custkey") * 37 % 101) / F.lit(100.0)).alias("score"),
+        )
+    )
+
+
+FEATURES_SQL = """
+    f AS (SELECT c_custkey AS customer_id, CAST(n AS DOUBLE) AS n_orders, CASE WHEN n > 5 THEN total END AS spend,
+                 c_acctbal AS balance, CAST(s - first_day AS DOUBLE) AS tenure, CAST(urgent AS DOUBLE) AS urgent_orders,
+                 CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment, 'N' || c_nationkey AS nation,
+                 CAST(s - last_day > 90 AS INTEGER) AS churn, (c_custkey * 37 % 101) / 100.0::DOUBLE AS score,
+                 CASE WHEN CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '#420'), 1, 8) AS BIGINT)
+                           / 4294967296.0::DOUBLE < 0.8 THEN 'train' ELSE 'test' END AS split
+          FROM (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total, min(CAST(o_orderdate AS DATE)) AS first_day,
+                       max(CAST(o_orderdate AS DATE)) AS last_day,
+                       count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY 1)
+          JOIN customer ON c_custkey = o_custkey, (SELECT max(CAST(o_orderdate AS DATE)) + 1 AS s FROM orders))"""
+
+
+def _sql(body: str) -> str:
+    """``body`` after the feature rows; a body that starts with a comma adds expressions."""
+    return f"WITH {FEATURES_SQL} {body}"
+
+
+def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    marked = stage(churn_ops.hash_split(features(t), "customer_id"))
+    return marked.filter("split = 'train'").drop("split"), marked.filter("split = 'test'").drop("split")
+
+
+def _predicted(df: DataFrame) -> DataFrame:
+    return df.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query(
+    "l0_churn_features",
+    _sql(
+        """SELECT customer_id, n_orders, round(spend, 2) AS spend, balance, tenure, urgent_orders, segment, nation, churn
+           FROM f"""
+    ),
+)
+def churn_features(t: Tables) -> DataFrame:
+    return rounded(features(t).drop("score"), 2, "spend")
+
+
+@query(
+    "a25_class_counts",
+    _sql(
+        """SELECT churn, count(*) AS n_rows, round((SELECT count(*) FROM f) / (2.0::DOUBLE * count(*)), 6) AS weight
+           FROM f GROUP BY 1"""
+    ),
+)
+def class_counts(t: Tables) -> DataFrame:
+    return rounded(evaluation.class_counts(features(t), LABEL), 6, "weight")
+
+
+@query(
+    "a25_class_weights",
+    _sql(
+        """SELECT customer_id, churn, round((SELECT count(*) FROM f) / (2.0::DOUBLE * n), 6) AS class_weight
+           FROM f JOIN (SELECT churn, count(*) AS n FROM f GROUP BY 1) USING (churn)"""
+    ),
+)
+def class_weights(t: Tables) -> DataFrame:
+    weighted = evaluation.class_weights(stage(features(t).select("customer_id", LABEL)), LABEL)
+    return rounded(weighted.select("customer_id", LABEL, "class_weight"), 6, "class_weight")
+
+
+_modes = " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{c}' AS column_name, {c} AS mode_value, count(*) AS n_rows FROM f
+                       WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c} ORDER BY n_rows DESC, {c} LIMIT 1)"""
+    for c in CATEGORICAL
+)
+
+
+@query("a26_mode_per_column", _sql(_modes))
+def mode_per_column(t: Tables) -> DataFrame:
+    return evaluation.mode_per_column(_split(t)[0], CATEGORICAL)
+
+
+@query(
+    "p11_fill_map",
+    _sql(f""", m AS (SELECT mode_value FROM ({_modes}) WHERE column_name = 'segment')
+        SELECT customer_id, coalesce(segment, mode_value) AS segment FROM f, m"""),
+)
+def fill_map(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    modes = churn_ops.fill_modes(train, ["segment"])
+    return churn_ops.fill_map(train.unionByName(test), modes).select("customer_id", "segment")
+
+
+@query(
+    "l2_impute_mode",
+    _sql(f""", m AS (SELECT mode_value FROM ({_modes}) WHERE column_name = 'segment')
+        SELECT coalesce(segment, mode_value) AS segment, count(*) AS n_rows FROM f, m WHERE split = 'test' GROUP BY 1"""),
+)
+def impute_mode(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    filled = churn_ops.fill_map(test, churn_ops.fill_modes(train, ["segment"]))
+    return filled.groupBy("segment").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "l1_impute_median",
+    _sql(
+        """, m AS (SELECT quantile_cont(spend, 0.5) AS v FROM f WHERE split = 'train')
+           SELECT customer_id, round(coalesce(spend, v), 4) AS spend FROM f, m WHERE split = 'test'"""
+    ),
+)
+def impute_median(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    return rounded(churn_ops.impute_median(train, test, ["spend"]).select("customer_id", "spend"), 4, "spend")
+
+
+@query(
+    "l3_standardize",
+    _sql(
+        """, m AS (SELECT avg(balance) AS bm, stddev_samp(balance) AS bs, avg(tenure) AS tm, stddev_samp(tenure) AS ts
+                   FROM f WHERE split = 'train')
+           SELECT customer_id, round((balance - bm) / bs, 6) AS balance, round((tenure - tm) / ts, 6) AS tenure
+           FROM f, m WHERE split = 'test'"""
+    ),
+)
+def standardize(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    columns = ["balance", "tenure"]
+    return rounded(churn_ops.standardize(train, test, columns).select("customer_id", *columns), 6, *columns)
+
+
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
+
+
+@query(
+    "l5_one_hot",
+    _sql(
+        "SELECT customer_id, "
+        + ", ".join(f"CAST(coalesce(segment = '{c}', FALSE) AS INTEGER) AS segment_{c}" for c in SEGMENTS)
+        + " FROM f"
+    ),
+)
+def one_hot(t: Tables) -> DataFrame:
+    """Segments outside the known list act as unseen categories: all zeros."""
+    return churn_ops.one_hot(features(t).select("customer_id", "segment"), "segment", SEGMENTS).drop("segment")
+
+
+@query("l4_index_strings")
+def index_strings(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
+    indexed = model.transform(_filled(train, test))
+    return indexed.groupBy("segment", "segment_indexed").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _filled(train: DataFrame, df: DataFrame) -> DataFrame:
+    return churn_ops.fill_map(df, churn_ops.fill_modes(train, CATEGORICAL))
+
+
+@query("l6_assemble_features")
+def assemble_features(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
+    first = churn_ops.vector_element("features", 0)
+    return model.transform(_filled(train, test)).select("customer_id", first.alias("scaled_orders"))
+
+
+@query(
+    "a27_confusion_matrix",
+    _sql(
+        """SELECT count(*) FILTER (churn = 0 AND score < 0.5) AS tn, count(*) FILTER (churn = 0 AND score >= 0.5) AS fp,
+                  count(*) FILTER (churn = 1 AND score < 0.5) AS fn, count(*) FILTER (churn = 1 AND score >= 0.5) AS tp
+           FROM f"""
+    ),
+)
+def confusion_matrix(t: Tables) -> DataFrame:
+    return evaluation.confusion_matrix(_predicted(features(t)), LABEL, "predicted")
+
+
+@query(
+    "a28_classification_metrics",
+    _sql(
+        """, c AS (SELECT count(*) FILTER (churn = 0 AND score < 0.5) AS tn, count(*) FILTER (churn = 0 AND score >= 0.5) AS fp,
+                  count(*) FILTER (churn = 1 AND score < 0.5) AS fn, count(*) FILTER (churn = 1 AND score >= 0.5) AS tp FROM f)
+           SELECT round((tp + tn) / CAST(tp + tn + fp + fn AS DOUBLE), 6) AS accuracy,
+                  round(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0), 6) AS precision,
+                  round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 6) AS recall,
+                  round(coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0), 6) AS f1 FROM c"""
+    ),
+)
+def classification_metrics(t: Tables) -> DataFrame:
+    metrics = evaluation.classification_metrics(_predicted(features(t)), LABEL, "predicted")
+    return rounded(metrics, 6, "accuracy", "precision", "recall", "f1")
+
+
+_scan = """, g AS (SELECT score, count(*) FILTER (churn = 1) AS pos, count(*) FILTER (churn = 0) AS neg FROM f GROUP BY 1),
+    scan AS (SELECT score, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
+                    CAST(sum(pos) OVER () AS BIGINT) AS n_pos, CAST(sum(neg) OVER () AS BIGINT) AS n_neg
+             FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))"""
+
+
+def _threshold_scan(t: Tables) -> DataFrame:
+    return evaluation.threshold_scan(features(t), LABEL, "score")
+
+
+@query(
+    "a29_roc_auc",
+    _sql(f"{_scan} SELECT round(sum(pos * (n_neg - fp + neg / 2.0::DOUBLE)) / max(CAST(n_pos AS DOUBLE) * n_neg), 6) AS auc FROM scan"),
+)
+def roc_auc(t: Tables) -> DataFrame:
+    return rounded(evaluation.roc_auc(_threshold_scan(t)), 6, "auc")
+
+
+@query(
+    "w2_roc_curve",
+    _sql(
+        f"""{_scan} SELECT score AS threshold, round(fp / CAST(n_neg AS DOUBLE), 6) AS fpr,
+                           round(tp / CAST(n_pos AS DOUBLE), 6) AS tpr FROM scan"""
+    ),
+)
+def roc_curve(t: Tables) -> DataFrame:
+    return rounded(evaluation.roc_curve(_threshold_scan(t)), 6, "fpr", "tpr")
+
+
+@query(
+    "w3_pr_curve",
+    _sql(
+        f"""{_scan} SELECT score AS threshold, round(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 6) AS precision,
+                           round(tp / CAST(n_pos AS DOUBLE), 6) AS recall FROM scan"""
+    ),
+)
+def pr_curve(t: Tables) -> DataFrame:
+    return rounded(evaluation.pr_curve(_threshold_scan(t)), 6, "precision", "recall")
+
+
+COST_FP, COST_FN = 2.0, 1.0
+
+
+@query(
+    "l16_cost_threshold",
+    _sql(
+        f"""{_scan} SELECT score AS threshold, fp * {COST_FP}::DOUBLE + (n_pos - tp) * {COST_FN}::DOUBLE AS cost FROM scan
+            ORDER BY cost, threshold DESC LIMIT 1"""
+    ),
+)
+def cost_threshold(t: Tables) -> DataFrame:
+    return evaluation.cost_threshold(_threshold_scan(t), COST_FP, COST_FN)
+
+
+@query(
+    "l16_cost_curve",
+    _sql(
+        f"""{_scan} SELECT score AS threshold, tp, fp, fp * {COST_FP}::DOUBLE + (n_pos - tp) * {COST_FN}::DOUBLE AS cost
+            FROM scan"""
+    ),
+)
+def cost_curve(t: Tables) -> DataFrame:
+    return evaluation.cost_curve(_threshold_scan(t), COST_FP, COST_FN)
+
+
+@query(
+    "l14_evaluate",
+    _sql(
+        f"""{_scan}, c AS (SELECT count(*) FILTER (churn = 0 AND score < 0.5) AS tn,
+                  count(*) FILTER (churn = 0 AND score >= 0.5) AS fp, count(*) FILTER (churn = 1 AND score < 0.5) AS fn,
+                  count(*) FILTER (churn = 1 AND score >= 0.5) AS tp FROM f)
+            SELECT tn, fp, fn, tp, round((tp + tn) / CAST(tp + tn + fp + fn AS DOUBLE), 6) AS accuracy,
+                   round(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0), 6) AS precision,
+                   round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 6) AS recall,
+                   round(coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0), 6) AS f1,
+                   (SELECT round(sum(pos * (n_neg - fp + neg / 2.0::DOUBLE)) / max(CAST(n_pos AS DOUBLE) * n_neg), 6) FROM scan) AS auc
+            FROM c"""
+    ),
+)
+def evaluate(t: Tables) -> DataFrame:
+    scored = stage(_predicted(features(t)).select(LABEL, "score", "predicted"))
+    auc = evaluation.roc_auc(evaluation.threshold_scan(scored, LABEL, "score"))
+    matrix = evaluation.confusion_matrix(scored, LABEL, "predicted")
+    metrics = evaluation.classification_metrics(scored, LABEL, "predicted")
+    report = matrix.crossJoin(metrics).crossJoin(auc)
+    return rounded(report, 6, "accuracy", "precision", "recall", "f1", "auc")
+
+
+# ---------------------------------------------------------------- trained models
+
+
+def _fitted(t: Tables, classifier):
+    train, test = _split(t)
+    train, test = _filled(train, train), _filled(train, test)
+    return churn_ops.train(train, LABEL, NUMERIC, CATEGORICAL, classifier), train, test
+
+
+def _scored(t: Tables, classifier) -> DataFrame:
+    model, _, test = _fitted(t, classifier)
+    return churn_ops.predict(model, test).select("customer_id", LABEL, "predicted_class", "predicted_probability")
+
+
+@query("l7_preprocessor")
+def preprocessor(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
+    return model.transform(_filled(train, test)).groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg(churn_ops.vector_element("features", 1)).alias("mean_scaled_spend")
+    )
+
+
+@query("l8_random_forest")
+def random_forest(t: Tables) -> DataFrame:
+    return _scored(t, churn_ops.random_forest(LABEL, trees=20, depth=5))
+
+
+@query("l9_logistic_regression")
+def logistic_regression(t: Tables) -> DataFrame:
+    return _scored(t, churn_ops.logistic_regression(LABEL))
+
+
+@query("l10_gradient_boosting")
+def gradient_boosting(t: Tables) -> DataFrame:
+    return _scored(t, churn_ops.gradient_boosting(LABEL, rounds=10, depth=3))
+
+
+@query("l12_predict_all_rows")
+def predict_all_rows(t: Tables) -> DataFrame:
+    """Train, predict, and put train and test rows together again."""
+    model, train, test = _fitted(t, churn_ops.logistic_regression(LABEL))
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return churn_ops.predict(model, both).select("customer_id", "split", "predicted_class", "predicted_probability")
+
+
+@query("l13_select_best")
+def select_best(t: Tables) -> DataFrame:
+    train, test = _split(t)
+    train, test = _filled(train, train), _filled(train, test)
+    candidates = {
+        "random_forest": churn_ops.random_forest(LABEL, trees=20, depth=5),
+        "logistic_regression": churn_ops.logistic_regression(LABEL),
+    }
+    models = {n: churn_ops.train(train, LABEL, NUMERIC, CATEGORICAL, c) for n, c in candidates.items()}
+    best, scores = churn_ops.select_best(models, test, LABEL)
+    rows = [(name, float(auc), name == best) for name, auc in scores.items()]
+    return t.spark.createDataFrame(rows, "model string, auc double, is_best boolean")
+
+
+@query("l15_feature_importance")
+def feature_importance(t: Tables) -> DataFrame:
+    model, train, _ = _fitted(t, churn_ops.random_forest(LABEL, trees=20, depth=5))
+    return churn_ops.feature_importance(model, train, NUMERIC, CATEGORICAL)
+
+
+@query("k5_top_features")
+def top_features(t: Tables) -> DataFrame:
+    model, train, _ = _fitted(t, churn_ops.logistic_regression(LABEL))
+    importance = churn_ops.feature_importance(model, train, NUMERIC, CATEGORICAL)
+    return importance.orderBy(F.desc("importance"), "feature").limit(5)
+
+
+@query(
+    "w10_share_of_top_n",
+    with_views(
+        "main_items",
+        """WITH b AS (SELECT brand, count(*) AS n FROM main_items GROUP BY 1)
+           SELECT round((SELECT sum(n) FROM (SELECT n FROM b ORDER BY n DESC, brand LIMIT 5)) * 100.0::DOUBLE / sum(n), 6)
+                  AS top_share_pct FROM b""",
+    ),
+)
+def share_of_top_n(t: Tables) -> DataFrame:
+    brands = views.main_items(t).groupBy("brand").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(evaluation.share_of_top_n(stage(brands), "brand", "n", 5), 6, "top_share_pct")
