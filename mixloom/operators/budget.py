@@ -68,9 +68,11 @@ def strategy_best_mroi(metrics: DataFrame, share: float = EXTRA_SHARE) -> DataFr
     return _multipliers(budget.withColumn("new_spend", F.col("spend_total") + extra))
 
 
-def strategy_saturation_aware(metrics: DataFrame, share: float = EXTRA_SHARE, cut: float = SATURATED_CUT) -> DataFrame:
+def strategy_saturation_aware(
+    metrics: DataFrame, share: float = EXTRA_SHARE, cut: float = SATURATED_CUT, level: float = SATURATION_LEVEL
+) -> DataFrame:
     """Cut saturated channels; the freed and the extra budget go to the others by marginal return."""
-    saturated = F.col("mroi_median") < SATURATION_LEVEL
+    saturated = F.col("mroi_median") < level
     sums = metrics.agg(
         (F.sum("spend_total") * F.lit(share)).alias("_extra"),
         F.coalesce(F.sum(F.when(saturated, F.col("spend_total"))) * F.lit(cut), F.lit(0.0)).alias("_freed"),
