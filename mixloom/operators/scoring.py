@@ -87,11 +87,13 @@ def assign_score(df: DataFrame, column: str, bins: int, out: str, ascending: boo
 
 
 def rfm(raw: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """R, F and M digits, the segment text and their mean score."""
-    base = stage(raw)
-    scores = score_columns(base, {"recency": True, "frequency": False, "monetary": False}, bins, small_rows)
+    """R, F and M digits, the segment text and their mean score.
+
+    ``raw`` is read twice, for the edges and for the scores; ``rfm_raw`` returns a staged table.
+    """
+    scores = score_columns(raw, {"recency": True, "frequency": False, "monetary": False}, bins, small_rows)
     r, f, m = (scores[c][0] for c in ("recency", "frequency", "monetary"))
-    digits = base.withColumns({"r_score": r, "f_score": f, "m_score": m})
+    digits = raw.withColumns({"r_score": r, "f_score": f, "m_score": m})
     return digits.withColumns(
         {
             "rfm_segment": F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]),
@@ -193,13 +195,12 @@ def active_customers(clv: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
 
 def value_tiers(clv: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Bronze to Platinum by value quantiles, with a rank (1 = Platinum) for ordering."""
-    base = stage(clv)
-    edges = bin_edges(base, ["clv"], TIER_PROBS, small_rows)["clv"]
+    edges = bin_edges(clv, ["clv"], TIER_PROBS, small_rows)["clv"]
     if len(set(edges)) != len(edges):
         raise ValueError("tier edges repeat; the value column is too concentrated for the tiers")
     level = quantile_score("clv", edges)
     names = F.array(*[F.lit(t) for t in TIERS])
-    return base.withColumn("tier", F.element_at(names, level)).withColumn(
+    return clv.withColumn("tier", F.element_at(names, level)).withColumn(
         "tier_rank", (F.lit(len(TIERS) + 1) - level).cast("int")
     )
 

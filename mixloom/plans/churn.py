@@ -338,6 +338,22 @@ def _scored(t: Tables, classifier) -> DataFrame:
     return churn_ops.predict(model, test).select("customer_id", LABEL, "predicted_class", "predicted_probability")
 
 
+@query("p18_vector_element")
+def vector_element(t: Tables) -> DataFrame:
+    model, _, test = _fitted(t, churn_ops.logistic_regression(LABEL))
+    positive = churn_ops.vector_element("probability", 1)
+    return model.transform(test).select("customer_id", positive.alias("positive_probability"))
+
+
+@query("l11_train")
+def train(t: Tables) -> DataFrame:
+    """The coefficients of a fitted pipeline by feature name."""
+    model, rows, _ = _fitted(t, churn_ops.logistic_regression(LABEL))
+    names = churn_ops.feature_names(model, rows, NUMERIC, CATEGORICAL)
+    values = model.stages[-1].coefficients.toArray()
+    return t.spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, coefficient double")
+
+
 @query("l7_preprocessor")
 def preprocessor(t: Tables) -> DataFrame:
     train, test = _split(t)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions import dates, scalars
-from mixloom.operators import keys, quality
+from mixloom.operators import descriptive, keys, quality
 from mixloom.operators import panel as panel_ops
 from mixloom.plans import views
 from mixloom.plans.registry import Tables, as_text, query, rounded
@@ -99,7 +99,7 @@ RFM_METRICS = ("recency", "frequency", "monetary")
 
 @query("v8_describe_rfm", with_views("rfm_raw", _describe_sql("rfm_raw", RFM_METRICS)))
 def describe_rfm(t: Tables) -> DataFrame:
-    return rounded(quality.describe(stage(views.rfm_raw(t)), RFM_METRICS), 4, *STATS)
+    return rounded(quality.describe(views.rfm_raw(t), RFM_METRICS), 4, *STATS)
 
 
 LINE_METRICS = ("l_quantity", "l_extendedprice", "l_discount")
@@ -174,7 +174,20 @@ def split_features_target(t: Tables) -> DataFrame:
     )
 
 
-@query("p2_column_types")
+_order_roles = [
+    ("categorical", "o_orderstatus"),
+    ("categorical", "o_orderpriority"),
+    ("numeric", "o_totalprice"),
+    ("date", "o_orderdate"),
+]
+
+
+@query(
+    "p2_column_types",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS role, '{c}' AS column_name, count({c}) AS n_values FROM orders" for k, c in _order_roles
+    ),
+)
 def column_types(t: Tables) -> DataFrame:
     df = t.orders
     roles = quality.column_types(df, exclude=["o_orderkey", "o_custkey"])
@@ -268,16 +281,23 @@ def safe_ratio(t: Tables) -> DataFrame:
     return rounded(as_text(panel, "DATE_DAY"), 6, "discount_rate")
 
 
-# Left of each channel below the limit; the limit lies inside the observed range of shares.
+# Inside the observed range of shares, so that some channels stay and some go.
 SPARSE_SHARE = 0.10
 
 
-@query("p9_drop_sparse_channels")
+_sparse = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, round(sum(total), 2) AS total_spend FROM (
+          SELECT avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END) AS missing, coalesce(sum({c}), 0) AS total
+          FROM raw_panel GROUP BY TERRITORY_NAME) HAVING max(missing) <= {SPARSE_SHARE}"""
+    for c in PANEL_SPENDS
+)
+
+
+@query("p9_drop_sparse_channels", with_views("raw_panel", _sparse))
 def drop_sparse_channels(t: Tables) -> DataFrame:
     kept = panel_ops.drop_sparse_channels(views.raw_panel(t), "TERRITORY_NAME", SPARSE_SHARE)
-    return kept.agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.round(F.sum(c), 2).alias(c) for c in panel_ops.spend_columns(kept)]
-    )
+    totals = descriptive.column_totals(kept, panel_ops.spend_columns(kept), "column_name", "total_spend")
+    return rounded(totals, 2, "total_spend")
 
 
 _filled = ", ".join(f"round(coalesce({c}, 0), 4) AS {c}" for c in PANEL_SPENDS)

@@ -99,7 +99,7 @@ def rfm_score_numeric(t: Tables) -> DataFrame:
     ),
 )
 def nearest_segment(t: Tables) -> DataFrame:
-    return rounded(scoring.segment_mapping(stage(views.rfm(t)), MIN_SEGMENT), 6, "distance")
+    return rounded(scoring.segment_mapping(views.rfm(t), MIN_SEGMENT), 6, "distance")
 
 
 @query(
@@ -107,7 +107,7 @@ def nearest_segment(t: Tables) -> DataFrame:
     with_views("pruned", "SELECT customer_id, rfm_segment, pruned_segment FROM pruned"),
 )
 def mapping_replace(t: Tables) -> DataFrame:
-    pruned = scoring.prune_segments(stage(views.rfm(t)), MIN_SEGMENT)
+    pruned = scoring.prune_segments(views.rfm(t), MIN_SEGMENT)
     return pruned.select("customer_id", "rfm_segment", "pruned_segment")
 
 
@@ -121,7 +121,7 @@ def mapping_replace(t: Tables) -> DataFrame:
     ),
 )
 def prune_segments(t: Tables) -> DataFrame:
-    return scoring.pruning_summary(scoring.prune_segments(stage(views.rfm(t)), MIN_SEGMENT))
+    return scoring.pruning_summary(scoring.prune_segments(views.rfm(t), MIN_SEGMENT))
 
 
 @query(
@@ -134,7 +134,7 @@ def rfm_score_levels(t: Tables) -> DataFrame:
 
 @query("b6_rfm_score_describe", with_views("rfm", _describe_sql("rfm", ["rfm_score"])))
 def rfm_score_describe(t: Tables) -> DataFrame:
-    return rounded(quality.describe(stage(views.rfm(t)), ["rfm_score"]), 4, *STATS)
+    return rounded(quality.describe(views.rfm(t), ["rfm_score"]), 4, *STATS)
 
 
 @query(
@@ -201,7 +201,7 @@ def top_customers_clv(t: Tables) -> DataFrame:
 
 @query("a22_histogram_clv", with_views("clv", histogram_sql("clv", "clv", 40)))
 def histogram_clv(t: Tables) -> DataFrame:
-    return rounded(descriptive.histogram(stage(views.clv(t)), "clv", 40), 4, "bin_low", "bin_high")
+    return rounded(descriptive.histogram(views.clv(t), "clv", 40), 4, "bin_low", "bin_high")
 
 
 @query(

@@ -419,7 +419,7 @@ SQL.update(
                    {", ".join(f"count(*) FILTER (event_type = '{c.lower()}') AS n_{c}" for c in CHANNELS)}
             FROM events GROUP BY ALL""",
         "draw_inputs": f"""
-            SELECT t.geo, d AS draw, t.r - coalesce(c.r, 0) AS r,
+            SELECT t.geo, CAST(d AS INTEGER) AS draw, t.r - coalesce(c.r, 0) AS r,
                    {", ".join(f"t.n_{c} - coalesce(c.n_{c}, 0) AS n_{c}" for c in CHANNELS)},
                    (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS n_days
             FROM (SELECT geo, sum(r) AS r, {", ".join(f"CAST(sum(n_{c}) AS BIGINT) AS n_{c}" for c in CHANNELS)}
