@@ -182,7 +182,7 @@ def holdout_mask(df: DataFrame, geo: str = "GEO", day: str = "DATE_DAY", ratio:
 def densify(df: DataFrame, geo="GEO", day="DATE_DAY") -> DataFrame:
     """A row for every geo and day; time controls by day, other numbers 0 where there was no row.
 
-    ``df`` is read several times and should be staged.
+    ``df`` is read several times; it should come from a staged table.
     """
     controls = [c for c in TIME_CONTROLS if c in df.columns]
     full = geo_day_grid(df, geo, day).join(df.drop(*controls), [geo, day], "left")

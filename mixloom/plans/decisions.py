@@ -596,7 +596,7 @@ REPLICATES = 50
 
 def _fit(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     panel = views.dense_panel(t)
-    media = stage(media_ops.scale_media(stage(panel_ops.media_input(panel)), CHANNELS))
+    media = stage(media_ops.scale_media(panel_ops.media_input(panel), CHANNELS))
     return stage(mixfit.mmm_fit(panel, media, CHANNELS, REPLICATES)), panel, media
 
 

@@ -19,7 +19,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Looked up once per query; reading a footer again for every use would cost a job each.
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 @dataclass(frozen=True)

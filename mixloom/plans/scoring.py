@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.operators import descriptive, quality, scoring
+from mixloom.operators import descriptive, quality, revenue, scoring
 from mixloom.operators.keys import skew_join
 from mixloom.plans import views
 from mixloom.plans.quality import STATS, _describe_sql
@@ -241,12 +241,22 @@ def ordered_tiers(t: Tables) -> DataFrame:
 
 
 def _tier_items(t: Tables) -> DataFrame:
-    """Tiers on every item row; a customer with very many items is salted."""
-    items = views.main_items(t).select(
-        "customer_id", F.col("segment").alias("customer_type"), "city", "state", "category_name", "brand"
+    """Tiers on every item row; a customer with very many items is salted.
+
+    The joined items are needed three times (tiers, hot keys, fan-out), so they are staged.
+    """
+    items = stage(
+        views.items(t).select(
+            *["order_id", "customer_id", "order_date", "signup_date", "year", "week"],
+            *["gross_revenue_usd", "item_discount_usd", "city", "state", "category_name", "brand"],
+            F.col("segment").alias("customer_type"),
+        )
     )
+    raw = scoring.rfm_raw(revenue.order_rollup(items))
+    tiers = scoring.value_tiers(scoring.clv_descriptive(raw)).select("customer_id", "tier", "clv")
+    wanted = items.select("customer_id", "customer_type", "city", "state", "category_name", "brand")
     # Every item's customer has a tier, so the inner join from the item side equals the left join from the tiers.
-    return skew_join(items, views.tiers(t).select("customer_id", "tier", "clv"), ["customer_id"])
+    return skew_join(wanted, tiers, ["customer_id"])
 
 
 TIER_ITEMS_SQL = """

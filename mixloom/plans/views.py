@@ -278,12 +278,12 @@ def panel(t: Tables) -> DataFrame:
 
 
 def dense_panel(t: Tables) -> DataFrame:
-    return stage(panel_ops.densify(stage(panel(t))))
+    return stage(panel_ops.densify(panel(t)))
 
 
 def media(t: Tables) -> DataFrame:
     """Long media table on the dense grid, scaled per channel."""
-    return stage(media_ops.scale_media(stage(panel_ops.media_input(dense_panel(t))), CHANNELS))
+    return stage(media_ops.scale_media(panel_ops.media_input(dense_panel(t)), CHANNELS))
 
 
 # Carry-over per channel of the response draws.
@@ -323,16 +323,14 @@ def draws(t: Tables) -> DataFrame:
     )
     long = base.select("draw", "geo", "r", "n_days", total.alias("n_all"), F.explode(cells).alias("c"))
     beta = F.lit(0.5) * F.col("r") * safe_ratio("c.n", "n_all", 0.0) / F.col("n_days")
-    return stage(
-        long.select(
-            "draw",
-            "geo",
-            "c.channel",
-            beta.alias("beta"),
-            "c.alpha",
-            F.lit(1.0).alias("ec"),
-            F.lit(1.0).alias("slope"),
-        )
+    return long.select(
+        "draw",
+        "geo",
+        "c.channel",
+        beta.alias("beta"),
+        "c.alpha",
+        F.lit(1.0).alias("ec"),
+        F.lit(1.0).alias("slope"),
     )
 
 
