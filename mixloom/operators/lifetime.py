@@ -95,26 +95,30 @@ def repeat_buyers(summary: DataFrame) -> DataFrame:
     return summary.filter((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
 
 
+def bgnbd_constant(r: float, alpha: float, a: float, b: float) -> float:
+    """The part of a customer's log-likelihood that depends on the parameters alone."""
+    return r * math.log(alpha) - math.lgamma(r) + math.lgamma(a + b) - math.lgamma(b)
+
+
 def bgnbd_loglik_column(x, tx, age, r, alpha, a, b) -> Column:
-    """Log-likelihood of one customer, in log space throughout."""
-    first = lgamma(r + x) - lgamma(r) + r * F.log(alpha)
-    second = lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
+    """Log-likelihood of one customer without its constant, in log space throughout."""
+    counts = lgamma(r + x) + lgamma(b + x) - lgamma(a + b + x)
     alive = -(r + x) * F.log(alpha + age)
     gone = F.log(a) - F.log(b + F.greatest(x, F.lit(1.0)) - F.lit(1.0)) - (r + x) * F.log(alpha + tx)
-    return first + second + F.when(x > 0, log_sum_exp(alive, gone)).otherwise(alive)
+    return counts + F.when(x > 0, log_sum_exp(alive, gone)).otherwise(alive)
+
+
+def gamma_gamma_constant(p: float, q: float, v: float) -> float:
+    """The part of a repeat buyer's log-likelihood that depends on the parameters alone."""
+    del p
+    return q * math.log(v) - math.lgamma(q)
 
 
 def gamma_gamma_loglik_column(x, m, p, q, v) -> Column:
-    """Log-likelihood of one repeat buyer."""
+    """Log-likelihood of one repeat buyer without its constant."""
     px = p * x
     return (
-        lgamma(px + q)
-        - lgamma(px)
-        - lgamma(q)
-        + q * F.log(v)
-        + (px - F.lit(1.0)) * F.log(m)
-        + px * F.log(x)
-        - (px + q) * F.log(x * m + v)
+        lgamma(px + q) - lgamma(px) + (px - F.lit(1.0)) * F.log(m) + px * F.log(x) - (px + q) * F.log(x * m + v)
     )
 
 
@@ -129,11 +133,13 @@ def _gg_row(parameters: dict[str, Column]) -> Column:
 
 def bgnbd_loglik(summary: DataFrame, model: BgNbd) -> DataFrame:
     """Total log-likelihood, over distinct purchase histories weighted by their count."""
-    return _histories(summary).agg(F.sum(F.col("n") * _bgnbd_row(model.columns())).alias("log_likelihood"))
+    row = _bgnbd_row(model.columns()) + F.lit(bgnbd_constant(model.r, model.alpha, model.a, model.b))
+    return _histories(summary).agg(F.sum(F.col("n") * row).alias("log_likelihood"))
 
 
 def gamma_gamma_loglik(summary: DataFrame, model: GammaGamma) -> DataFrame:
-    return repeat_buyers(summary).agg(F.sum(_gg_row(model.columns())).alias("log_likelihood"))
+    row = _gg_row(model.columns()) + F.lit(gamma_gamma_constant(model.p, model.q, model.v))
+    return repeat_buyers(summary).agg(F.sum(row).alias("log_likelihood"))
 
 
 def _histories(summary: DataFrame) -> DataFrame:
@@ -152,18 +158,19 @@ def bgnbd_fit(summary: DataFrame, penalty: float = PENALTY) -> BgNbd:
     oldest = histories.agg(F.max("T")).first()[0]
     scale = 10.0 / oldest if oldest else 1.0
     names = ("r", "alpha", "a", "b")
-    best = _maximise(histories, names, F.col("n"), lambda p: _bgnbd_row(p, scale), [1.0] * 4, penalty)
-    r, alpha, a, b = best
+    r, alpha, a, b = _maximise(
+        histories, names, F.col("n"), lambda p: _bgnbd_row(p, scale), bgnbd_constant, penalty
+    )
     return BgNbd(r, alpha / scale, a, b)
 
 
 def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     """Penalised maximum likelihood on repeat buyers; each step is one aggregate."""
     buyers = stage(repeat_buyers(summary).select("frequency", "monetary_value"))
-    return GammaGamma(*_maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, [1.0] * 3, penalty))
+    return GammaGamma(*_maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, gamma_gamma_constant, penalty))
 
 
-def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tolerance=1e-6):
+def _maximise(data, names, weight, row_loglik, constant, penalty, max_jobs=80, tolerance=1e-6):
     """Newton ascent on the logarithms of positive parameters.
 
     One Spark job evaluates a batch of parameter vectors, held in a broadcast table of
@@ -194,14 +201,14 @@ def _maximise(data, names, weight, row_loglik, start, penalty, max_jobs=80, tole
         for row in sums:
             if row["ll"] is not None and math.isfinite(row["ll"]):
                 p = theta[row["id"]]
-                f[row["id"]] = -row["ll"] / row["w"] + penalty * float((p * p).sum())
+                f[row["id"]] = -row["ll"] / row["w"] - constant(*p.tolist()) + penalty * float((p * p).sum())
         here, plus, minus = f[0], f[1 : k + 1], f[k + 1 : 2 * k + 1]
         curvature = np.diag((plus - 2 * here + minus) / h**2)
         for n, (i, j) in enumerate(corners):
             curvature[i, j] = curvature[j, i] = (f[2 * k + 1 + n] - plus[i] - plus[j] + here) / h**2
         return here, (plus - minus) / (2 * h), curvature
 
-    at = np.log(np.asarray(start, dtype=float))
+    at = np.zeros(k)
     here, gradient, curvature = evaluate(at)
     step, jobs = None, 1
     while jobs < max_jobs and math.isfinite(here):
