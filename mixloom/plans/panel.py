@@ -260,13 +260,13 @@ def outliers_by_channel(t: Tables) -> DataFrame:
     "a24_empirical_roi",
     with_views(
         "panel",
-        f"""SELECT coalesce(GEO, 'ALL') AS geo, round(sum(NET_REVENUE), 4) AS revenue, round(sum(s), 4) AS spend,
+        f"""SELECT coalesce(GEO, 'ALL') AS geo, round(sum(NET_REVENUE), 6) AS revenue, round(sum(s), 4) AS spend,
                    round(sum(NET_REVENUE) / sum(s), 6) AS roi
             FROM (SELECT GEO, NET_REVENUE, {" + ".join(PANEL_SPENDS)} AS s FROM panel) GROUP BY ROLLUP (GEO)""",
     ),
 )
 def empirical_roi(t: Tables) -> DataFrame:
-    return rounded(rounded(panel_ops.empirical_roi(views.panel(t)), 4, "revenue", "spend"), 6, "roi")
+    return rounded(rounded(panel_ops.empirical_roi(views.panel(t)), 4, "spend"), 6, "revenue", "roi")
 
 
 @query(

@@ -38,7 +38,8 @@ def order_item(t: Tables) -> DataFrame:
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("item_discount"),
+        # Prices and discounts are whole rupees.
+        F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("double").alias("item_discount"),
     )
 
 
@@ -80,7 +81,7 @@ def price_change(t: Tables) -> DataFrame:
     fulfilled = t.lineitem.filter(F.col("l_linestatus") == "F").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"),
     )
     weeks = order(t).select("order_id", "year", "week")
     return fulfilled.join(weeks, "order_id").groupBy("product_id", "year", "week").agg(
@@ -127,7 +128,7 @@ SQL: dict[str, str] = {
         FROM orders""",
     "order_item": """
         SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id, l_quantity AS quantity,
-               l_extendedprice * l_discount AS item_discount
+               floor(l_extendedprice * l_discount) AS item_discount
         FROM lineitem""",
     "customer_": """
         SELECT c_custkey AS customer_id, first_order - CAST(c_custkey % 60 + 1 AS INTEGER) AS signup_date,
@@ -138,7 +139,7 @@ SQL: dict[str, str] = {
         JOIN nation ON n_nationkey = c_nationkey
         JOIN region ON r_regionkey = n_regionkey""",
     "price_change": """
-        SELECT l_partkey AS product_id, year, week, max(l_extendedprice / l_quantity) AS unit_price
+        SELECT l_partkey AS product_id, year, week, max(floor(l_extendedprice / l_quantity)) AS unit_price
         FROM lineitem JOIN order_ ON order_id = l_orderkey
         WHERE l_linestatus = 'F' GROUP BY ALL""",
     "main_items": """
