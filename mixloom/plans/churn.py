@@ -386,6 +386,13 @@ def predict_all_rows(t: Tables) -> DataFrame:
     return churn_ops.predict(model, both).select("customer_id", "split", "predicted_class", "predicted_probability")
 
 
+@query("j14_attach_predictions")
+def attach_predictions(t: Tables) -> DataFrame:
+    """Predictions beside the columns they were made from; no join, the model keeps its input columns."""
+    model, train, _ = _fitted(t, churn_ops.logistic_regression(LABEL))
+    return churn_ops.predict(model, train).select("customer_id", *NUMERIC, *CATEGORICAL, "predicted_class")
+
+
 @query("l13_select_best")
 def select_best(t: Tables) -> DataFrame:
     train, test = _split(t)

@@ -417,16 +417,16 @@ def scenario_comparison(t: Tables) -> DataFrame:
         "metrics",
         f"""WITH a AS (SELECT channel, {_STRATEGIES['equal']} AS new_spend FROM metrics),
                  b AS (SELECT channel, {_STRATEGIES['top_channel']} AS new_spend FROM metrics)
-            SELECT 'equal' AS scenario, channel, round(new_spend, 4) AS new_spend, 1 AS step FROM a
+            SELECT 'equal' AS scenario, channel, round(new_spend, 4) AS new_spend, 'extra budget' AS remark FROM a
             UNION ALL SELECT 'top_channel', channel, round(new_spend, 4), NULL FROM b""",
     ),
 )
 def union_scenarios(t: Tables) -> DataFrame:
     metrics = _metrics(t)[2]
-    first = budget.strategy_equal(metrics).withColumns({"scenario": F.lit("equal"), "step": F.lit(1)})
+    first = budget.strategy_equal(metrics).withColumns({"scenario": F.lit("equal"), "remark": F.lit("extra budget")})
     second = budget.strategy_top_channel(metrics).withColumn("scenario", F.lit("top_channel"))
     both = first.unionByName(second, allowMissingColumns=True)
-    return rounded(both.select("scenario", "channel", "new_spend", "step"), 4, "new_spend")
+    return rounded(both.select("scenario", "channel", "new_spend", "remark"), 4, "new_spend")
 
 
 # ---------------------------------------------------------------- curves and budget
