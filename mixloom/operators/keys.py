@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,12 +44,12 @@ def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
 
 
-def hot_keys(df: DataFrame, keys, share: float = 0.01, tracked: int = 10_000) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows.
+def hot_keys(df: DataFrame, keys, share: float = 0.0005, min_rows: int = 1_000_000, tracked: int = 10_000) -> dict:
+    """Hashes of the keys with at least ``share`` of the rows and ``min_rows`` rows, with their share.
 
-    One column-pruned scan with a mergeable frequent-items sketch of bounded size.
-    The list has at most 1/share entries and only steers how rows are spread, so
-    the estimate cannot change a result.
+    One column-pruned scan with a mergeable frequent-items sketch of bounded size. The
+    result has at most 1/share entries and only steers how rows are spread, so the
+    estimate cannot change a result.
     """
     top = min(int(1.0 / share) + 1, tracked)
     row = (
@@ -55,25 +57,47 @@ def hot_keys(df: DataFrame, keys, share: float = 0.01, tracked: int = 10_000) ->
         .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {top}, {tracked})").alias("top"))
         .first()
     )
-    return [item["item"] for item in row["top"] if item["count"] >= max(2, share * row["n"])]
+    floor = max(2, min_rows, share * row["n"])
+    return {item["item"]: item["count"] / row["n"] for item in row["top"] if item["count"] >= floor}
+
+
+def salts_per_key(df: DataFrame, hot: dict, partitions: int | None = None) -> dict:
+    """Number of salts per hot key, so that each part is no larger than an average partition."""
+    if partitions is None:
+        partitions = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return {h: max(2, math.ceil(part * partitions)) for h, part in hot.items()}
+
+
+def _salts_of(keys, salts: dict) -> Column:
+    """Salts of the row's key, 1 for keys that are not hot."""
+    table = F.create_map(*[F.lit(v) for pair in salts.items() for v in pair])
+    return F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1))
+
+
+def add_salt(left: DataFrame, keys, salts: dict) -> DataFrame:
+    """Add ``_salt``, by the row and by its input partition.
+
+    The partition number spreads identical rows, which hash alike; both stay the same
+    when a task is run again.
+    """
+    row = F.xxhash64(*left.columns) + F.spark_partition_id()
+    return left.withColumn("_salt", F.pmod(row, _salts_of(keys, salts)).cast("int"))
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", salts: int = 64, hot=None) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", hot: dict | None = None) -> DataFrame:
     """Equi-join of a large skewed ``left`` with a ``right`` that has few rows per key.
 
     Adaptive execution does not split a skewed join when an aggregation on the same
-    key follows it, so hot keys are salted here: their left rows are spread over
-    ``salts`` partitions by a hash of the row and their right rows are repeated once
-    per salt. All other keys take the plain path. ``how`` is inner or left.
+    key follows it, so hot keys are salted here: their left rows are spread over many
+    partitions and their right rows are repeated once per salt. All other keys take
+    the plain path. ``how`` is inner or left.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
     hot = hot_keys(left, keys) if hot is None else hot
     if not hot:
         return left.join(right, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salts = salts_per_key(left, hot)
+    copies = F.sequence(F.lit(0), _salts_of(keys, salts) - F.lit(1))
     salted_right = right.withColumn("_salt", F.explode(copies))
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    return add_salt(left, keys, salts).join(salted_right, [*keys, "_salt"], how).drop("_salt")

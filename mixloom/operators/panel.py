@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from mixloom.functions.dates import day_of_week
 from mixloom.functions.scalars import coalesced_sum, row_total, safe_ratio
+from mixloom.operators.ordering import running_totals
 from mixloom.sources.staging import stage
 
 # Column suffixes and names of the panel files.
@@ -116,19 +117,9 @@ def _ranked_days(df: DataFrame, day: str, out: str) -> DataFrame:
 
 
 def trend_row_index(df: DataFrame, geo: str = "GEO", day: str = "DATE_DAY", out: str = "TREND") -> DataFrame:
-    """0-based index of the row in (day, geo) order.
-
-    Days give offsets (rows of all earlier days), and rows are numbered within their day.
-    """
-    earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_day.select(day, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    number = F.row_number().over(Window.partitionBy(day).orderBy(geo))
-    return (
-        df.join(F.broadcast(offsets), day)
-        .withColumn(out, (F.col("_before") + number - F.lit(1)).cast("long"))
-        .drop("_before")
-    )
+    """0-based index of the row in (day, geo) order. ``df`` is read several times and should be staged."""
+    counted = running_totals(df.withColumn("_one", F.lit(1).cast("long")), [day, geo], {out: "_one"})
+    return counted.withColumn(out, F.col(out) - F.lit(1)).drop("_one")
 
 
 def prepare_panel(df: DataFrame, day: str = "DATE_DAY") -> DataFrame:

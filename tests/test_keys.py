@@ -33,31 +33,43 @@ def skewed(spark):
     return left, right
 
 
+def hash_of(spark, value):
+    return spark.range(1).select(F.xxhash64(F.lit(value).cast("long"))).first()[0]
+
+
 def test_hot_keys_are_found(spark, skewed):
     left, _ = skewed
-    hot = keys.hot_keys(left, ["k"], share=0.05)
-    want = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
-    assert hot == [want]
-    assert keys.hot_keys(spark.range(1000).withColumnRenamed("id", "k"), ["k"], share=0.05) == []
+    hot = keys.hot_keys(left, ["k"], share=0.05, min_rows=0)
+    assert list(hot) == [hash_of(spark, 7)] and hot[hash_of(spark, 7)] == pytest.approx(1 / 3, abs=0.01)
+    assert keys.hot_keys(spark.range(1000).withColumnRenamed("id", "k"), ["k"], share=0.05, min_rows=0) == {}
+    # A key of two thousand rows is no burden for one task.
+    assert keys.hot_keys(left, ["k"]) == {}
+    assert keys.salts_per_key(left, {1: 1 / 3, 2: 0.0005}, 6000) == {1: 2000, 2: 3}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skew_join_equals_the_plain_join(skewed, how):
     left, right = skewed
-    assert rows(keys.skew_join(left, right, ["k"], how).select("k", "v", "w").fillna(-1)) == rows(
+    hot = keys.hot_keys(left, ["k"], share=0.05, min_rows=0)
+    joined = keys.skew_join(left, right, ["k"], how, hot)
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined.select("k", "v", "w").fillna(-1)) == rows(
         left.join(right, "k", how).select("k", "v", "w").fillna(-1)
     )
-
-
-def test_skew_join_spreads_the_hot_key(skewed):
-    left, right = skewed
-    joined = keys.skew_join(left.withColumn("row", F.monotonically_increasing_id()), right, ["k"])
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
     with pytest.raises(ValueError):
         keys.skew_join(left, right, ["k"], "full")
 
 
+def test_salts_spread_hot_rows_and_their_copies(spark, skewed):
+    left, _ = skewed
+    salts = keys.salts_per_key(left, keys.hot_keys(left, ["k"], share=0.05, min_rows=0))
+    spread = keys.add_salt(left.repartition(8), ["k"], salts).groupBy("k").agg(F.count_distinct("_salt").alias("n"))
+    counts = {r["k"]: r["n"] for r in spread.collect()}
+    assert counts.pop(7) > 8 and set(counts.values()) == {1}
+    copies = spark.range(800, numPartitions=8).select(F.lit(7).cast("long").alias("k"))
+    assert keys.add_salt(copies, ["k"], {hash_of(spark, 7): 64}).select("_salt").distinct().count() == 8
+
+
 def test_skew_join_without_hot_keys_is_plain(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     plan = keys.skew_join(df, df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
