@@ -9,11 +9,13 @@ totals of the earlier ranges.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 500_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -23,8 +25,8 @@ def exact_quantiles(df: DataFrame, columns, probs, small_rows: int = SMALL_ROWS)
     Up to ``small_rows`` values the built-in ``percentile`` does it in one aggregate.
     It keeps every distinct value in one task, so longer columns are narrowed first:
     a sketch brackets each wanted rank, the rows around the bracket are counted, and
-    the rank is looked up inside the remaining range only. ``df`` is read several
-    times and should be staged.
+    the rank is looked up inside the remaining range only. All columns share these
+    passes. ``df`` is read several times and should be staged.
     """
     columns, probs = list(columns), [float(p) for p in probs]
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
@@ -34,68 +36,114 @@ def exact_quantiles(df: DataFrame, columns, probs, small_rows: int = SMALL_ROWS)
         wanted = F.array(*[F.lit(p) for p in probs])
         row = df.agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in short]).first()
         result.update({c: list(row[c]) for c in short})
-    for c in columns:
-        if counts[c] > small_rows:
-            result[c] = _interpolated(df, c, counts[c], probs, small_rows)
+    long = [c for c in columns if counts[c] > small_rows]
+    positions = {c: [p * (counts[c] - 1) for p in probs] for c in long}
+    searches = [
+        _Search(c, counts[c], sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))})) for c in long
+    ]
+    at = _values_at(df, searches, small_rows)
+    for c in long:
+        result[c] = [_interpolate(at, c, p) for p in positions[c]]
     return result
 
 
-def _interpolated(df, column, n, probs, small_rows):
-    positions = [p * (n - 1) for p in probs]
-    ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
-    at = _values_at(values, n, ranks, small_rows)
-    out = []
-    for p in positions:
-        low, high = math.floor(p), math.ceil(p)
-        if low == high or at[low] == at[high]:
-            out.append(at[low])
-        else:
-            out.append((high - p) * at[low] + (p - low) * at[high])
-    return out
-
-
-def _values_at(values: DataFrame, n: int, ranks, small_rows: int) -> dict[int, float]:
-    """Values at 0-based ``ranks`` of ``n`` rows of column ``v``."""
-    if n <= small_rows:
-        # At most small_rows distinct values are left, a bounded sort.
-        counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        running = counted.withColumn("upto", F.sum("n").over(Window.orderBy("v")))
-        picks = running.agg(*[F.min(F.when(F.col("upto") > r, F.col("v"))).alias(f"r{r}") for r in ranks]).first()
-        return {r: picks[f"r{r}"] for r in ranks}
+def _interpolate(at, column, position):
+    low, high = math.floor(position), math.ceil(position)
+    below, above = at[column, low], at[column, high]
+    return below if below == above else (high - position) * below + (position - low) * above
+
+
+@dataclass(frozen=True)
+class _Search:
+    """Ranks of one column that lie between two values, both excluded."""
+
+    column: str
+    n: int
+    ranks: list[int]
+    before: int = 0
+    low: float | None = None
+    high: float | None = None
+
+    def inside(self) -> Column:
+        """The value where it lies in the range, else NULL."""
+        value = F.col(self.column).cast("double")
+        limits = []
+        if self.low is not None:
+            limits.append(value > F.lit(self.low))
+        if self.high is not None:
+            limits.append(value < F.lit(self.high))
+        return F.when(reduce(lambda a, b: a & b, limits), value) if limits else value
+
+
+def _values_at(df: DataFrame, searches: list[_Search], small_rows: int) -> dict:
+    """Value per column and 0-based rank."""
+    found: dict = {}
+    while searches:
+        short = [s for s in searches if s.n <= small_rows]
+        long = [s for s in searches if s.n > small_rows]
+        if short:
+            found.update(_look_up(df, short))
+        searches = _narrow(df, long, found) if long else []
+    return found
+
+
+def _look_up(df: DataFrame, searches: list[_Search]) -> dict:
+    """Rank the values of ranges that hold few rows, all in one pass."""
+    cells = F.array(*[F.struct(F.lit(i).alias("s"), s.inside().alias("v")) for i, s in enumerate(searches)])
+    values = df.select(F.explode(cells).alias("c")).select("c.*").filter("v IS NOT NULL")
+    counted = values.groupBy("s", "v").agg(F.count(F.lit(1)).alias("n"))
+    # At most small_rows distinct values per search.
+    running = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("v")))
+    wanted = [(i, s.column, r, r - s.before) for i, s in enumerate(searches) for r in s.ranks]
+    row = running.agg(
+        *[
+            F.min(F.when((F.col("s") == i) & (F.col("upto") > place), F.col("v"))).alias(f"r{k}")
+            for k, (i, _, _, place) in enumerate(wanted)
+        ]
+    ).first()
+    return {(column, r): row[f"r{k}"] for k, (_, column, r, _) in enumerate(wanted)}
+
+
+def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> list[_Search]:
+    """Cut each range at sketched values; ranks on a cut are found, the others keep a smaller range."""
     slack = 2.0 / SKETCH_ACCURACY
-    marks = sorted({min(1.0, max(0.0, r / (n - 1) + s)) for r in ranks for s in (-slack, slack)})
-    sketch = values.agg(
-        F.percentile_approx("v", F.array(*[F.lit(m) for m in marks]), F.lit(SKETCH_ACCURACY)).alias("cuts")
+    marks = [
+        sorted({min(1.0, max(0.0, (r - s.before) / (s.n - 1) + d)) for r in s.ranks for d in (-slack, slack)})
+        for s in searches
+    ]
+    sketch = df.agg(
+        *[
+            F.percentile_approx(s.inside(), F.array(*[F.lit(m) for m in ms]), F.lit(SKETCH_ACCURACY)).alias(f"q{i}")
+            for i, (s, ms) in enumerate(zip(searches, marks))
+        ]
     ).first()
-    cuts = sorted(set(sketch["cuts"]))
-    # The cuts split the axis into points and open gaps; count the rows below and at each cut.
-    tally = values.agg(
-        *[F.sum((F.col("v") < F.lit(c)).cast("long")).alias(f"lt{i}") for i, c in enumerate(cuts)],
-        *[F.sum((F.col("v") <= F.lit(c)).cast("long")).alias(f"le{i}") for i, c in enumerate(cuts)],
+    cuts = [sorted(set(sketch[f"q{i}"])) for i in range(len(searches))]
+    # The cuts split a range into points and open gaps; count the rows below and at each cut.
+    cells = [(i, k, s.inside(), F.lit(c)) for i, s in enumerate(searches) for k, c in enumerate(cuts[i])]
+    tally = df.agg(
+        *[F.count_if(value < cut).alias(f"lt{i}_{k}") for i, k, value, cut in cells],
+        *[F.count_if(value <= cut).alias(f"le{i}_{k}") for i, k, value, cut in cells],
     ).first()
-    below = [tally[f"lt{i}"] for i in range(len(cuts))]
-    upto = [tally[f"le{i}"] for i in range(len(cuts))]
-    found: dict[int, float] = {}
-    gaps: dict[int, list[int]] = {}
-    for r in ranks:
-        # The first cut with more than r rows at or below it either holds the rank or ends its gap.
-        i = next((k for k in range(len(cuts)) if upto[k] > r), len(cuts))
-        if i < len(cuts) and below[i] <= r:
-            found[r] = cuts[i]
-        else:
-            gaps.setdefault(i, []).append(r)
-    for i, wanted in gaps.items():
-        start = upto[i - 1] if i > 0 else 0
-        end = below[i] if i < len(cuts) else n
-        inside = values
-        if i > 0:
-            inside = inside.filter(F.col("v") > F.lit(cuts[i - 1]))
-        if i < len(cuts):
-            inside = inside.filter(F.col("v") < F.lit(cuts[i]))
-        deeper = _values_at(inside, end - start, [r - start for r in wanted], small_rows)
-        found.update({r: deeper[r - start] for r in wanted})
-    return found
+    smaller = []
+    for i, s in enumerate(searches):
+        points = cuts[i]
+        below = [s.before + tally[f"lt{i}_{k}"] for k in range(len(points))]
+        upto = [s.before + tally[f"le{i}_{k}"] for k in range(len(points))]
+        gaps: dict[int, list[int]] = {}
+        for r in s.ranks:
+            # The first cut with more than r rows at or below it either holds the rank or ends its gap.
+            k = next((k for k in range(len(points)) if upto[k] > r), len(points))
+            if k < len(points) and below[k] <= r:
+                found[s.column, r] = points[k]
+            else:
+                gaps.setdefault(k, []).append(r)
+        for k, ranks in gaps.items():
+            start = upto[k - 1] if k > 0 else s.before
+            end = below[k] if k < len(points) else s.before + s.n
+            low = points[k - 1] if k > 0 else s.low
+            high = points[k] if k < len(points) else s.high
+            smaller.append(_Search(s.column, end - start, ranks, start, low, high))
+    return smaller
 
 
 def order_ranges(df: DataFrame, order, buckets: int | None = None) -> DataFrame:

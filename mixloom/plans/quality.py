@@ -27,7 +27,7 @@ def check_fk(t: Tables) -> DataFrame:
     return keys.check_fk(t.orders, t.lineitem, "o_orderkey", "l_orderkey").select("o_orderkey", "o_custkey")
 
 
-@query("v3_check_columns")
+@query("v3_check_columns", "SELECT DISTINCT 'TIKTOK_SPEND' AS missing_column FROM events")
 def check_columns(t: Tables) -> DataFrame:
     expected = ["ORGANISATION_ID", "TERRITORY_NAME", "DATE_DAY", "ALL_PURCHASES", "TIKTOK_SPEND"]
     panel = views.org_panel(t)
