@@ -22,8 +22,7 @@ def _fresh(spark: SparkSession) -> Scratch:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    _fresh(spark)
-    return quality_rules(docs).filter("_q_kept").select(*docs.columns)
+    return quality_rules(docs, _fresh(spark)).filter("_q_kept").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mixloom.llm.scratch import Scratch
+
 CLASSES = ("lower", "upper", "digit", "space", "sentence", "symbol")
 SENTENCE_MARKS = ".,;:?'\"-()’–"
 SYMBOL_MARKS = "#*$%&|<>"
@@ -92,21 +94,22 @@ def _counts_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             )
 
 
-def language_references(docs: DataFrame, min_share: float = 0.002, min_lang_share: float = 0.005) -> dict:
+def language_references(
+    docs: DataFrame, scratch: Scratch, min_share: float = 0.002, min_lang_share: float = 0.005
+) -> dict:
     """Class and common-word counts of each language, over all documents.
 
     A word is common when it makes up ``min_share`` of the words of its language, and a language
     is one that has ``min_lang_share`` of all words; so at most 1/min_lang_share languages with
     1/min_share words each come to the driver, whatever the corpus holds.
     """
-    counted = (
+    counted = scratch.keep(
         docs.select(F.col("lang").cast("string"), F.col("text").cast("string"))
         .filter("lang is not null and text is not null")
         .mapInArrow(_counts_by_language, "lang string, item string, is_class boolean, n long")
         .groupBy("lang", "is_class", "item")
         .agg(F.sum("n").alias("n"))
     )
-    # Shares need the totals; both come out of one pass over the counted words, kept small by rollup.
     totals = counted.filter("not is_class").groupBy("lang").agg(F.sum("n").alias("words"))
     all_words = totals.agg(F.sum("words").alias("all_words"))
     large = totals.crossJoin(F.broadcast(all_words)).filter(F.col("words") >= min_lang_share * F.col("all_words"))
@@ -119,6 +122,7 @@ def language_references(docs: DataFrame, min_share: float = 0.002, min_lang_shar
     for row in sorted(rows, key=lambda r: (r["lang"], r["item"])):
         own = references.setdefault(row["lang"], {"words": row["words"], "classes": {}, "common": {}})
         own["classes" if row["is_class"] else "common"][row["item"]] = row["n"]
+    scratch.drop(counted)
     return references
 
 
@@ -202,8 +206,8 @@ def score(docs: DataFrame, references: dict, columns: list[str] | None = None) -
         kinds = [pa.int64()] * 5 + [pa.string(), pa.float64(), pa.float64()]
         for batch in batches:
             rows = [judge.features(t.as_py()) for t in batch.column(at)]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-            arrays = [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)]
+            found = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            arrays = [pa.array(c, type=k) for c, k in zip(found, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *arrays], names=[*columns, *fresh])
 
     fields = ", ".join(f"_q_{part}" for part in FEATURES.split(", "))
@@ -213,6 +217,7 @@ def score(docs: DataFrame, references: dict, columns: list[str] | None = None) -
 
 def quality_rules(
     docs: DataFrame,
+    scratch: Scratch,
     max_class_distance: float = 0.28,
     max_word_distance: float = 0.42,
     min_chars: int = 200,
@@ -223,7 +228,7 @@ def quality_rules(
 
     A class distance is judged from ``min_chars`` characters on, a word distance from ``min_words`` words on.
     """
-    scored = score(docs, language_references(docs), columns)
+    scored = score(docs, language_references(docs, scratch), columns)
     n, repeats = F.col("_q_n_words"), F.col("_q_n_repeat_words")
     far = F.coalesce(
         (F.col("_q_word_chars") >= min_chars) & (F.col("_q_class_distance") > max_class_distance), F.lit(False)

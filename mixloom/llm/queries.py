@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixloom.llm.linededup import dedup_lines
+from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.scratch import Scratch
 
@@ -32,9 +33,47 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts, distances to the best-fitting language and the verdict on every document."""
-    judged = quality_rules(_table(spark, folder, "documents").select("doc_id", "text", "lang"), columns=["doc_id"])
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules(docs, Scratch(spark), columns=["doc_id"])
     return judged.select("doc_id", *[F.col(c).alias(c.removeprefix("_q_")) for c in judged.columns if c.startswith("_q_")])
 
 
-QUERIES = {"op3_line_dedup": line_dedup, "op7_quality_rules": quality}
-ORACLE: dict[str, str] = {}
+def near_duplicate_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of the shingle set, component and verdict of every document, for 3-word shingles and 85 %."""
+    return near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark), width=3, percent=85)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other)
+SELECT d.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id,
+       d.doc_id = min(r.other) AS kept
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+QUERIES = {
+    "op3_line_dedup": line_dedup,
+    "op7_quality_rules": quality,
+    "op10_near_duplicates": near_duplicate_components,
+}
+ORACLE: dict[str, str] = {"op10_near_duplicates": NEAR_SQL}
