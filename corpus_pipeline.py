@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from mixloom.llm.linededup import dedup_lines
+from mixloom.llm.mixing import mix_sources
+from mixloom.llm.neardup import near_duplicates
+from mixloom.llm.packing import pack, tokenizer_path
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.scratch import Scratch
 
@@ -30,7 +34,34 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, _fresh(spark)).filter("not _l_emptied").select(*docs.columns)
 
 
-STAGES = [("quality", quality_stage), ("line_dedup", line_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    kept = near_duplicates(docs, _fresh(spark)).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    # Copies of a kept row are duplicates as well.
+    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    first = chosen.filter("doc_id is not null").withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    return first.select(*docs.columns).union(chosen.filter("doc_id is null").select(*docs.columns))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mix_sources(docs, _fresh(spark)).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows at the proportions of the mixture."""
+    return pack(docs, _fresh(spark), tokenizer_path())
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("source_mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+#: Tokenising and the rank-based line dedup are beyond SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixloom.llm.linededup import dedup_lines
+from mixloom.llm.mixing import mix_sources
 from mixloom.llm.neardup import near_duplicates
+from mixloom.llm.packing import pack, tokenizer_path
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.scratch import Scratch
 
@@ -71,9 +73,76 @@ FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN size ON size.doc_
 GROUP BY d.doc_id
 """
 
+def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents the mixture takes, in which pass, and their place in its permutation."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    mixed = mix_sources(docs, Scratch(spark))
+    kept = ("tokens", "pass", "block", "place", "weight", "exponent")
+    return mixed.select("doc_id", "source", *[F.col(f"_m_{c}").alias(c) for c in kept])
+
+
+MIX_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS src,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens
+  FROM documents),
+stats AS (SELECT src, CAST(sum(tokens) AS BIGINT) AS t, count(*) AS docs FROM sized WHERE tokens > 0 GROUP BY src),
+total AS (SELECT CAST(sum(t) AS BIGINT) AS budget FROM stats),
+share AS (SELECT list(t / budget) AS ps, ln(count(*)) AS top FROM stats, total),
+search AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0.0::DOUBLE AS lo2, 1.0::DOUBLE AS hi2
+  UNION ALL
+  SELECT i + 1,
+         CASE WHEN even <= 0.9 THEN lo ELSE (lo + hi) / 2 END, CASE WHEN even <= 0.9 THEN (lo + hi) / 2 ELSE hi END,
+         CASE WHEN most <= 2.0 THEN lo2 ELSE (lo2 + hi2) / 2 END, CASE WHEN most <= 2.0 THEN (lo2 + hi2) / 2 ELSE hi2 END
+  FROM (
+    SELECT i, lo, hi, lo2, hi2,
+           (ln(list_sum(list_transform(ps, lambda p: p ** ((lo + hi) / 2))))
+            - (lo + hi) / 2 * list_sum(list_transform(ps, lambda p: p ** ((lo + hi) / 2) * ln(p)))
+              / list_sum(list_transform(ps, lambda p: p ** ((lo + hi) / 2)))) / top AS even,
+           list_max(list_transform(ps, lambda p: p ** ((lo2 + hi2) / 2 - 1)))
+             / list_sum(list_transform(ps, lambda p: p ** ((lo2 + hi2) / 2))) AS most
+    FROM search, share WHERE i < 50) q),
+found AS (
+  SELECT greatest(ceil(round(hi * 1e6, 1)), ceil(round(hi2 * 1e6, 1))) / 1e6 AS exponent FROM search WHERE i = 50),
+weighted AS (
+  SELECT src, t, docs, exponent,
+         ((t / budget) ** exponent) / list_sum(list_transform(ps, lambda p: p ** exponent)) AS weight, budget
+  FROM stats, total, share, found),
+plan AS (
+  SELECT src, exponent, round(weight, 12) AS weight, CAST(floor(round(weight * budget) / t) AS BIGINT) AS passes,
+         CAST(round(weight * budget) AS BIGINT) - CAST(floor(round(weight * budget) / t) AS BIGINT) * t AS rest,
+         CAST(greatest(0, ceil(ln(docs / 1024) / ln(16))) AS INT) AS digits
+  FROM weighted),
+docs AS (
+  SELECT s.*, p.exponent, p.weight, p.passes, p.rest,
+         substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, digits) AS b
+  FROM sized s JOIN plan p ON p.src = s.src WHERE tokens > 0),
+partial AS (
+  SELECT *, md5('mix|' || (passes + 1) || '|' || src || '|' || b) AS k,
+         md5('mix|' || (passes + 1) || '|' || src || '|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS q
+  FROM docs),
+filled AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY src ORDER BY k, q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM partial),
+turns AS (SELECT *, unnest(range(1, passes + CASE WHEN rest > 0 AND upto <= rest THEN 2 ELSE 1 END)) AS pass FROM filled)
+SELECT doc_id, source, tokens, pass, md5('mix|' || pass || '|' || src || '|' || b) AS block,
+       md5('mix|' || pass || '|' || src || '|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place, weight, exponent
+FROM turns
+"""
+
+
+def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document, with its sequence and place, at the documents' own source mixture."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    return pack(docs, Scratch(spark), tokenizer_path())
+
+
 QUERIES = {
     "op3_line_dedup": line_dedup,
+    "op4_source_mixing": mixed_sources,
+    "op6_packing": packed_windows,
     "op7_quality_rules": quality,
     "op10_near_duplicates": near_duplicate_components,
 }
-ORACLE: dict[str, str] = {"op10_near_duplicates": NEAR_SQL}
+ORACLE: dict[str, str] = {"op4_source_mixing": MIX_SQL, "op10_near_duplicates": NEAR_SQL}
