@@ -189,7 +189,7 @@ def near_duplicates(
     width: int = 5,
     percent: int = 80,
     chunks: int = 12,
-    small: int = 64,
+    small: int = 16,
     block: int = 128,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
