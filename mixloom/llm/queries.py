@@ -11,6 +11,7 @@ from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.packing import pack, tokenizer_path
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.scratch import Scratch
+from mixloom.llm.topk import quantized, top_k
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -138,11 +139,33 @@ def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
     return pack(docs, Scratch(spark), tokenizer_path())
 
 
+def top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector."""
+    return top_k(quantized(_table(spark, folder, "embeddings").select("vec_id", "embedding")), Scratch(spark))
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 QUERIES = {
+    "op2_top_products": top_products,
     "op3_line_dedup": line_dedup,
     "op4_source_mixing": mixed_sources,
     "op6_packing": packed_windows,
     "op7_quality_rules": quality,
     "op10_near_duplicates": near_duplicate_components,
 }
-ORACLE: dict[str, str] = {"op4_source_mixing": MIX_SQL, "op10_near_duplicates": NEAR_SQL}
+ORACLE: dict[str, str] = {
+    "op2_top_products": TOP_SQL,
+    "op4_source_mixing": MIX_SQL, "op10_near_duplicates": NEAR_SQL}
