@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixloom.llm import pii
 from mixloom.llm.linededup import dedup_lines
 from mixloom.llm.mixing import mix_sources
 from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.packing import pack, tokenizer_path
+from mixloom.llm.pii import find_pii
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.scratch import Scratch
 from mixloom.llm.topk import quantized, top_k
@@ -18,6 +20,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _joined(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of the base spans of every document, and all spans."""
+    found = find_pii(_table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark))
+    counts = [
+        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    digest = F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, _joined("all").alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines, deleted lines, their spans and a digest of the remaining text of every document."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -159,6 +176,7 @@ WHERE rank <= 5
 """
 
 QUERIES = {
+    "op1_personal_data": personal_data,
     "op2_top_products": top_products,
     "op3_line_dedup": line_dedup,
     "op4_source_mixing": mixed_sources,
