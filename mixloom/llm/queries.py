@@ -25,12 +25,14 @@ def _joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans of every document, and all spans."""
     found = find_pii(_table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark))
-    counts = [
-        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
-    ]
+    counts = [_count("base", kind) for kind in pii.KINDS]
     digest = F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, _joined("all").alias("spans"), F.size("added").cast("long").alias("n_added"))
 
