@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import pii
+from mixloom.llm import pii, secrets
 from mixloom.llm.linededup import dedup_lines
 from mixloom.llm.mixing import mix_sources
 from mixloom.llm.neardup import near_duplicates
@@ -158,6 +158,15 @@ def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
     return pack(docs, Scratch(spark), tokenizer_path())
 
 
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of the base spans of every document, and all spans."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.fit(docs, Scratch(spark)))
+    counts = [_count("base", kind) for kind in secrets.KINDS]
+    digest = F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, _joined("all").alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
     """The five largest integer inner products of every fiftieth vector."""
     return top_k(quantized(_table(spark, folder, "embeddings").select("vec_id", "embedding")), Scratch(spark))
@@ -184,6 +193,7 @@ QUERIES = {
     "op4_source_mixing": mixed_sources,
     "op6_packing": packed_windows,
     "op7_quality_rules": quality,
+    "op8_secrets": secret_spans,
     "op10_near_duplicates": near_duplicate_components,
 }
 ORACLE: dict[str, str] = {
