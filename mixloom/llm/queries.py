@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixloom.llm import pii, secrets
+from mixloom.llm.langid import predict_languages, train
 from mixloom.llm.linededup import dedup_lines
 from mixloom.llm.mixing import mix_sources
 from mixloom.llm.neardup import near_duplicates
@@ -167,6 +168,12 @@ def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, _joined("all").alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document and its calibrated probability."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return predict_languages(docs, train(docs))
+
+
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
     """The five largest integer inner products of every fiftieth vector."""
     return top_k(quantized(_table(spark, folder, "embeddings").select("vec_id", "embedding")), Scratch(spark))
@@ -194,6 +201,7 @@ QUERIES = {
     "op6_packing": packed_windows,
     "op7_quality_rules": quality,
     "op8_secrets": secret_spans,
+    "op9_language_id": languages,
     "op10_near_duplicates": near_duplicate_components,
 }
 ORACLE: dict[str, str] = {
