@@ -26,9 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mixloom.llm.running import running_total
 from mixloom.llm.scratch import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -172,27 +173,6 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, source string, n long, ids binary")
 
 
-def running_total(rows: DataFrame, keys: list[str], block: Column, order: list, value: str, name: str) -> DataFrame:
-    """Add ``name``: the sum of ``value`` before the row, in order of ``block``, then of ``order``, per ``keys``.
-
-    Blocks hold a bounded part of the rows; only their totals meet per key.
-    """
-    rows = rows.withColumn("_block", block)
-    totals = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
-    # Block totals in two levels, so that a task never has more than a thousandth of them.
-    super_key = F.floor(F.col("_block") / 1000)
-    upper = totals.groupBy(*keys, super_key.alias("_super")).agg(F.sum("_sum").alias("_total"))
-    before = (Window.unboundedPreceding, -1)
-    per_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_super").rowsBetween(*before)
-    upper = upper.select(*keys, "_super", F.coalesce(F.sum("_total").over(per_key), F.lit(0)).alias("_above"))
-    totals = totals.withColumn("_super", super_key).join(upper, [*keys, "_super"])
-    per_super = Window.partitionBy(*keys, "_super").orderBy("_block").rowsBetween(*before)
-    offsets = totals.select(*keys, "_block", (F.col("_above") + F.coalesce(F.sum("_sum").over(per_super), F.lit(0))).alias("_offset"))
-    in_block = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(*before)
-    inside = rows.withColumn("_inside", F.coalesce(F.sum(value).over(in_block), F.lit(0)))
-    return inside.join(offsets, [*keys, "_block"]).withColumn(name, F.col("_offset") + F.col("_inside")).drop("_block", "_offset", "_inside")
-
-
 def layout(sizes: DataFrame, window: int, piece: int, scratch: Scratch, shares: dict[str, float] | None = None) -> DataFrame:
     """Pieces of the documents ``sizes`` (row, source, n): row, start, length, sequence_id, offset.
 

@@ -13,6 +13,7 @@ from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.packing import pack, tokenizer_path
 from mixloom.llm.pii import find_pii
 from mixloom.llm.quality import quality_rules
+from mixloom.llm.quotes import link_quotes
 from mixloom.llm.scratch import Scratch
 from mixloom.llm.topk import quantized, top_k
 
@@ -159,6 +160,20 @@ def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
     return pack(docs, Scratch(spark), tokenizer_path())
 
 
+def quoted_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """What every message replies to, how deep it is, and a digest of its text without quotes."""
+    linked = link_quotes(_table(spark, folder, "conversations"), Scratch(spark))
+    facts = ("reply_to", "by_quote", "depth", "passages", "linked")
+    return linked.select(
+        "conv_id",
+        "turn",
+        "role",
+        *[F.col(f"_c_{c}").alias(c) for c in facts],
+        F.length("text").cast("long").alias("own_chars"),
+        F.md5(F.col("text").cast("binary")).alias("own_md5"),
+    )
+
+
 def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans of every document, and all spans."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -198,6 +213,7 @@ QUERIES = {
     "op2_top_products": top_products,
     "op3_line_dedup": line_dedup,
     "op4_source_mixing": mixed_sources,
+    "op5_chat_quotes": quoted_conversations,
     "op6_packing": packed_windows,
     "op7_quality_rules": quality,
     "op8_secrets": secret_spans,
