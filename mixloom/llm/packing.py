@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from mixloom.llm.running import running_total
 from mixloom.llm.scratch import Scratch
+from mixloom.llm.shingles import slices
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 CACHED_WORDS = 600_000  # per Python worker; a full cache starts anew
-SLICE_BYTES = 8_000_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -139,15 +139,6 @@ def gather(pool: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np
     return pool[np.repeat(first[codes] - (ends - sizes), sizes) + np.arange(total)], sizes
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Consecutive parts of about ``most`` bytes, at least one text each."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        done = sizes[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
-        yield texts.slice(at, stop - at)
-        at = stop
 def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, source, number of tokens and ids (bytes) of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))

@@ -9,9 +9,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+SLICE_BYTES = 8_000_000  # of text that is worked on at once
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``most`` bytes, at least one text each."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -42,6 +54,11 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
     A text with fewer words has one shingle, the whole sequence; one without words has none.
     """
+    for part in slices(texts):
+        yield from _shingle_sets(part, width)
+
+
+def _shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     hashes, offsets = word_hashes(texts)
     n = len(hashes) - width + 1
     with np.errstate(over="ignore"):
