@@ -5,8 +5,6 @@ These work on one row per channel, or on one row per channel and step of a spend
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,7 +69,10 @@ def strategy_best_mroi(metrics: DataFrame, share: float = EXTRA_SHARE) -> DataFr
 def strategy_saturation_aware(
     metrics: DataFrame, share: float = EXTRA_SHARE, cut: float = SATURATED_CUT, level: float = SATURATION_LEVEL
 ) -> DataFrame:
-    """Cut saturated channels; the freed and the extra budget go to the others by marginal return."""
+    """Cut saturated channels; the freed and the extra budget go to the others by marginal return.
+
+    With all channels saturated there is nowhere to move the budget; that is an error.
+    """
     saturated = F.col("mroi_median") < level
     sums = metrics.agg(
         (F.sum("spend_total") * F.lit(share)).alias("_extra"),
@@ -124,52 +125,48 @@ def spend_grid(lower: float = LOWER_BOUND, upper: float = UPPER_BOUND, steps: in
     return [lower + (upper - lower) * i / steps for i in range(steps + 1)]
 
 
-def concave_envelope(curve: DataFrame, outcome: str) -> DataFrame:
-    """Least concave majorant of each channel's curve.
+def envelope_points(curve: DataFrame, outcome: str = "median") -> DataFrame:
+    """The grid points of each channel that lie on the least concave majorant of its curve.
 
-    Needed only for S-shaped response; a group is one channel's spend grid.
+    A point lies on it if no slope to a later point is above a slope from an earlier one. Points are
+    compared within a channel's own grid, so a channel has (grid points)^2 comparisons.
     """
-
-    def majorant(points: pd.DataFrame) -> pd.DataFrame:
-        points = points.sort_values("spend").reset_index(drop=True)
-        hull: list[int] = []
-        for i in range(len(points)):
-            while len(hull) > 1 and _bends_up(points, hull[-2], hull[-1], i, outcome):
-                hull.pop()
-            hull.append(i)
-        corners = points.loc[hull]
-        points[outcome] = np.interp(points["spend"], corners["spend"], corners[outcome])
-        return points
-
-    return curve.groupBy("channel").applyInPandas(majorant, curve.schema)
-
-
-def _bends_up(points, i, j, k, outcome):
-    x, y = points["spend"], points[outcome]
-    return (y[j] - y[i]) * (x[k] - x[j]) <= (y[k] - y[j]) * (x[j] - x[i])
-
-
-def optimize_budget(curve: DataFrame, budget: float | None = None, outcome: str = "median", envelope: bool = False):
-    """Spend per channel that maximises the outcome under a fixed budget.
-
-    ``curve`` comes from ``response_curve`` over ``spend_grid``. Every channel starts at
-    its lowest spend; the steps of all grids are taken by falling marginal return while
-    the budget lasts. For concave curves this is the best allocation up to one grid step.
+    other = curve.select("channel", F.col("spend").alias("_x"), F.col(outcome).alias("_y"))
+    pairs = curve.join(other, "channel")
+    slope = F.try_divide(F.col("_y") - F.col(outcome), F.col("_x") - F.col("spend"))
+    rest = [c for c in curve.columns if c not in ("channel", "spend")]
+    bounds = pairs.groupBy("channel", "spend").agg(
+        *[F.first(c).alias(c) for c in rest],
+        F.max(F.when(F.col("_x") > F.col("spend"), slope)).alias("_after"),
+        F.min(F.when(F.col("_x") < F.col("spend"), slope)).alias("_before"),
+    )
+    on = F.col("_after").isNull() | F.col("_before").isNull() | (F.col("_after") <= F.col("_before"))
+    return bounds.filter(on).select(*curve.columns)
+
+
+def optimize_budget(curve: DataFrame, budget: float | None = None, outcome: str = "median") -> DataFrame:
+    """Spend per channel that maximises the outcome under a fixed budget, for curves of any shape.
+
+    ``curve`` comes from ``response_curve`` over ``spend_grid``. Every channel starts at its lowest
+    spend. Where a curve bends upwards, the points below its concave majorant are skipped: a
+    channel goes over such a stretch as a whole or not at all. The steps are taken by falling marginal
+    return while the budget lasts, in order within a channel, as the majorant only bends down; so
+    spend and outcome are points of the curve. For concave curves this is the best allocation up to
+    one step; ``unspent`` is what is left of the budget, e.g. before a stretch that it can't pay.
     The steps are as many as channels times grid points, so one window ranks them.
     """
-    if envelope:
-        curve = concave_envelope(curve, outcome)
     grid = Window.partitionBy("channel").orderBy("spend")
-    steps = curve.select(
+    steps = envelope_points(curve, outcome).select(
         "channel",
         "spend",
+        F.col(outcome).alias("_at"),
         (F.col("spend") - F.lag("spend").over(grid)).alias("_cost"),
         (F.col(outcome) - F.lag(outcome).over(grid)).alias("_gain"),
     )
     floor = curve.groupBy("channel").agg(
         F.min("spend").alias("_low"),
         F.min_by(outcome, "spend").alias("_low_outcome"),
-        F.max(F.col("spend") / F.col("multiplier")).alias("spend_historical"),
+        F.max(F.try_divide("spend", "multiplier")).alias("spend_historical"),
     )
     limit = floor.agg(
         (F.sum("spend_historical") if budget is None else F.lit(float(budget))).alias("_budget"),
@@ -179,20 +176,22 @@ def optimize_budget(curve: DataFrame, budget: float | None = None, outcome: str
         Window.unboundedPreceding, Window.currentRow
     )
     taken = (
-        steps.filter("_cost > 0")
+        steps.filter("_cost > 0 AND _gain > 0")
         .withColumn("_marginal", F.col("_gain") / F.col("_cost"))
         .withColumn("_used", F.sum("_cost").over(ranking))
         .crossJoin(F.broadcast(limit))
         .filter(F.col("_used") <= (F.col("_budget") - F.col("_committed")) * F.lit(1.0 + 1e-12))
         .groupBy("channel")
-        .agg(F.sum("_cost").alias("_added"), F.sum("_gain").alias("_gained"))
+        .agg(F.max("spend").alias("_to"), F.max_by("_at", "spend").alias("_reached"))
     )
-    return floor.join(taken, "channel", "left").select(
+    chosen = floor.join(taken, "channel", "left").select(
         "channel",
         "spend_historical",
-        (F.col("_low") + F.coalesce("_added", F.lit(0.0))).alias("spend"),
-        (F.col("_low_outcome") + F.coalesce("_gained", F.lit(0.0))).alias("incremental_outcome"),
+        F.coalesce("_to", "_low").alias("spend"),
+        F.coalesce("_reached", "_low_outcome").alias("incremental_outcome"),
     )
+    spent = chosen.agg(F.sum("spend").alias("_spent")).crossJoin(limit)
+    return chosen.crossJoin(F.broadcast(spent)).select(*chosen.columns, (F.col("_budget") - F.col("_spent")).alias("unspent"))
 
 
 def compare_allocation(optimised: DataFrame, historical: DataFrame) -> DataFrame:

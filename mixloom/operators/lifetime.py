@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,17 @@ WEEKS_PER_MONTH = 4.345
 CLV_PERIODS = 52
 DISCOUNT_RATE = 0.01
 PENALTY = 0.01
+#: Largest derivative of the mean log-likelihood (by log parameter) that counts as a stationary point.
+FLAT_GRADIENT = 1e-3
+
+
+@dataclass(frozen=True)
+class FitReport:
+    """How a fit ended: whether it converged, passes over the data, largest remaining derivative."""
+
+    converged: bool
+    passes: int
+    gradient: float
 
 
 @dataclass(frozen=True)
@@ -31,6 +42,7 @@ class BgNbd:
     alpha: float
     a: float
     b: float
+    report: FitReport | None = field(default=None, compare=False)
 
     def columns(self) -> dict[str, Column]:
         return {n: F.lit(float(getattr(self, n))) for n in ("r", "alpha", "a", "b")}
@@ -41,6 +53,7 @@ class GammaGamma:
     p: float
     q: float
     v: float
+    report: FitReport | None = field(default=None, compare=False)
 
     def columns(self) -> dict[str, Column]:
         return {n: F.lit(float(getattr(self, n))) for n in ("p", "q", "v")}
@@ -158,16 +171,17 @@ def bgnbd_fit(summary: DataFrame, penalty: float = PENALTY) -> BgNbd:
     oldest = histories.agg(F.max("T")).first()[0]
     scale = 10.0 / oldest if oldest else 1.0
     names = ("r", "alpha", "a", "b")
-    r, alpha, a, b = _maximise(
+    (r, alpha, a, b), report = _maximise(
         histories, names, F.col("n"), lambda p: _bgnbd_row(p, scale), bgnbd_constant, penalty
     )
-    return BgNbd(r, alpha / scale, a, b)
+    return BgNbd(r, alpha / scale, a, b, report)
 
 
 def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     """Penalised maximum likelihood on repeat buyers; each step is one aggregate."""
     buyers = stage(repeat_buyers(summary).select("frequency", "monetary_value"))
-    return GammaGamma(*_maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, gamma_gamma_constant, penalty))
+    parameters, report = _maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, gamma_gamma_constant, penalty)
+    return GammaGamma(*parameters, report)
 
 
 def _maximise(data, names, weight, row_loglik, constant, penalty, max_jobs=80, tolerance=1e-6):
@@ -210,8 +224,10 @@ def _maximise(data, names, weight, row_loglik, constant, penalty, max_jobs=80, t
 
     at = np.zeros(k)
     here, gradient, curvature = evaluate(at)
-    step, jobs = None, 1
-    while jobs < max_jobs and math.isfinite(here):
+    if not math.isfinite(here):
+        raise ValueError("the likelihood is not finite at the start; check the summary for negative or missing values")
+    step, jobs, converged = None, 1, False
+    while jobs < max_jobs:
         if step is None:
             # Positive curvature makes the step a descent; its length is limited.
             values, vectors = np.linalg.eigh(curvature)
@@ -223,15 +239,19 @@ def _maximise(data, names, weight, row_loglik, constant, penalty, max_jobs=80, t
             gained = here - tried[0]
             at, (here, gradient, curvature), step = at + step, tried, None
             if gained < tolerance * max(1.0, abs(here)):
+                converged = True
                 break
         else:
             step = step / 2
             if np.abs(step).max() < 1e-8:
+                # No step improves: a minimum, if the gradient says so, too.
+                converged = float(np.abs(gradient).max()) < FLAT_GRADIENT
                 break
-    return [float(v) for v in np.exp(at)]
+    report = FitReport(converged, jobs, float(np.abs(gradient).max()))
+    return [float(v) for v in np.exp(at)], report
 
 
-def _growth(x, age, t, m: BgNbd, terms: int) -> Column:
+def _growth(x, age, t, m: BgNbd) -> Column:
     """Expected purchases within ``t`` before the correction for having left.
 
     Euler's transformation of the published expression; its series has numerator
@@ -240,7 +260,7 @@ def _growth(x, age, t, m: BgNbd, terms: int) -> Column:
     a, b, r, alpha = m.a, m.b, m.r, m.alpha
     z = t / (F.lit(alpha) + age + t)
     top = F.lit(a + b - 1.0) + x
-    series = gauss_2f1(F.lit(a + b - 1.0 - r), F.lit(a - 1.0), top, z, terms)
+    series = gauss_2f1(F.lit(a + b - 1.0 - r), F.lit(a - 1.0), top, z)
     return top / F.lit(a - 1.0) * (F.lit(1.0) - F.pow(F.lit(1.0) - z, F.lit(a - 1.0)) * series)
 
 
@@ -258,22 +278,22 @@ def bgnbd_p_alive(summary: DataFrame, model: BgNbd, x="frequency", tx="recency",
 
 
 def bgnbd_expected_purchases(
-    summary: DataFrame, model: BgNbd, t, x="frequency", tx="recency", age="T", out="expected_purchases", terms=150
+    summary: DataFrame, model: BgNbd, t, x="frequency", tx="recency", age="T", out="expected_purchases"
 ) -> DataFrame:
     """Expected purchases in the next ``t`` periods (a number or the name of a column)."""
     horizon = F.col(t) if isinstance(t, str) else F.lit(t)
-    table = _growth_table(summary, [horizon.cast("double").alias("_t")], x, age, model, terms)
+    table = _growth_table(summary, [horizon.cast("double").alias("_t")], x, age, model)
     keyed = summary.withColumn("_t", horizon.cast("double"))
     joined = keyed.join(table, [x, age, "_t"], "left")
     fx, ftx, fage = (F.col(c).cast("double") for c in (x, tx, age))
     return joined.select(*summary.columns, (F.col("_growth") / _departure(fx, ftx, fage, model)).alias(out))
 
 
-def _growth_table(summary, extra, x, age, model, terms):
+def _growth_table(summary, extra, x, age, model):
     """The series per distinct (frequency, age, horizon); customers share few of them."""
     distinct = summary.select(x, age, *extra).distinct()
     return distinct.withColumn(
-        "_growth", _growth(F.col(x).cast("double"), F.col(age).cast("double"), F.col("_t"), model, terms)
+        "_growth", _growth(F.col(x).cast("double"), F.col(age).cast("double"), F.col("_t"), model)
     )
 
 
@@ -294,7 +314,6 @@ def predicted_clv(
     n_periods: int = CLV_PERIODS,
     period_len: float = WEEKS_PER_MONTH,
     rate: float = DISCOUNT_RATE,
-    terms: int = 150,
 ) -> DataFrame:
     """Discounted value of the expected purchases of ``n_periods`` periods.
 
@@ -306,7 +325,7 @@ def predicted_clv(
     pairs = summary.select("frequency", "T").distinct()
     x, age = F.col("frequency").cast("double"), F.col("T").cast("double")
     steps = pairs.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n_periods))))
-    growth = _growth(x, age, F.col("_k") * F.lit(period_len), model, terms)
+    growth = _growth(x, age, F.col("_k") * F.lit(period_len), model)
     # Summation by parts: sum (E_k - E_{k-1}) d^k = sum E_k (d^k - d^{k+1}) + E_n d^{n+1}.
     d = 1.0 / (1.0 + rate)
     factor = F.pow(F.lit(d), F.col("_k"))

@@ -177,17 +177,18 @@ def return_table(draws: DataFrame, media: DataFrame, kind: str = "roi", bump: fl
 
 def response_curve(draws: DataFrame, media: DataFrame, multipliers) -> DataFrame:
     """Outcome per channel over a grid of spend multipliers: mean, median and interval."""
-    spark = draws.sparkSession
-    grid = spark.createDataFrame([(float(m),) for m in multipliers], "multiplier double")
-    carried = carry_over(media, settings_of(draws)).crossJoin(F.broadcast(grid))
-    level = F.col("adstocked") * F.col("multiplier")
-    per_setting = carried.groupBy("geo", "channel", *SETTING, "multiplier").agg(
-        F.sum(hill(level, "ec", "slope")).alias("_response")
-    )
+    multipliers = [float(m) for m in multipliers]
+    # One sum per grid point beside each other: rows are read once and never multiplied by the grid.
+    sums = [F.sum(hill(F.col("adstocked") * F.lit(m), "ec", "slope")).alias(f"_r{i}") for i, m in enumerate(multipliers)]
+    per_setting = carry_over(media, settings_of(draws)).groupBy("geo", "channel", *SETTING).agg(*sums)
+    outcomes = [F.sum(F.col("beta") * F.col(f"_r{i}")).alias(f"_r{i}") for i in range(len(multipliers))]
+    points = [F.struct(F.lit(m).alias("multiplier"), F.col(f"_r{i}").alias("outcome")) for i, m in enumerate(multipliers)]
     per_draw = (
         per_setting.join(draws, ["geo", "channel", *SETTING])
-        .groupBy("draw", "channel", "multiplier")
-        .agg(F.sum(F.col("beta") * F.col("_response")).alias("outcome"))
+        .groupBy("draw", "channel")
+        .agg(*outcomes)
+        .select("draw", "channel", F.explode(F.array(*points)).alias("_point"))
+        .select("draw", "channel", "_point.*")
     )
     curve = per_draw.groupBy("channel", "multiplier").agg(F.avg("outcome").alias("mean"), *interval("outcome"))
     spent = curve.join(channel_spend(media), "channel")

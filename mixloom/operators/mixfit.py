@@ -84,6 +84,11 @@ def bootstrap_weights(weeks: DataFrame, replicates: int, seed: int) -> DataFrame
     return expanded.withColumn("w", weight.cast("double"))
 
 
+#: A sweep that moves no coefficient by more than this ends the descent; more sweeps than this are an error.
+SWEEP_TOLERANCE = 1e-9
+MAX_SWEEPS = 100_000
+
+
 def solve_blocks(size: int, n_media: int, ridge: float, centre: float):
     """Per-batch solver for rows of summed Gram matrices; numpy on p x p systems."""
     n_pairs = size * (size + 1) // 2
@@ -104,11 +109,16 @@ def solve_blocks(size: int, n_media: int, ridge: float, centre: float):
             rhs[:, :n_media] += penalty[:, None] * centre
             beta = np.zeros_like(rhs)
             # Coordinate descent; media effects stay non-negative.
-            for _ in range(500):
+            for _ in range(MAX_SWEEPS):
+                before = beta.copy()
                 for i in range(size):
                     rest = rhs[:, i] - np.einsum("nj,nj->n", system[:, i, :], beta) + system[:, i, i] * beta[:, i]
                     value = rest / np.maximum(system[:, i, i], 1e-12)
                     beta[:, i] = np.maximum(value, 0.0) if i < n_media else value
+                if (np.abs(beta - before) <= SWEEP_TOLERANCE * np.maximum(1.0, np.abs(beta))).all():
+                    break
+            else:
+                raise ValueError(f"coordinate descent did not converge in {MAX_SWEEPS} sweeps")
             held, held_cross = unpack(pdf, "h_")
             sse = (
                 pdf["h_yy"].to_numpy()

@@ -365,7 +365,7 @@ def preprocessor(t: Tables) -> DataFrame:
 
 @query("l8_random_forest")
 def random_forest(t: Tables) -> DataFrame:
-    return _scored(t, churn_ops.random_forest(LABEL, trees=20, depth=5))
+    return _scored(t, churn_ops.random_forest(LABEL))
 
 
 @query("l9_logistic_regression")
@@ -375,7 +375,7 @@ def logistic_regression(t: Tables) -> DataFrame:
 
 @query("l10_gradient_boosting")
 def gradient_boosting(t: Tables) -> DataFrame:
-    return _scored(t, churn_ops.gradient_boosting(LABEL, rounds=10, depth=3))
+    return _scored(t, churn_ops.gradient_boosting(LABEL))
 
 
 @query("l12_predict_all_rows")
@@ -398,8 +398,9 @@ def select_best(t: Tables) -> DataFrame:
     train, test = _split(t)
     train, test = _filled(train, train), _filled(train, test)
     candidates = {
-        "random_forest": churn_ops.random_forest(LABEL, trees=20, depth=5),
+        "random_forest": churn_ops.random_forest(LABEL),
         "logistic_regression": churn_ops.logistic_regression(LABEL),
+        "gradient_boosting": churn_ops.gradient_boosting(LABEL),
     }
     models = {n: churn_ops.train(train, LABEL, NUMERIC, CATEGORICAL, c) for n, c in candidates.items()}
     best, scores = churn_ops.select_best(models, test, LABEL)
@@ -409,7 +410,7 @@ def select_best(t: Tables) -> DataFrame:
 
 @query("l15_feature_importance")
 def feature_importance(t: Tables) -> DataFrame:
-    model, train, _ = _fitted(t, churn_ops.random_forest(LABEL, trees=20, depth=5))
+    model, train, _ = _fitted(t, churn_ops.random_forest(LABEL))
     return churn_ops.feature_importance(model, train, NUMERIC, CATEGORICAL)
 
 

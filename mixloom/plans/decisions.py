@@ -265,7 +265,7 @@ def _multiplier_sql(name: str) -> str:
 
 def _strategy(metrics: DataFrame, name: str) -> DataFrame:
     if name == "saturation_aware":
-        # Saturated here means below the median channel, so that both kinds occur.
+        # These stand-in returns are all below 1; a level from the data leaves channels to move the budget to.
         level = metrics.agg(F.median("mroi_median")).first()[0]
         return budget.strategy_saturation_aware(metrics, level=level)
     return {
@@ -431,17 +431,36 @@ def union_scenarios(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- curves and budget
 
-GRID = budget.spend_grid(0.5, 2.0, 30)
+GRID = budget.spend_grid()
 _grid_sql = f"(SELECT unnest([{', '.join(f'{m!r}::DOUBLE' for m in GRID)}]) AS multiplier)"
-_curve_sql = f"""
-    per_draw AS (SELECT draw, channel, multiplier,
-                        sum(beta * (adstocked * multiplier / (adstocked * multiplier + ec))) AS outcome
+
+
+def _digits(column: str) -> int:
+    """Steps of the grid are fractions of cents: four digits would cut spend at exact halves."""
+    return 6 if column.startswith("spend") else 4
+
+
+def _money(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, _digits(c)) for c in columns})
+
+
+def _curves_sql(hill: str) -> str:
+    return f"""
+    per_draw AS (SELECT draw, channel, multiplier, sum(beta * {hill}) AS outcome
                  FROM draws JOIN carried USING (geo, channel), {_grid_sql} GROUP BY ALL),
     curve AS (SELECT channel, multiplier, mean, q[1] AS low, q[2] AS median, q[3] AS high, spend_total * multiplier AS spend
               FROM (SELECT channel, multiplier, avg(outcome) AS mean, quantile_cont(outcome, [0.025, 0.5, 0.975]) AS q
                     FROM per_draw GROUP BY ALL) JOIN channel_spend USING (channel))"""
 
 
+_curve_sql = _curves_sql("(adstocked * multiplier / (adstocked * multiplier + ec))")
+# A slope above one gives S-shaped curves.
+SLOPE = 3.0
+_s_curve_sql = _curves_sql(
+    f"(power(adstocked * multiplier, {SLOPE}::DOUBLE) / (power(adstocked * multiplier, {SLOPE}::DOUBLE) + power(ec, {SLOPE}::DOUBLE)))"
+)
+
+
 def _curve(t: Tables) -> DataFrame:
     return media_ops.response_curve(views.draws(t), views.media(t), GRID)
 
@@ -450,43 +469,56 @@ def _curve(t: Tables) -> DataFrame:
     "m14_response_curve",
     with_views(
         "draws carried channel_spend",
-        f"""WITH {_curve_sql} SELECT channel, multiplier, round(spend, 4) AS spend, round(mean, 4) AS mean,
+        f"""WITH {_curve_sql} SELECT channel, multiplier, round(spend, 6) AS spend, round(mean, 4) AS mean,
                    round(low, 4) AS low, round(median, 4) AS median, round(high, 4) AS high FROM curve""",
     ),
 )
 def response_curve(t: Tables) -> DataFrame:
-    return rounded(_curve(t), 4, "spend", "mean", "low", "median", "high")
+    return _money(_curve(t), "spend", "mean", "low", "median", "high")
 
 
-_optimal_sql = f"""
-    inc AS (SELECT channel, spend, spend - lag(spend) OVER w AS cost, median - lag(median) OVER w AS gain
-            FROM curve WINDOW w AS (PARTITION BY channel ORDER BY spend)),
+_optimal_sql = """
+    hull AS (SELECT c.channel, c.spend, c.median FROM curve c JOIN curve o ON o.channel = c.channel GROUP BY ALL
+             HAVING coalesce(max(CASE WHEN o.spend > c.spend THEN (o.median - c.median) / (o.spend - c.spend) END)
+                             <= min(CASE WHEN o.spend < c.spend THEN (o.median - c.median) / (o.spend - c.spend) END), TRUE)),
+    inc AS (SELECT channel, spend, median, spend - lag(spend) OVER w AS cost, median - lag(median) OVER w AS gain
+            FROM hull WINDOW w AS (PARTITION BY channel ORDER BY spend)),
     flo AS (SELECT channel, min(spend) AS low_spend, arg_min(median, spend) AS low_outcome FROM curve GROUP BY 1),
     ranked AS (SELECT *, sum(cost) OVER (ORDER BY gain / cost DESC, channel, spend ROWS UNBOUNDED PRECEDING) AS used
-               FROM inc WHERE cost > 0),
-    taken AS (SELECT channel, sum(cost) AS added, sum(gain) AS gained FROM ranked
+               FROM inc WHERE cost > 0 AND gain > 0),
+    taken AS (SELECT channel, max(spend) AS reached, arg_max(median, spend) AS reached_outcome FROM ranked
               WHERE used <= ((SELECT sum(spend_total) FROM channel_spend) - (SELECT sum(low_spend) FROM flo)) * (1 + 1e-12)
               GROUP BY 1),
-    opt AS (SELECT channel, spend_total AS spend_historical, low_spend + coalesce(added, 0) AS spend,
-                   low_outcome + coalesce(gained, 0) AS incremental_outcome
+    opt AS (SELECT channel, spend_total AS spend_historical, coalesce(reached, low_spend) AS spend,
+                   coalesce(reached_outcome, low_outcome) AS incremental_outcome
             FROM flo JOIN channel_spend USING (channel) LEFT JOIN taken USING (channel)),
     hist AS (SELECT channel, spend, median AS incremental_outcome FROM curve WHERE multiplier = 1.0)"""
 
 
-def _with_optimal(body: str) -> str:
-    return with_views("draws carried channel_spend", f"WITH {_curve_sql}, {_optimal_sql} {body}")
+def _with_optimal(body: str, curve: str = _curve_sql) -> str:
+    return with_views("draws carried channel_spend", f"WITH {curve}, {_optimal_sql} {body}")
 
 
-@query(
-    "m16_optimize_budget",
-    _with_optimal(
-        """SELECT channel, round(spend_historical, 4) AS spend_historical, round(spend, 4) AS spend,
-                  round(incremental_outcome, 4) AS incremental_outcome FROM opt"""
-    ),
-)
+_allocation_sql = """SELECT channel, round(spend_historical, 6) AS spend_historical, round(spend, 6) AS spend,
+       round(incremental_outcome, 4) AS incremental_outcome,
+       round((SELECT sum(spend_historical) - sum(spend) FROM opt), 2) AS unspent FROM opt"""
+
+
+def _allocation(curve: DataFrame) -> DataFrame:
+    optimised = budget.optimize_budget(stage(curve))
+    return _money(rounded(optimised, 2, "unspent"), "spend_historical", "spend", "incremental_outcome")
+
+
+@query("m16_optimize_budget", _with_optimal(_allocation_sql))
 def optimize_budget(t: Tables) -> DataFrame:
-    optimised = budget.optimize_budget(stage(_curve(t)))
-    return rounded(optimised, 4, "spend_historical", "spend", "incremental_outcome")
+    return _allocation(_curve(t))
+
+
+@query("m16_optimize_budget_s_shaped", _with_optimal(_allocation_sql, _s_curve_sql))
+def optimize_budget_s_shaped(t: Tables) -> DataFrame:
+    """The same budget on curves that bend upwards first."""
+    draws = views.draws(t).withColumn("slope", F.lit(SLOPE))
+    return _allocation(media_ops.response_curve(draws, views.media(t), GRID))
 
 
 def _comparison(t: Tables) -> DataFrame:
@@ -507,23 +539,23 @@ MONEY = ("spend_historical", "revenue_historical", "spend_optimized", "revenue_o
 @query(
     "m17_compare_allocation",
     _with_optimal(
-        f", {_comparison_sql} SELECT channel, spend_delta_pct, {', '.join(f'round({c}, 4) AS {c}' for c in MONEY)} FROM cmp"
+        f", {_comparison_sql} SELECT channel, spend_delta_pct, {', '.join(f'round({c}, {_digits(c)}) AS {c}' for c in MONEY)} FROM cmp"
     ),
 )
 def compare_allocation(t: Tables) -> DataFrame:
-    return rounded(_comparison(t), 4, *MONEY)
+    return _money(_comparison(t), *MONEY)
 
 
 @query(
     "m18_reallocation_report",
     _with_optimal(
         f""", {_comparison_sql} SELECT channel, CASE WHEN spend_delta > 0 THEN 'Increase' ELSE 'Decrease' END AS direction,
-              round(spend_delta, 4) AS spend_delta, round(spend_historical, 4) AS spend_from,
-              round(spend_optimized, 4) AS spend_to FROM cmp"""
+              round(spend_delta, 6) AS spend_delta, round(spend_historical, 6) AS spend_from,
+              round(spend_optimized, 6) AS spend_to FROM cmp"""
     ),
 )
 def reallocation_report(t: Tables) -> DataFrame:
-    return rounded(budget.reallocation_report(_comparison(t)), 4, "spend_delta", "spend_from", "spend_to")
+    return _money(budget.reallocation_report(_comparison(t)), "spend_delta", "spend_from", "spend_to")
 
 
 @query(
@@ -531,7 +563,7 @@ def reallocation_report(t: Tables) -> DataFrame:
     _with_optimal(
         f""", {_comparison_sql}, s AS (SELECT sum(spend_historical) AS sh, sum(spend_optimized) AS so,
                 sum(revenue_historical) AS rh, sum(revenue_optimized) AS ro FROM cmp)
-            SELECT round(sh, 4) AS spend_historical, round(so, 4) AS spend_optimized, round(rh, 4) AS revenue_historical,
+            SELECT round(sh, 6) AS spend_historical, round(so, 6) AS spend_optimized, round(rh, 4) AS revenue_historical,
                    round(ro, 4) AS revenue_optimized, round(ro - rh, 4) AS revenue_gain,
                    round((ro - rh) * 100 / rh, 6) AS revenue_gain_pct, round(rh / sh, 6) AS roi_historical,
                    round(ro / so, 6) AS roi_optimized FROM s"""
@@ -540,7 +572,7 @@ def reallocation_report(t: Tables) -> DataFrame:
 def optimization_totals(t: Tables) -> DataFrame:
     totals = budget.optimization_totals(_comparison(t))
     money = ["spend_historical", "spend_optimized", "revenue_historical", "revenue_optimized", "revenue_gain"]
-    return rounded(rounded(totals, 4, *money), 6, "revenue_gain_pct", "roi_historical", "roi_optimized")
+    return rounded(_money(totals, *money), 6, "revenue_gain_pct", "roi_historical", "roi_optimized")
 
 
 # ---------------------------------------------------------------- accuracy and fit
@@ -591,7 +623,7 @@ def mmm_accuracy_national(t: Tables) -> DataFrame:
     )
 
 
-REPLICATES = 50
+REPLICATES = 100
 
 
 def _fit(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:

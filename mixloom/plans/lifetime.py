@@ -17,7 +17,9 @@ from mixloom.sources.staging import stage
 MODEL = life.BgNbd(r=1.34, alpha=23.9, a=0.6, b=1.9)
 SPEND = life.GammaGamma(p=2.95, q=3.4, v=2.99)
 HORIZON = 26.0
-CALIBRATION_END = "2000-06-30"
+# The first three quarters of the observed days calibrate, the rest is held out.
+CALIBRATION_SHARE = 0.75
+REPORT = "converged boolean, passes int, gradient double"
 UNIT_COLUMNS = ["customer_id", "frequency", "recency", "T", "monetary_value"]
 
 
@@ -36,9 +38,11 @@ def _summary(t: Tables) -> DataFrame:
 
 def _cal_holdout(t: Tables) -> DataFrame:
     tx = _transactions(t)
-    end = tx.agg(F.date_add(F.max("order_date"), 1)).first()[0]
+    days = F.floor(F.datediff(F.max("order_date"), F.min("order_date")) * F.lit(CALIBRATION_SHARE)).cast("int")
+    cut = F.date_add(F.min("order_date"), days)
+    end, cal_end = tx.agg(F.date_add(F.max("order_date"), 1), cut).first()
     return stage(
-        life.calibration_holdout(tx, "customer_id", "order_date", "gross_revenue_usd", CALIBRATION_END, F.lit(end))
+        life.calibration_holdout(tx, "customer_id", "order_date", "gross_revenue_usd", cal_end, F.lit(end))
     )
 
 
@@ -58,14 +62,16 @@ def _summary_cte(name: str, end: str, where: str = "TRUE") -> str:
 
 _end = "(SELECT max(order_date) + 1 FROM order_sales)"
 SUMMARY = _summary_cte("s", _end)
+_cal_end = f"""(SELECT min(order_date) + CAST(floor((max(order_date) - min(order_date)) * {CALIBRATION_SHARE}) AS INTEGER)
+               FROM order_sales)"""
 CAL = (
-    _summary_cte("c", f"DATE '{CALIBRATION_END}'", f"order_date <= DATE '{CALIBRATION_END}'")
+    _summary_cte("c", _cal_end, f"order_date <= {_cal_end}")
     + f""",
     ch AS (SELECT c.customer_id, frequency AS frequency_cal, recency AS recency_cal, T AS T_cal,
                   monetary_value, coalesce(h.n, 0) AS frequency_holdout,
-                  {_week(_end)} - {_week(f"DATE '{CALIBRATION_END}'")} AS duration_holdout
+                  {_week(_end)} - {_week(_cal_end)} AS duration_holdout
            FROM c LEFT JOIN (SELECT customer_id, count(DISTINCT {_week('order_date')}) AS n FROM order_sales
-                             WHERE order_date > DATE '{CALIBRATION_END}' GROUP BY 1) h USING (customer_id))"""
+                             WHERE order_date > {_cal_end} GROUP BY 1) h USING (customer_id))"""
 )
 
 
@@ -129,8 +135,8 @@ def bgnbd_fit(t: Tables) -> DataFrame:
     """Fitted on the calibration period only, so that the holdout stays unseen."""
     cal = _cal_holdout(t).withColumnsRenamed({"frequency_cal": "frequency", "recency_cal": "recency", "T_cal": "T"})
     m = life.bgnbd_fit(cal)
-    row = [(m.r, m.alpha, m.a, m.b)]
-    parameters = t.spark.createDataFrame(row, "r double, alpha double, a double, b double")
+    row = [(m.r, m.alpha, m.a, m.b, m.report.converged, m.report.passes, m.report.gradient)]
+    parameters = t.spark.createDataFrame(row, f"r double, alpha double, a double, b double, {REPORT}")
     return parameters.crossJoin(life.bgnbd_loglik(cal, m))
 
 
@@ -191,7 +197,8 @@ def gamma_gamma_loglik(t: Tables) -> DataFrame:
 def gamma_gamma_fit(t: Tables) -> DataFrame:
     summary = _summary(t)
     g = life.gamma_gamma_fit(summary)
-    parameters = t.spark.createDataFrame([(g.p, g.q, g.v)], "p double, q double, v double")
+    row = [(g.p, g.q, g.v, g.report.converged, g.report.passes, g.report.gradient)]
+    parameters = t.spark.createDataFrame(row, f"p double, q double, v double, {REPORT}")
     return parameters.crossJoin(life.gamma_gamma_loglik(summary, g))
 
 
@@ -209,8 +216,7 @@ def gg_expected_value(t: Tables) -> DataFrame:
     return rounded(valued.select("customer_id", "expected_value"), 4, "expected_value")
 
 
-# Twelve monthly periods keep the SQL series, which is evaluated per customer and period, small.
-PERIODS = 12
+PERIODS = life.CLV_PERIODS
 _clv_sql = f"""
     k AS (SELECT frequency, T, n, {_expected_sql(MODEL, f'(n * {life.WEEKS_PER_MONTH}::DOUBLE)', tx='T')}
                  / {_p_alive_sql(MODEL, tx='T')} AS growth

@@ -281,8 +281,8 @@ def safe_ratio(t: Tables) -> DataFrame:
     return rounded(as_text(panel, "DATE_DAY"), 6, "discount_rate")
 
 
-# Inside the observed range of shares, so that some channels stay and some go.
-SPARSE_SHARE = 0.10
+# The published limit.
+SPARSE_SHARE = 0.70
 
 
 _sparse = " UNION ALL ".join(

@@ -30,31 +30,31 @@ def star_join(t: Tables) -> DataFrame:
 @query(
     "j2_price_lookup",
     with_views(
-        "order_ order_item price_change",
+        "order_ order_item fulfilled_price",
         """SELECT i.order_id, i.product_id, o.year, o.week, i.quantity, round(p.unit_price, 8) AS unit_price
            FROM order_item i JOIN order_ o USING (order_id)
-           JOIN price_change p ON p.product_id = i.product_id AND p.year = o.year AND p.week = o.week""",
+           JOIN fulfilled_price p ON p.product_id = i.product_id AND p.year = o.year AND p.week = o.week""",
     ),
 )
 def price_lookup(t: Tables) -> DataFrame:
     items = views.order_item(t).join(views.order(t).select("order_id", "year", "week"), "order_id")
-    priced = items.join(views.price_change(t), ["product_id", "year", "week"])
+    priced = items.join(views.fulfilled_price(t), ["product_id", "year", "week"])
     return rounded(priced.select("order_id", "product_id", "year", "week", "quantity", "unit_price"), 8, "unit_price")
 
 
 @query(
     "j2_price_as_of",
     with_views(
-        "order_ order_item price_change",
+        "order_ order_item fulfilled_price",
         """SELECT i.order_id, i.product_id, o.year, o.week, i.quantity, round(p.unit_price, 8) AS unit_price
            FROM order_item i JOIN order_ o USING (order_id)
-           ASOF JOIN (SELECT product_id, year * 100 + week AS at, unit_price FROM price_change) p
+           ASOF JOIN (SELECT product_id, year * 100 + week AS at, unit_price FROM fulfilled_price) p
              ON p.product_id = i.product_id AND o.year * 100 + o.week >= p.at""",
     ),
 )
 def price_as_of(t: Tables) -> DataFrame:
     items = views.order_item(t).join(views.order(t).select("order_id", "year", "week"), "order_id")
-    priced = revenue.price_as_of(items, stage(views.price_change(t)))
+    priced = revenue.price_as_of(items, stage(views.fulfilled_price(t)))
     return rounded(priced.select("order_id", "product_id", "year", "week", "quantity", "unit_price"), 8, "unit_price")
 
 

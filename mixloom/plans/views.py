@@ -76,19 +76,24 @@ def customer(t: Tables) -> DataFrame:
     )
 
 
-def price_change(t: Tables) -> DataFrame:
-    """Weekly price list: the highest unit price among the fulfilled lines of the week."""
-    fulfilled = t.lineitem.filter(F.col("l_linestatus") == "F").select(
+def price_change(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """Weekly price list: the highest unit price among the lines of the week."""
+    lines = (t.lineitem if lines is None else lines).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"),
     )
     weeks = order(t).select("order_id", "year", "week")
-    return fulfilled.join(weeks, "order_id").groupBy("product_id", "year", "week").agg(
+    return lines.join(weeks, "order_id").groupBy("product_id", "year", "week").agg(
         F.max("price").alias("unit_price")
     )
 
 
+def fulfilled_price(t: Tables) -> DataFrame:
+    """Price list of fulfilled lines only; it lacks prices, as a look-up must be able to meet."""
+    return price_change(t, t.lineitem.filter(F.col("l_linestatus") == "F"))
+
+
 def main_items(t: Tables) -> DataFrame:
     return revenue.main_dataset(order(t), customer(t), order_item(t), product(t), category(t), price_change(t))
 
@@ -117,8 +122,8 @@ def tiers(t: Tables) -> DataFrame:
     return scoring.value_tiers(clv(t))
 
 
-# Segments below this size are merged; the published size of 100 leaves no large segment here.
-MIN_SEGMENT = 20
+# Segments below this size are merged: the published size.
+MIN_SEGMENT = 100
 
 SQL: dict[str, str] = {
     "order_": """
@@ -139,6 +144,9 @@ SQL: dict[str, str] = {
         JOIN nation ON n_nationkey = c_nationkey
         JOIN region ON r_regionkey = n_regionkey""",
     "price_change": """
+        SELECT l_partkey AS product_id, year, week, max(floor(l_extendedprice / l_quantity)) AS unit_price
+        FROM lineitem JOIN order_ ON order_id = l_orderkey GROUP BY ALL""",
+    "fulfilled_price": """
         SELECT l_partkey AS product_id, year, week, max(floor(l_extendedprice / l_quantity)) AS unit_price
         FROM lineitem JOIN order_ ON order_id = l_orderkey
         WHERE l_linestatus = 'F' GROUP BY ALL""",

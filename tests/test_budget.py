@@ -109,17 +109,44 @@ def test_greedy_steps_are_the_best_allocation(spark):
     assert 12.0 <= less <= 14.0
 
 
-def test_concave_envelope(spark):
-    df = curve(spark, {"S": (10.0, lambda s: s**3 / (s**3 + 1000.0)), "R": (10.0, lambda s: s / (s + 10))}, 0.1, 2.0, 19)
-    hull = budget.concave_envelope(df, "median").orderBy("channel", "spend").collect()
-    raw = df.orderBy("channel", "spend").collect()
+def test_envelope_points(spark):
+    shapes = {"S": (10.0, lambda s: s**3 / (s**3 + 1000.0)), "R": (10.0, lambda s: s / (s + 10))}
+    df = curve(spark, shapes, 0.1, 2.0, 19)
     for c in ("S", "R"):
-        upper = [r["median"] for r in hull if r["channel"] == c]
-        lower = [r["median"] for r in raw if r["channel"] == c]
-        steps = [b - a for a, b in zip(upper, upper[1:])]
-        assert all(u >= v - 1e-12 for u, v in zip(upper, lower))
-        assert all(b <= a + 1e-9 for a, b in zip(steps, steps[1:]))
-    assert [r["median"] for r in hull if r["channel"] == "R"] == pytest.approx([r["median"] for r in raw if r["channel"] == "R"])
+        raw = [(r["spend"], r["median"]) for r in df.filter(F.col("channel") == c).orderBy("spend").collect()]
+        hull = [(r["spend"], r["median"]) for r in budget.envelope_points(df).filter(F.col("channel") == c).orderBy("spend").collect()]
+        slopes = [(y2 - y1) / (x2 - x1) for (x1, y1), (x2, y2) in itertools.pairwise(hull)]
+        assert set(hull) <= set(raw) and hull[0] == raw[0] and hull[-1] == raw[-1]
+        assert all(b <= a + 1e-12 for a, b in itertools.pairwise(slopes))
+        for x, y in raw:
+            left, right = max(p for p in hull if p[0] <= x), min(p for p in hull if p[0] >= x)
+            line = left[1] if left == right else left[1] + (right[1] - left[1]) * (x - left[0]) / (right[0] - left[0])
+            assert y <= line + 1e-12
+        assert len(hull) == len(raw) if c == "R" else len(hull) < len(raw)
+
+
+def best_by_force(shapes, grids, limit):
+    plans = itertools.product(*grids)
+    return max(sum(f(s) for s, (_, f) in zip(plan, shapes.values())) for plan in plans if sum(plan) <= limit + 1e-9)
+
+
+def hill4(top, half):
+    return lambda s: top * s**4 / (s**4 + half**4)
+
+
+def test_s_shaped_curves(spark):
+    """Both budgets pay whole stretches, so the greedy plan is the best one; its outcome is on the curve."""
+    shapes = {"A": (100.0, hill4(300.0, 90.0)), "B": (100.0, hill4(900.0, 80.0))}
+    df = curve(spark, shapes, 0.0, 2.0, 20)
+    grids = [[100.0 * m for m in budget.spend_grid(0.0, 2.0, 20)]] * 2
+    for limit in (150.0, 260.0, 400.0):
+        out = {r["channel"]: r for r in budget.optimize_budget(df, budget=limit).collect()}
+        for c, (_, f) in shapes.items():
+            assert out[c]["incremental_outcome"] == pytest.approx(f(out[c]["spend"]))
+        spent = sum(r["spend"] for r in out.values())
+        assert spent <= limit + 1e-9 and all(r["unspent"] == pytest.approx(limit - spent) for r in out.values())
+        # With what was spent nothing better could have been done.
+        assert sum(r["incremental_outcome"] for r in out.values()) == pytest.approx(best_by_force(shapes, grids, spent))
 
 
 def test_kpis(spark, three):

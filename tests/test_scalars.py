@@ -22,9 +22,9 @@ def test_lgamma_matches_the_library(spark):
 def test_gauss_series_on_closed_forms(spark):
     z = [0.0, 0.1, 0.5, 0.8]
     # 2F1(a, b; b; z) = (1 - z)^-a and 2F1(1, 1; 2; z) = -ln(1 - z) / z
-    power = column(spark, z, scalars.gauss_2f1(F.lit(0.7), F.lit(1.9), F.lit(1.9), F.col("x"), 300))
+    power = column(spark, z, scalars.gauss_2f1(F.lit(0.7), F.lit(1.9), F.lit(1.9), F.col("x")))
     assert np.allclose(power, [(1 - v) ** -0.7 for v in z], rtol=1e-12)
-    log = column(spark, z[1:], scalars.gauss_2f1(F.lit(1.0), F.lit(1.0), F.lit(2.0), F.col("x"), 400))
+    log = column(spark, z[1:], scalars.gauss_2f1(F.lit(1.0), F.lit(1.0), F.lit(2.0), F.col("x")))
     assert np.allclose(log, [-math.log(1 - v) / v for v in z[1:]], rtol=1e-12)
 
 
