@@ -92,7 +92,12 @@ def cost_threshold(scan: DataFrame, cost_fp: float, cost_fn: float) -> DataFrame
 
 
 def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
-    """Balanced weight n / (k n_class) on every row, by a broadcast of one row per class."""
+    """Balanced weight n / (k n_class) on every row, by a broadcast of one row per class.
+
+    A row without label has no class to be weighed by; it fails the job instead of getting lost.
+    """
+    known = F.when(F.col(label).isNull(), F.raise_error(F.lit(f"{label} is NULL"))).otherwise(F.col(label))
+    df = df.withColumn(label, known.cast(df.schema[label].dataType))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
     weights = counts.crossJoin(F.broadcast(total)).select(label, (F.col("_all") / (F.col("_k") * F.col("_n"))).alias(out))

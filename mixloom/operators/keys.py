@@ -80,7 +80,7 @@ def add_salt(left: DataFrame, keys, salts: dict) -> DataFrame:
     The partition number spreads identical rows, which hash alike; both stay the same
     when a task is run again.
     """
-    row = F.xxhash64(*left.columns) + F.spark_partition_id()
+    row = F.xxhash64(*left.columns, F.spark_partition_id())
     return left.withColumn("_salt", F.pmod(row, _salts_of(keys, salts)).cast("int"))
 
 

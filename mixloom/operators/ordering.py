@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mixloom.sources.staging import stage
+
 SMALL_ROWS = 500_000
 SKETCH_ACCURACY = 10_000
 
@@ -22,29 +24,20 @@ SKETCH_ACCURACY = 10_000
 def exact_quantiles(df: DataFrame, columns, probs, small_rows: int = SMALL_ROWS) -> dict[str, list]:
     """Exact linearly interpolated quantiles of each column, NULLs skipped.
 
-    Up to ``small_rows`` values the built-in ``percentile`` does it in one aggregate.
-    It keeps every distinct value in one task, so longer columns are narrowed first:
-    a sketch brackets each wanted rank, the rows around the bracket are counted, and
-    the rank is looked up inside the remaining range only. All columns share these
-    passes. ``df`` is read several times and should be staged.
+    A rank is looked up among the distinct values of its range, which starts as the whole column.
+    While a range holds more than ``small_rows`` rows, it is narrowed: a sketch brackets the rank and
+    the rows around the bracket are counted. All columns share these passes. ``df`` is read
+    several times and should be staged.
     """
     columns, probs = list(columns), [float(p) for p in probs]
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    result: dict[str, list] = {c: [None] * len(probs) for c in columns if counts[c] == 0}
-    short = [c for c in columns if 0 < counts[c] <= small_rows]
-    if short:
-        wanted = F.array(*[F.lit(p) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in short]).first()
-        result.update({c: list(row[c]) for c in short})
-    long = [c for c in columns if counts[c] > small_rows]
-    positions = {c: [p * (counts[c] - 1) for p in probs] for c in long}
+    positions = {c: [p * (counts[c] - 1) for p in probs] for c in columns if counts[c]}
     searches = [
-        _Search(c, counts[c], sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))})) for c in long
+        _Search(c, counts[c], sorted({r for p in ps for r in (math.floor(p), math.ceil(p))}))
+        for c, ps in positions.items()
     ]
     at = _values_at(df, searches, small_rows)
-    for c in long:
-        result[c] = [_interpolate(at, c, p) for p in positions[c]]
-    return result
+    return {c: [_interpolate(at, c, p) for p in positions[c]] if c in positions else [None] * len(probs) for c in columns}
 
 
 def _interpolate(at, column, position):
@@ -147,42 +140,26 @@ def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> list[_Search
 
 
 def order_ranges(df: DataFrame, order, buckets: int | None = None) -> DataFrame:
-    """Add ``_range``: the number of a range of the ascending ``order`` columns.
+    """``df`` with ``_range``, the number of a range of the ascending ``order`` columns.
 
-    Range limits come from a small sample and are put into the plan as literals, so
-    a recomputed task assigns every row the same range again. ``order`` should be
-    unique per row; then equal leading values cannot pile up in one range.
+    Spark's range partitioning deals the rows out; they are written with their number, so that a
+    recomputed task can't deal them anew. ``order`` should be unique per row; then equal
+    leading values cannot pile up in one range.
     """
-    spark = df.sparkSession
-    buckets = buckets or min(2000, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = df.select(*[F.col(c) for c in order])
-    total = keys.count()
-    fraction = min(1.0, 32.0 * buckets / max(total, 1))
-    sample = keys if fraction >= 1.0 else keys.sample(fraction, seed=7)
-    rows = sorted(tuple(r) for r in sample.collect())
-    limits = sorted({rows[len(rows) * i // buckets] for i in range(1, buckets)}) if rows else []
-    if not limits:
-        return df.withColumn("_range", F.lit(0))
-    types = {f.name: f.dataType for f in keys.schema}
-
-    def as_struct(row):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, row)])
-
-    position = F.struct(*[F.col(c) for c in order])
-    passed = F.filter(F.array(*[as_struct(r) for r in limits]), lambda limit: limit <= position)
-    return df.withColumn("_range", F.size(passed))
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.repartitionByRange(buckets, *order).withColumn("_range", F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, order, sums: dict, buckets: int | None = None) -> DataFrame:
     """Running sums over the whole table in ascending ``order``.
 
-    ``sums`` maps an output name to the column to sum. Rows are ranked inside ranges
-    of the order; a table with one row per range carries the totals of all earlier
-    ranges. ``df`` is read several times and should be staged.
+    ``sums`` maps an output name to the column to sum. Rows are summed up inside ranges of the
+    order; a table with one row per range carries the totals of all earlier ranges. There are as
+    many ranges as shuffle partitions, so ranges get more, not larger, with the table.
     """
     ranged = order_ranges(df, order, buckets)
     totals = ranged.groupBy("_range").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in sums.items()])
-    # One row per range, at most 2000.
+    # One row per shuffle partition.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("_range"),

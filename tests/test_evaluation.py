@@ -78,3 +78,9 @@ def test_accuracy_levels(spark):
 def test_top_share(spark):
     df = spark.createDataFrame([(f"f{i}", float(v)) for i, v in enumerate([5, 4, 3, 2, 1, 5])], "f string, v double")
     assert evaluation.share_of_top_n(df, "f", "v", 2).first()[0] == pytest.approx(50.0)
+
+
+def test_a_missing_label_fails(spark):
+    df = spark.createDataFrame([(1, 1), (None, 2)], "label int, x int")
+    with pytest.raises(Exception, match="label is NULL"):
+        evaluation.class_weights(df, "label").collect()

@@ -2,8 +2,11 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from mixloom.plans.registry import load_all
+from mixloom.plans import views
+from mixloom.plans.registry import Tables, load_all
 from tools.check_oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -35,6 +38,16 @@ def test_query_equals_its_sql(spark, name):
     assert verdict.startswith("ok"), verdict
 
 
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
+def test_every_line_keeps_its_price_and_a_lookup_can_miss(spark):
+    tables = Tables(spark, FOLDER)
+    lines = tables.lineitem.count()
+    assert views.main_items(tables).count() == lines
+    found = load_all()["j2_price_lookup"].build(tables)
+    missed = tables.lineitem.join(found, (F.col("l_orderkey") == F.col("order_id")) & (F.col("l_partkey") == F.col("product_id")), "left_anti")
+    assert 0 < found.count() < lines and missed.count() > 0
+
+
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
 def test_flagship(spark):
     assert entry.entry(spark).count() == 10
