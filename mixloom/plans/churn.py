@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from mixloom.operators.scoring import CHURN_DAYS
 from mixloom.plans import views
 from mixloom.plans.registry import Tables, query, rounded
 from mixloom.plans.views import with_views
-from mixloom.sources.staging import stage
+from mixloom.sources import writers
+from mixloom.sources.staging import stage, staging_root
 
 NUMERIC = ("n_orders", "spend", "balance", "tenure", "urgent_orders")
 CATEGORICAL = ("segment", "nation")
@@ -393,16 +396,34 @@ def attach_predictions(t: Tables) -> DataFrame:
     return churn_ops.predict(model, train).select("customer_id", *NUMERIC, *CATEGORICAL, "predicted_class")
 
 
-@query("l13_select_best")
-def select_best(t: Tables) -> DataFrame:
+def _candidates(t: Tables):
+    """Three fitted models by name, with their train and test rows."""
     train, test = _split(t)
-    train, test = _filled(train, train), _filled(train, test)
+    train, test = stage(_filled(train, train)), stage(_filled(train, test))
     candidates = {
         "random_forest": churn_ops.random_forest(LABEL),
         "logistic_regression": churn_ops.logistic_regression(LABEL),
         "gradient_boosting": churn_ops.gradient_boosting(LABEL),
     }
-    models = {n: churn_ops.train(train, LABEL, NUMERIC, CATEGORICAL, c) for n, c in candidates.items()}
+    return {n: churn_ops.train(train, LABEL, NUMERIC, CATEGORICAL, c) for n, c in candidates.items()}, train, test
+
+
+@query("s8_best_model_predictions")
+def best_model_predictions(t: Tables) -> DataFrame:
+    """Predictions of the model with the highest AUC for train and test rows, written and read back."""
+    models, train, test = _candidates(t)
+    best, _ = churn_ops.select_best(models, test, LABEL)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    predicted = churn_ops.predict(models[best], both).withColumn("model", F.lit(best))
+    path = f"{staging_root(t.spark).rstrip('/')}/mixloom-{uuid.uuid4().hex}"
+    columns = ["customer_id", "split", "model", LABEL]
+    writers.save_predictions(predicted, path, columns, "parquet")
+    return t.spark.read.parquet(path)
+
+
+@query("l13_select_best")
+def select_best(t: Tables) -> DataFrame:
+    models, _, test = _candidates(t)
     best, scores = churn_ops.select_best(models, test, LABEL)
     rows = [(name, float(auc), name == best) for name, auc in scores.items()]
     return t.spark.createDataFrame(rows, "model string, auc double, is_best boolean")

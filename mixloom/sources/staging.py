@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Folders of staged tables of this process, until ``drop_staged``.
+_STAGED: list[str] = []
+
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a temporary one only for local masters."""
@@ -36,4 +39,14 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/mixloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete all tables staged so far; to be called when no result that reads them is needed any more."""
+    n = len(_STAGED)
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

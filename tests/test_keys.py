@@ -67,7 +67,8 @@ def test_salts_spread_hot_rows_and_their_copies(spark, skewed):
     counts = {r["k"]: r["n"] for r in spread.collect()}
     assert counts.pop(7) > 8 and set(counts.values()) == {1}
     copies = spark.range(800, numPartitions=8).select(F.lit(7).cast("long").alias("k"))
-    assert keys.add_salt(copies, ["k"], {hash_of(spark, 7): 64}).select("_salt").distinct().count() >= 6  # hashes of eight partition numbers; two may meet
+    # Hashes of eight partition numbers; two may meet.
+    assert keys.add_salt(copies, ["k"], {hash_of(spark, 7): 64}).select("_salt").distinct().count() >= 6
 
 
 def test_skew_join_without_hot_keys_is_plain(spark):

@@ -174,3 +174,14 @@ def test_bootstrap_weights_have_mean_one(spark):
     weeks = spark.range(200).withColumnRenamed("id", "week")
     row = mixfit.bootstrap_weights(weeks, 50, 1).agg(F.avg("w"), F.var_pop("w")).first()
     assert row[0] == pytest.approx(1.0, abs=0.05) and row[1] == pytest.approx(1.0, abs=0.08)
+
+
+def test_staged_tables_go_on_request(spark):
+    from pathlib import Path
+
+    from mixloom.sources import staging
+
+    table = staging.stage(spark.range(3))
+    folder = Path(table.inputFiles()[0].removeprefix("file:")).parent
+    assert table.count() == 3 and folder.exists()
+    assert staging.drop_staged(spark) >= 1 and not folder.exists()
