@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.functions.scalars import clip_lower
-from mixloom.operators.keys import skew_join
 
 # Fixed value: rupees per dollar.
 EXCHANGE_RATE = 83.0
@@ -30,16 +29,18 @@ MAIN_COLUMNS = (
 )
 
 
-def main_dataset(order, customer, order_item, product, category, price_change, hot=None) -> DataFrame:
+def main_dataset(order, customer, order_item, product, category, price_change) -> DataFrame:
     """Items with their order, customer, product, category and weekly price; inner joins.
 
-    The two fact tables meet first, on the order key, with hot orders salted. The
-    dimensions follow, broadcast by Catalyst where their size allows. Items without
-    a price for the week are dropped.
+    The two fact tables meet first, on the order key. The dimensions follow, broadcast by Catalyst
+    where their size allows. Where it doesn't, a hot product-week or customer makes a skewed join
+    to one row per key, which adaptive execution splits, as no aggregation on that key
+    follows. Nothing runs before the result is asked for. Items without a price for the week are
+    dropped.
     """
     items = order_item.select("order_id", "product_id", "quantity", "item_discount")
     orders = order.select("order_id", "customer_id", "order_date", "year", "week")
-    sold = skew_join(items, orders, ["order_id"], hot=hot)
+    sold = items.join(orders, "order_id")
     named = product.select("product_id", "category_id", "brand").join(category, "category_id")
     return (
         sold.join(price_change.select("product_id", "year", "week", "unit_price"), ["product_id", "year", "week"])
@@ -52,20 +53,18 @@ def main_dataset(order, customer, order_item, product, category, price_change, h
 def price_as_of(items: DataFrame, price_change: DataFrame) -> DataFrame:
     """Optional price lookup: the last price of the product at or before the week.
 
-    The price list is first carried forward over the weeks of the calendar, one row
-    per product and week, so that items still meet it in an equi-join and a product
-    with very many items is not compared with its whole price history.
+    Prices and the weeks in which a product was sold are put in one order per product; the last
+    price is carried to the sold weeks, and items meet it in an equi-join. A product has at most
+    as many rows there as the calendar has weeks, twice, however many items it has.
     """
-    at = F.col("year") * 100 + F.col("week")
-    weeks = items.select("year", "week").union(price_change.select("year", "week")).distinct()
-    history = Window.partitionBy("product_id").orderBy("_from")
-    intervals = price_change.select("product_id", at.alias("_from"), "unit_price").withColumn(
-        "_until", F.coalesce(F.lead("_from").over(history), F.lit(999999))
-    )
-    # The calendar has some fifty rows per year.
-    covers = (at >= F.col("_from")) & (at < F.col("_until"))
-    carried = intervals.join(F.broadcast(weeks), covers).select("product_id", "year", "week", "unit_price")
-    return items.join(carried, ["product_id", "year", "week"])
+    key = ["product_id", "year", "week"]
+    asked = items.select(*key).distinct().withColumn("unit_price", F.lit(None).cast(price_change.schema["unit_price"].dataType))
+    # In a week with both, the price comes first.
+    both = price_change.select(*key, "unit_price", F.lit(0).alias("_asked")).unionByName(asked.withColumn("_asked", F.lit(1)))
+    order = Window.partitionBy("product_id").orderBy("year", "week", "_asked")
+    carried = both.withColumn("_last", F.last("unit_price", ignorenulls=True).over(order))
+    found = carried.filter("_asked = 1 and _last is not null").select(*key, F.col("_last").alias("unit_price"))
+    return items.join(found, key)
 
 
 def line_revenue(items: DataFrame, rate: float = EXCHANGE_RATE) -> DataFrame:
