@@ -33,7 +33,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_l_id": F.col("doc_id"), "_l_hash": F.xxhash64("text")})
 
 
-def _numbered_lines(docs: DataFrame) -> DataFrame:
+def _numbered_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per line with a word: position ``p`` in the corpus, two hashes, words, lines left in the document.
 
     Positions follow the document order, and the lines of a document have consecutive ones.
@@ -49,11 +49,11 @@ def _numbered_lines(docs: DataFrame) -> DataFrame:
 
     order = [F.col(c).asc_nulls_first() for c in DOC]
     lines = F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["words"] > 0)
+    # Written first: dealing out by range reads its input twice, and only the texts are large.
+    hashed = _with_key(docs.filter("text is not null").select("doc_id", "text")).select(*DOC, lines.alias("lines"))
+    hashed = scratch.keep(hashed.filter(F.size("lines") > 0))
     return (
-        _with_key(docs.filter("text is not null").select("doc_id", "text"))
-        .select(*DOC, lines.alias("lines"))
-        .filter(F.size("lines") > 0)
-        .repartitionByRange(*order)
+        hashed.repartitionByRange(*order)
         .withColumn("_copy", F.row_number().over(Window.partitionBy(*DOC).orderBy(*order)))
         .filter("_copy = 1")
         .sortWithinPartitions(*order)
@@ -129,7 +129,7 @@ def _intervals(levels: list[DataFrame], scratch: Scratch) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, scratch: Scratch, min_words: int = 5) -> DataFrame:
     """Runs of lines to delete: document key, first and last line (0-based, inclusive); runs of a document are disjoint."""
-    lines = scratch.keep(_numbered_lines(docs))
+    lines = scratch.keep(_numbered_lines(docs, scratch))
     levels = _repeated_windows(lines, scratch)
     place = lines.select("p", *DOC, "line")
     if not levels:
