@@ -66,7 +66,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written as Parquet and reread as input of the next."""
+    """All stages over ``documents``; each is written as Parquet and reread as input of the next.
+
+    The result reads tables of the last stage; it is to be written or collected before the next run.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     handed = Scratch(spark)
     for at, (_, stage) in enumerate(STAGES):

@@ -109,7 +109,8 @@ def _intervals(levels: list[DataFrame], scratch: Scratch) -> DataFrame:
             .drop("at")
         )
         met = probe.filter("name is not null")
-        sizes = met.groupBy(*group).agg(F.min("p").alias("lead"), F.count(F.lit(1)).alias("n"))
+        # Written, so that the join to it stands alone and a hot group in it can be split.
+        sizes = scratch.keep(met.groupBy(*group).agg(F.min("p").alias("lead"), F.count(F.lit(1)).alias("n")))
         stay = F.struct("first", "len", "sum")
         move = F.struct(
             F.col("lead").alias("first"), (F.col("len") + width).alias("len"), (F.col("sum") + F.col("more")).alias("sum")
@@ -121,7 +122,7 @@ def _intervals(levels: list[DataFrame], scratch: Scratch) -> DataFrame:
         )
         split = met.join(sizes, group).select(F.explode(where).alias("x"), "p", "rest").select("x.*", "p", "rest")
         rows = scratch.keep(split.unionByName(probe.filter("name is null").select(*split.columns)))
-        scratch.drop(probe, *([held] if held is not None else []))
+        scratch.drop(probe, sizes, *([held] if held is not None else []))
         held = rows
     longest = F.max(F.struct("len", "sum")).alias("x")
     return rows.filter("first >= 0 and first < p").groupBy("p").agg(longest).select("p", "x.len", F.col("x.sum").alias("words"))

@@ -210,9 +210,11 @@ def near_duplicates(
         sets.repartitionByRange("lead_doc", "h1").sortWithinPartitions("lead_doc", "h1").withColumn("id", F.monotonically_increasing_id())
     )
     keys = scratch.keep(_keys(classes, chunks))
+    # Written, so that the join to it stands alone and a hot bucket in it can be split.
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")).filter("size > 1")
+    buckets = scratch.keep(buckets)
     met = scratch.keep(keys.join(buckets, "key"))
-    scratch.drop(keys)
+    scratch.drop(keys, buckets)
 
     needed = met.select("id").distinct().join(classes.select("id", "lead_doc", "h1"), "id")
     texts = scratch.keep(_class_texts(docs, needed, width))
@@ -227,8 +229,9 @@ def near_duplicates(
     # Buckets with several components left.
     labelled = scratch.keep(_with_component(met, components))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    mixed = scratch.keep(mixed)
     rest = scratch.keep(labelled.join(mixed, "key"))
-    scratch.drop(labelled, met)
+    scratch.drop(labelled, met, mixed)
 
     few = rest.filter(F.col("size") <= small).select("key", "id", "component")
     other = few.select("key", F.col("id").alias("b"), F.col("component").alias("component_b"))
