@@ -30,12 +30,13 @@ KEY = ["conv_id", "turn"]
 
 
 def _lines(text: Column) -> Column:
-    """Lines as structs of quote level and body."""
+    """Lines as structs of quote level, body and normalised words."""
 
     def parsed(line: Column) -> Column:
         marks = F.regexp_extract(line, MARKS, 0)
         level = F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))
-        return F.struct(level.alias("level"), F.substring(line, F.length(marks) + 1, F.length(line)).alias("body"))
+        body = F.substring(line, F.length(marks) + 1, F.length(line))
+        return F.struct(level.alias("level"), body.alias("body"), normalised(body).alias("words"))
 
     return F.transform(F.split(text, "\n"), parsed)
 
@@ -48,12 +49,12 @@ def normalised(body: Column) -> Column:
 def _passages(lines: Column) -> Column:
     """Passages of the lines: level, hash of the joined words and hashes of the lines, in order.
 
-    Whether a line starts a passage depends on the line before it only, so passages are slices
+    ``lines`` must be a column that is there, not an expression: it is looked into line by line. Whether a line starts a passage depends on the line before it only, so passages are slices
     between starts.
     """
     n = F.size(lines)
     index = F.sequence(F.lit(0), n - 1)
-    blank = lambda i: normalised(F.get(lines, i)["body"]) == ""
+    blank = lambda i: F.get(lines, i)["words"] == ""
 
     def starts(i: Column) -> Column:
         return (i == 0) | (F.get(lines, i)["level"] != F.get(lines, i - 1)["level"]) | blank(i) | blank(i - 1)
@@ -63,7 +64,7 @@ def _passages(lines: Column) -> Column:
 
     def passage(bound: Column) -> Column:
         part = F.slice(lines, bound["a"] + 1, bound["b"] - bound["a"])
-        words = F.transform(part, lambda x: normalised(x["body"]))
+        words = F.transform(part, lambda x: x["words"])
         return F.struct(
             F.get(lines, bound["a"])["level"].alias("level"),
             F.array_join(words, " ").alias("words"),
@@ -97,7 +98,9 @@ def link_quotes(messages: DataFrame, scratch: Scratch) -> DataFrame:
     lines = _lines(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = messages.withColumn("_c_lines", lines)
     quoting = F.coalesce(F.col("text"), F.lit("")).rlike(r"(?m)^\x20{0,3}>")
-    parsed = scratch.keep(messages.select(*KEY, _passages(lines).alias("passages"), quoting.alias("quoting")))
+    split = scratch.keep(messages.select(*KEY, lines.alias("lines"), quoting.alias("quoting")))
+    parsed = scratch.keep(split.select(*KEY, _passages(F.col("lines")).alias("passages"), "quoting"))
+    scratch.drop(split)
 
     # Only conversations with a quote take part in the look-up.
     talks = parsed.filter("quoting and conv_id is not null and turn is not null").select("conv_id").distinct()
@@ -147,17 +150,20 @@ def link_quotes(messages: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _depths(above: DataFrame, scratch: Scratch) -> DataFrame:
-    """Number of messages above each one: pointers to ancestors double in each round."""
+    """Number of messages above each one: pointers to ancestors double in each round.
+
+    A message whose pointer has reached the first one is done and takes no further part but as a target.
+    """
     steps = F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long")
-    jumps = above.select(*KEY, F.col("parent").alias("to"), steps.alias("depth"))
-    held = None
+    jumps = scratch.keep(above.select(*KEY, F.col("parent").alias("to"), steps.alias("depth")))
     while True:
+        todo = jumps.filter("to is not null")
+        if todo.isEmpty():
+            return jumps.select(*KEY, "depth")
         over = jumps.select("conv_id", F.col("turn").alias("to"), F.col("to").alias("next"), F.col("depth").alias("more"))
-        fresh = scratch.keep(
-            jumps.join(over, ["conv_id", "to"], "left").select(*KEY, F.col("next").alias("to"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+        moved = todo.join(over, ["conv_id", "to"]).select(
+            *KEY, F.col("next").alias("to"), (F.col("depth") + F.col("more")).alias("depth")
         )
-        if held is not None:
-            scratch.drop(held)
-        jumps = held = fresh
-        if fresh.filter("to is not null").isEmpty():
-            return fresh.select(*KEY, "depth")
+        fresh = scratch.keep(moved.union(jumps.filter("to is null")))
+        scratch.drop(jumps)
+        jumps = fresh
