@@ -5,14 +5,18 @@ same histograms over all documents of a language. A text is rejected when its Je
 distance to every language reference is above a limit; texts too short for a stable histogram are
 guarded by a minimum length, below which that distance is not judged.
 
+Every language of 1,000 words, or of 0.5 % of all words, has a reference. Those of the 200 largest
+languages are compared with every text; any other is joined to the rows of its own language.
+
 Defined cases: a null or empty text has no words and fails the length rule; rows without a
-language are judged but lend nothing to a reference; repeated rows are judged one by one; an
-empty table, or one without any reference language, gives no distance and no rejection by distance.
+language are judged by the 200 largest languages but lend nothing to a reference; repeated rows are
+judged one by one; a row of a language that has no reference gets no distance and no rejection by
+distance, as all foreign references may be far from a clean text; an empty table, or one without any
+reference language, gives none either.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -61,15 +65,17 @@ def class_counts(text: str) -> np.ndarray:
     return np.bincount(class_table()[codes], minlength=len(CLASSES))
 
 
-def js_distance(p: np.ndarray, q: np.ndarray) -> float:
-    """Square root of the Jensen-Shannon divergence in bits: 0 for equal, 1 for disjoint histograms."""
-    p, q = p / p.sum(), q / q.sum()
+def js_distances(p: np.ndarray, q: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Square roots of Jensen-Shannon divergences in bits: 0 for equal, 1 for disjoint histograms.
+
+    ``p`` and ``q`` hold histograms of sum 1 behind one another, which begin at ``starts``.
+    """
     middle = (p + q) / 2
-    total = 0.0
+    terms = np.zeros(len(p))
     for side in (p, q):
         some = side > 0
-        total += float((side[some] * np.log2(side[some] / middle[some])).sum()) / 2
-    return math.sqrt(max(total, 0.0))
+        terms[some] += side[some] * np.log2(side[some] / middle[some]) / 2
+    return np.sqrt(np.maximum(np.add.reduceat(terms, starts), 0.0))
 
 
 def _counts_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,13 +101,19 @@ def _counts_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def language_references(
-    docs: DataFrame, scratch: Scratch, min_share: float = 0.002, min_lang_share: float = 0.005
-) -> dict:
+    docs: DataFrame,
+    scratch: Scratch,
+    min_share: float = 0.002,
+    min_lang_share: float = 0.005,
+    min_lang_words: int = 1000,
+    held: int = 200,
+) -> tuple[dict, DataFrame | None]:
     """Class and common-word counts of each language, over all documents.
 
     A word is common when it makes up ``min_share`` of the words of its language, and a language
-    is one that has ``min_lang_share`` of all words; so at most 1/min_lang_share languages with
-    1/min_share words each come to the driver, whatever the corpus holds.
+    is one that has ``min_lang_share`` of all words or ``min_lang_words`` words. The ``held`` largest
+    languages with 1/min_share words each come to the driver, whatever the corpus holds; further
+    ones are a table with one row per language, or None.
     """
     counted = scratch.keep(
         docs.select(F.col("lang").cast("string"), F.col("text").cast("string"))
@@ -112,18 +124,26 @@ def language_references(
     )
     totals = counted.filter("not is_class").groupBy("lang").agg(F.sum("n").alias("words"))
     all_words = totals.agg(F.sum("words").alias("all_words"))
-    large = totals.crossJoin(F.broadcast(all_words)).filter(F.col("words") >= min_lang_share * F.col("all_words"))
-    rows = (
-        counted.join(F.broadcast(large), "lang")
-        .filter(F.col("is_class") | (F.col("n") >= min_share * F.col("words")))
-        .collect()
-    )
+    large = (F.col("words") >= min_lang_share * F.col("all_words")) | (F.col("words") >= min_lang_words)
+    known = scratch.keep(totals.crossJoin(F.broadcast(all_words)).filter(large).select("lang", "words"))
+    first = known.orderBy(F.desc("words"), "lang").limit(held)
+    usual = F.col("is_class") | (F.col("n") >= min_share * F.col("words"))
+    rows = counted.join(F.broadcast(first), "lang").filter(usual).collect()
     references: dict = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["item"])):
         own = references.setdefault(row["lang"], {"words": row["words"], "classes": {}, "common": {}})
         own["classes" if row["is_class"] else "common"][row["item"]] = row["n"]
-    scratch.drop(counted)
-    return references
+    further = None
+    if len(references) == held:
+        rest = known.filter(~F.col("lang").isin(list(references)))
+        items = F.collect_list(F.struct("item", "is_class", "n")).alias("items")
+        further = counted.join(rest, "lang").filter(usual).groupBy("lang").agg(F.first("words").alias("words"), items)
+        further = scratch.keep(further)
+        if further.isEmpty():
+            scratch.drop(further)
+            further = None
+    scratch.drop(counted, known)
+    return references, further
 
 
 class Judge:
@@ -132,45 +152,59 @@ class Judge:
     def __init__(self, references: dict):
         self.langs = sorted(references)
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for r in references.values() for w in r["common"]}))}
-        self.classes = [np.array([references[x]["classes"][c] for c in CLASSES], dtype=float) for x in self.langs]
-        self.common, self.shares = [], []
+        self.classes = np.array([[references[x]["classes"][c] for c in CLASSES] for x in self.langs], dtype=float)
+        # The word histograms of all languages lie behind one another; each ends with the count of all other words.
+        common, shares = [], []
         for lang in self.langs:
             own = references[lang]
             words = sorted(own["common"])
-            self.common.append(np.array([self.vocabulary[w] for w in words], dtype=np.int64))
+            common.append(np.array([*(self.vocabulary[w] for w in words), len(self.vocabulary)], dtype=np.int64))
             known = [own["common"][w] for w in words]
-            self.shares.append(np.array([*known, own["words"] - sum(known)], dtype=float))
+            shares.append(np.array([*known, own["words"] - sum(known)], dtype=float))
+        sizes = np.array([len(x) for x in common], dtype=np.int64)
+        self.ends = np.cumsum(sizes)
+        self.starts, self.sizes = self.ends - sizes, sizes
+        if self.langs:
+            self.common = np.concatenate(common)
+            self.shares = np.concatenate([x / x.sum() for x in shares])
+            self.classes /= self.classes.sum(axis=1, keepdims=True)
+            self.class_starts = np.arange(len(self.langs)) * len(CLASSES)
 
     def distances(self, words: list[str], text: str) -> tuple[str | None, float | None, float | None]:
         """The language with the smallest sum of both distances, and these."""
         if not words or not self.langs:
             return None, None, None
         classes = class_counts(text).astype(float)
-        found = np.zeros(len(self.vocabulary), dtype=float)
+        found = np.zeros(len(self.vocabulary) + 1, dtype=float)
         vocabulary = self.vocabulary
         for word, n in Counter(WORD.findall(text.lower())).items():
             if (at := vocabulary.get(word)) is not None:
                 found[at] += n
-        best = None
-        for lang, ref, common, shares in zip(self.langs, self.classes, self.common, self.shares, strict=True):
-            own = found[common]
-            by_word = js_distance(np.append(own, max(len(words) - own.sum(), 0.0)), shares)
-            by_class = js_distance(classes, ref)
-            if best is None or by_word + by_class < best[1] + best[2]:
-                best = (lang, by_class, by_word)
-        return best
-
-    def features(self, text: str | None) -> tuple:
+        own = found[self.common]
+        own[self.ends - 1] = np.maximum(len(words) - np.add.reduceat(own, self.starts), 0.0)
+        own /= np.repeat(np.add.reduceat(own, self.starts), self.sizes)
+        by_word = js_distances(own, self.shares, self.starts)
+        by_class = js_distances(np.tile(classes / classes.sum(), len(self.langs)), self.classes.ravel(), self.class_starts)
+        best = int((by_word + by_class).argmin())
+        return self.langs[best], float(by_class[best]), float(by_word[best])
+
+    def features(self, text: str | None, lang: str | None = None, own: Judge | None = None) -> tuple:
+        """``own`` is the judge of the reference of ``lang``, if that is not among these references."""
         text = text or ""
         words = WORD.findall(text)
         lines = [line for line in text.split("\n") if WORD.search(line)]
+        best = None, None, None
+        if lang is None or own or lang in self.langs:
+            best = self.distances(words, text)
+            if own and words:
+                best = min(best, own.distances(words, text), key=lambda d: (d[1] + d[2], d[0]))
         return (
             len(words),
             sum(map(len, words)),
             sum(map(text.count, SYMBOL_MARKS)),
             len(lines) - len(set(lines)),
             repeated_words(words),
-            *self.distances(words, text),
+            *best,
         )
 
 
@@ -188,31 +222,58 @@ def repeated_words(words: list[str], width: int = 3) -> int:
     return total
 
 
-def score(docs: DataFrame, references: dict, columns: list[str] | None = None) -> DataFrame:
+def score(
+    docs: DataFrame, references: dict, columns: list[str] | None = None, further: DataFrame | None = None
+) -> DataFrame:
     """``columns`` of ``docs`` (all, if None) with the counts and distances of every text.
 
     Same rows, in one pass without a shuffle; columns that are not asked for don't come back from Python.
+    Only rows of languages outside ``references`` are joined to ``further``, the references of such languages.
     """
     clash = [c for c in docs.columns if c.lower().startswith("_q_")]
     docs = docs.drop(*clash)
     columns = [c for c in docs.columns if columns is None or c in columns]
-    docs = docs.select(*dict.fromkeys([*columns, "text"]))
+    docs = docs.select(*dict.fromkeys([*columns, "text"]), F.col("lang").cast("string").alias("_q_lang"))
     judge = Judge(references)
     at, keep = docs.columns.index("text"), [docs.columns.index(c) for c in columns]
+    lang_at = docs.columns.index("_q_lang")
     names = [part.split()[0] for part in FEATURES.split(", ")]
     fresh = [f"_q_{n}" for n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 5 + [pa.string(), pa.float64(), pa.float64()]
+        judges: dict = {}
         for batch in batches:
-            rows = [judge.features(t.as_py()) for t in batch.column(at)]
+            rows = []
+            own = batch.column(lang_at + 1) if batch.num_columns > lang_at + 1 else None
+            for i, (text, lang) in enumerate(zip(batch.column(at), batch.column(lang_at).to_pylist(), strict=True)):
+                if own is not None and lang not in judges:
+                    if len(judges) >= 256:
+                        judges.clear()
+                    judges[lang] = _own_judge(lang, own[i].as_py())
+                rows.append(judge.features(text.as_py(), lang, judges.get(lang)))
             found = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
             arrays = [pa.array(c, type=k) for c, k in zip(found, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *arrays], names=[*columns, *fresh])
 
     fields = ", ".join(f"_q_{part}" for part in FEATURES.split(", "))
     extra = T.StructType.fromDDL(fields)
-    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in columns), *extra.fields]))
+    schema = T.StructType([*(docs.schema[c] for c in columns), *extra.fields])
+    if further is None:
+        return docs.mapInArrow(run, schema)
+    usual = F.col("_q_lang").isNull() | F.col("_q_lang").isin(list(references))
+    own = further.select(F.col("lang").alias("_q_lang"), F.struct("words", "items").alias("_q_own"))
+    others = docs.filter(~usual).join(own, "_q_lang", "left").select(*docs.columns, "_q_own")
+    return docs.filter(usual).mapInArrow(run, schema).union(others.mapInArrow(run, schema))
+
+
+def _own_judge(lang: str, row: dict | None) -> Judge | None:
+    """Judge of a single reference, from its row of the joined table."""
+    if row is None:
+        return None
+    classes = {x["item"]: x["n"] for x in row["items"] if x["is_class"]}
+    common = {x["item"]: x["n"] for x in row["items"] if not x["is_class"]}
+    return Judge({lang: {"words": row["words"], "classes": classes, "common": common}})
 
 
 def quality_rules(
@@ -223,12 +284,14 @@ def quality_rules(
     min_chars: int = 200,
     min_words: int = 50,
     columns: list[str] | None = None,
+    held: int = 200,
 ) -> DataFrame:
     """``docs`` with ``_q_*`` columns: counts, distances, ``_q_base_failed`` and ``_q_kept``.
 
     A class distance is judged from ``min_chars`` characters on, a word distance from ``min_words`` words on.
     """
-    scored = score(docs, language_references(docs, scratch), columns)
+    references, further = language_references(docs, scratch, held=held)
+    scored = score(docs, references, columns, further)
     n, repeats = F.col("_q_n_words"), F.col("_q_n_repeat_words")
     far = F.coalesce(
         (F.col("_q_word_chars") >= min_chars) & (F.col("_q_class_distance") > max_class_distance), F.lit(False)

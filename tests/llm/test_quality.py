@@ -129,3 +129,33 @@ def test_a_very_long_text(spark):
     text = " ".join(f"{rng.choice('abcdef')}{i}" for i in range(200_000))
     (row,) = run(spark, [(1, text, "en")])
     assert row["_q_n_words"] == 200_000 and row["_q_kept"]
+
+
+def rare_language_table(langs=("sw", "yo"), clean=15):
+    """English and German with 0.5 % and less of clean text in each other language; common words make up half of all."""
+    rng = random.Random(5)
+    docs = [(i, prose(rng, 100, ("en", "de")[i % 2]), ("en", "de")[i % 2]) for i in range(4200)]
+    for k, lang in enumerate(langs):
+        own = [f"{lang}{c}" for c in "abcde"]
+        for i in range(clean):
+            text = " ".join(rng.choice(own) if rng.random() < 0.5 else f"{lang}{rng.choice('klmnop')}{rng.randrange(10_000)}x" for _ in range(100))
+            docs.append((10_000 + 100 * k + i, text.capitalize() + ".", lang))
+    return docs
+
+
+@pytest.mark.parametrize("held", [200, 2, 3])
+def test_clean_text_of_a_rare_language_is_kept(spark, held):
+    docs = rare_language_table()
+    docs += [(20_000, docs[-1][1].replace(" ", "%%% "), "yo"), (20_001, docs[-2][1], None)]
+    # Too few words for a reference: no verdict by distance.
+    docs += [(30_000, docs[-3][1].replace("yo", "qu"), "qu")]
+    scratch, fewer = Scratch(spark), {} if held == 200 else {"held": held}
+    rows = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(docs, SCHEMA), scratch, **fewer).collect()}
+    scratch.close()
+    assert len(rows) == len(docs)
+    for i, _, lang in docs[4200:4230]:
+        assert rows[i]["_q_kept"] and rows[i]["_q_best_lang"] == lang
+    assert not rows[20_000]["_q_kept"]
+    if held == 200:
+        assert rows[20_001]["_q_kept"] and rows[20_001]["_q_best_lang"] == "yo"
+    assert rows[30_000]["_q_kept"] and rows[30_000]["_q_word_distance"] is None
