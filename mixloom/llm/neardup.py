@@ -4,8 +4,9 @@ Texts with equal shingle sets form a class and go on as one. A class has a signa
 ``chunks`` x 8 one-byte MinHash values. Two signatures that differ in fewer than 2 * ``chunks``
 values have, by the pigeonhole principle, a chunk with at most one difference; so each chunk is
 looked up with each of its values left out in turn, and every pair below that distance meets. Pairs
-further apart meet too, unless every chunk has two differences: at a similarity of 0.85 that has a
-chance of about 0.34 per chunk, 3e-6 for twelve.
+further apart meet too, unless every chunk has two differences. There are as many chunks as make the
+chance of that 3e-6 or less for a pair just at the threshold: 12 at a similarity of 0.85 (0.34 per
+chunk), 19 at 0.8 (0.49).
 
 Classes that meet are not paired all with all. First, every class is compared with one lead of its
 buckets, on the full sets, and what is linked is joined to components. Only buckets that still
@@ -36,6 +37,13 @@ from mixloom.llm.shingles import mix, shingle_sets
 CHUNK = 8  # values (bytes) per chunk: one 64-bit word
 
 
+def chunks_for(percent: int, missed: float = 3e-6) -> int:
+    """Fewest chunks with which a pair at the threshold has two differences in each with a chance of ``missed`` at most."""
+    differing = (1 - percent / 100) * 255 / 256
+    apart = 1 - (1 - differing) ** CHUNK - CHUNK * differing * (1 - differing) ** (CHUNK - 1)
+    return max(1, math.ceil(math.log(missed) / math.log(apart))) if apart > 0 else 1
+
+
 def _permutations(values: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240)
     return rng.integers(1, 1 << 31, values, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, values, dtype=np.uint32)
@@ -93,8 +101,9 @@ def _keys(classes: DataFrame, chunks: int) -> DataFrame:
                 words = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype="<u8").reshape(len(ids), chunks, 1)
                 low = words & below
                 high = (words >> np.uint64(8)) & ~below
-                tag = np.arange(chunks * CHUNK, dtype=np.uint64).reshape(1, chunks, CHUNK)
-                keys = (((low | high) & np.uint64((1 << 56) - 1)) << np.uint64(7)) | tag
+                # One to one for up to 32 chunks; beyond, a rare clash only lets more pairs meet.
+                tag = np.arange(chunks * CHUNK, dtype=np.uint64).reshape(1, chunks, CHUNK) * np.uint64(0x9E3779B97F4A7C15)
+                keys = ((low | high) << np.uint64(8)) ^ tag
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, chunks * CHUNK))],
                     names=["key", "id"],
@@ -188,7 +197,7 @@ def near_duplicates(
     scratch: Scratch,
     width: int = 5,
     percent: int = 80,
-    chunks: int = 12,
+    chunks: int | None = None,
     small: int = 16,
     block: int = 128,
 ) -> DataFrame:
@@ -196,8 +205,9 @@ def near_duplicates(
 
     Two documents are linked when 100 * intersection >= ``percent`` * union of their ``width``-word
     shingle sets. ``small`` is the bucket size up to which members are paired directly, ``block``
-    the block size beyond; neither changes the result.
+    the block size beyond; neither changes the result. ``chunks`` follows from ``percent`` if None.
     """
+    chunks = chunks_for(percent) if chunks is None else chunks
     values = chunks * CHUNK
     differing = (1 - percent / 100) * 255 / 256
     # Pairs further apart than this are links with a chance below 1e-9.

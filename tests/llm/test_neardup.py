@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from mixloom.llm import neardup
 from mixloom.llm.components import connected_components
 from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.scratch import Scratch
@@ -120,3 +121,19 @@ def test_connected_components(spark):
     scratch.close()
     ids = {x for e in edges for x in e if e[0] != e[1]}
     assert {r["id"]: r["component"] for r in rows} == roots(ids, [e for e in edges if e[0] != e[1]])
+
+
+@pytest.mark.parametrize("percent", [75, 80, 85, 90])
+def test_signature_chunks_follow_from_the_threshold(spark, percent):
+    scratch = Scratch(spark)
+    seen = []
+    original = neardup._keys
+    neardup._keys = lambda classes, chunks: seen.append(chunks) or original(classes, chunks)
+    try:
+        neardup.near_duplicates(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), scratch, 3, percent)
+    finally:
+        neardup._keys = original
+        scratch.close()
+    d = (1 - percent / 100) * 255 / 256
+    at_most_one = (1 - d) ** 8 + 8 * d * (1 - d) ** 7
+    assert (1 - at_most_one) ** seen[0] <= 3e-6
