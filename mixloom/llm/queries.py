@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import pii, secrets
+from mixloom.llm import decontam, pii, secrets
 from mixloom.llm.langid import predict_languages, train
 from mixloom.llm.linededup import dedup_lines
 from mixloom.llm.mixing import mix_sources
@@ -208,6 +208,40 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+
+def decontaminated(spark: SparkSession, folder: str) -> DataFrame:
+    """Hit words and occurring benchmark items of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontam.decontaminate(docs, _table(spark, folder, "benchmark"), Scratch(spark), columns=["doc_id"])
+    return decontam.digest(found)
+
+
+DECONTAMINATION_SQL = r"""
+WITH folded AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, w, least(10, len(w)) AS k
+  FROM (SELECT item_id, regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark) WHERE len(w) > 0),
+known AS (
+  SELECT DISTINCT k, array_to_string(w[i:i + k - 1], ' ') AS s, item
+  FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM item)),
+place AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM folded, (SELECT DISTINCT k FROM known) WHERE len(w) >= k)),
+found AS (SELECT r, i, k, item FROM place JOIN known USING (k, s)),
+hit AS (
+  SELECT r, count(DISTINCT at) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS at FROM found) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM folded LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
 QUERIES = {
     "op1_personal_data": personal_data,
     "op2_top_products": top_products,
@@ -219,7 +253,11 @@ QUERIES = {
     "op8_secrets": secret_spans,
     "op9_language_id": languages,
     "op10_near_duplicates": near_duplicate_components,
+    "op12_decontamination": decontaminated,
 }
 ORACLE: dict[str, str] = {
     "op2_top_products": TOP_SQL,
-    "op4_source_mixing": MIX_SQL, "op10_near_duplicates": NEAR_SQL}
+    "op4_source_mixing": MIX_SQL,
+    "op10_near_duplicates": NEAR_SQL,
+    "op12_decontamination": DECONTAMINATION_SQL,
+}
