@@ -234,7 +234,7 @@ place AS (
   FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM folded, (SELECT DISTINCT k FROM known) WHERE len(w) >= k)),
 found AS (SELECT r, i, k, item FROM place JOIN known USING (k, s)),
 hit AS (
-  SELECT r, count(DISTINCT at) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS at FROM found) GROUP BY r),
+  SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY r),
 items AS (
   SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
