@@ -12,6 +12,7 @@ from mixloom.llm.mixing import mix_sources
 from mixloom.llm.neardup import near_duplicates
 from mixloom.llm.packing import pack, tokenizer_path
 from mixloom.llm.pii import find_pii
+from mixloom.llm.prefixtrie import prefix_trie
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.quotes import link_quotes
 from mixloom.llm.scratch import Scratch
@@ -242,6 +243,60 @@ SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(hit
 FROM folded LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every shared or single beginning of the rebuilt conversations."""
+    return prefix_trie(_table(spark, folder, "conversations"), Scratch(spark))
+
+
+#: CRC-32 of a list of bytes, from the table of its polynomial.
+CRC_SQL = """list_reduce(
+      {bytes},
+      lambda c, b: xor(c >> 8, crc_values[xor(c & 255, b) + 1]),
+      4294967295::BIGINT)"""
+CRC_TABLE_SQL = """crc_steps AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(CAST(v AS BIGINT) ORDER BY i) AS crc_values FROM crc_steps WHERE k = 8)"""
+
+TRIE_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS base, xor({CRC_SQL.format(bytes="list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))")},
+         4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc_table),
+rebuilt AS (
+  SELECT v.c, t.role, t.text, 0 AS part, t.p FROM convs v JOIN turns t ON t.c = v.base AND t.p <= v.h
+  UNION ALL
+  SELECT v.c, t.role, t.text, 1, t.p FROM convs v JOIN turns t ON t.c = v.c AND t.p > v.h),
+whole AS (
+  SELECT c, list(struct_pack(role := role, text := text) ORDER BY part, p) AS w FROM rebuilt GROUP BY c),
+prefix AS (
+  SELECT c, len(w) AS n, unnest(range(0, len(w) + 1)) AS d, w
+  FROM (SELECT v.c, coalesce(w, []) AS w FROM convs v LEFT JOIN whole USING (c))),
+member AS (
+  SELECT c, n, d, sha256(CAST(w[1:d] AS JSON)) AS k, CASE WHEN d > 0 THEN sha256(CAST(w[1:d - 1] AS JSON)) END AS up,
+         CASE WHEN d > 0 THEN length(w[d].text) ELSE 0 END AS chars
+  FROM prefix),
+node AS (SELECT d, k, min(c) AS rep, count(*) AS n, min(up) AS up, max(chars) AS chars FROM member GROUP BY d, k),
+child AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+sub AS (
+  SELECT m.d, m.k, sum(CASE WHEN child.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((u.n - 1) * u.chars) AS saved
+  FROM node u LEFT JOIN child ON child.d = u.d AND child.k = u.k JOIN member m ON m.c = u.rep AND m.d <= u.d
+  GROUP BY m.d, m.k),
+ends AS (SELECT d, k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM member WHERE d = n GROUP BY d, k)
+SELECT v.rep AS conv_id, CAST(v.d AS BIGINT) AS depth, p.rep AS parent_conv_id, v.n AS n_convs,
+       CAST(coalesce(child.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node v JOIN sub ON sub.d = v.d AND sub.k = v.k LEFT JOIN child ON child.d = v.d AND child.k = v.k
+LEFT JOIN node p ON p.d = v.d - 1 AND p.k = v.up LEFT JOIN ends ON ends.d = v.d AND ends.k = v.k
+"""
+
 QUERIES = {
     "op1_personal_data": personal_data,
     "op2_top_products": top_products,
@@ -254,10 +309,12 @@ QUERIES = {
     "op9_language_id": languages,
     "op10_near_duplicates": near_duplicate_components,
     "op12_decontamination": decontaminated,
+    "op13_conversation_trie": conversation_trie,
 }
 ORACLE: dict[str, str] = {
     "op2_top_products": TOP_SQL,
     "op4_source_mixing": MIX_SQL,
     "op10_near_duplicates": NEAR_SQL,
     "op12_decontamination": DECONTAMINATION_SQL,
+    "op13_conversation_trie": TRIE_SQL,
 }
