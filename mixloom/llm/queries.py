@@ -16,6 +16,7 @@ from mixloom.llm.prefixtrie import prefix_trie
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.quotes import link_quotes
 from mixloom.llm.scratch import Scratch
+from mixloom.llm.spelling import spelling_variants
 from mixloom.llm.topk import quantized, top_k
 
 
@@ -297,6 +298,46 @@ FROM node v JOIN sub ON sub.d = v.d AND sub.k = v.k LEFT JOIN child ON child.d =
 LEFT JOIN node p ON p.d = v.d - 1 AND p.k = v.up LEFT JOIN ends ON ends.d = v.d AND ends.k = v.k
 """
 
+def spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of six letters and five occurrences, its more frequent form one edit away, and the root of that."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return spelling_variants(docs, Scratch(spark), misprint_every=199)
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w
+  FROM documents),
+counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS s, w, count(*) AS n FROM runs GROUP BY ALL),
+checked AS (
+  SELECT w, n, xor({CRC_SQL.format(bytes="flatten(list_transform(string_split(s, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [195::BIGINT, CAST(ord(x) - 64 AS BIGINT)] END))")},
+         4294967295) AS h
+  FROM counted, crc_table),
+word AS (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS w, n FROM checked)
+  WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+letters AS (
+  SELECT string_agg(chr(CAST(i AS INT)), '' ORDER BY i) AS wide, string_agg(chr(CAST(i - 159 AS INT)), '' ORDER BY i) AS narrow FROM range(192, 256) t(i)),
+narrowed AS (SELECT w, n, translate(w, wide, narrow) AS b FROM word, letters),
+near AS (
+  SELECT x.w, x.n, y.w AS v, y.n AS m
+  FROM narrowed x JOIN narrowed y ON length(y.b) BETWEEN length(x.b) - 1 AND length(x.b) + 1 AND levenshtein(x.b, y.b) = 1),
+best AS (
+  SELECT w, count(*) AS n_near, max(m) AS m, min(struct_pack(less := -m, v := v)).v AS v FROM near GROUP BY w),
+formed AS (
+  SELECT word.w, word.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN m >= 5 * word.n THEN v END AS form, CASE WHEN m >= 5 * word.n THEN m END AS form_n
+  FROM word LEFT JOIN best USING (w)),
+walk AS (
+  SELECT w, w AS here, form AS next FROM formed
+  UNION ALL
+  SELECT walk.w, walk.next, formed.form FROM walk JOIN formed ON formed.w = walk.next)
+SELECT w AS word, form, here AS root, n, n_near, form_n FROM formed JOIN (SELECT w, here FROM walk WHERE next IS NULL) USING (w)
+"""
+
 QUERIES = {
     "op1_personal_data": personal_data,
     "op2_top_products": top_products,
@@ -308,6 +349,7 @@ QUERIES = {
     "op8_secrets": secret_spans,
     "op9_language_id": languages,
     "op10_near_duplicates": near_duplicate_components,
+    "op11_spelling_variants": spelling_groups,
     "op12_decontamination": decontaminated,
     "op13_conversation_trie": conversation_trie,
 }
@@ -315,6 +357,7 @@ ORACLE: dict[str, str] = {
     "op2_top_products": TOP_SQL,
     "op4_source_mixing": MIX_SQL,
     "op10_near_duplicates": NEAR_SQL,
+    "op11_spelling_variants": SPELLING_SQL,
     "op12_decontamination": DECONTAMINATION_SQL,
     "op13_conversation_trie": TRIE_SQL,
 }
