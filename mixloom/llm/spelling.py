@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.llm.scratch import Scratch
@@ -135,14 +135,14 @@ def count_words(docs: DataFrame, least_length: int = 6, misprint_every: int = 0)
 def _paths(words: DataFrame) -> DataFrame:
     """Every position of every word in the second half, forwards and backwards: its node, symbol and child, and hashes of the rest.
 
-    ``rest`` is of the symbols from the position on, ``tail`` of those after it. Positions begin at the
+    ``follows`` is the symbol after ``symbol``; ``rest`` is of the symbols from the position on, ``tail`` of those after it. Positions begin at the
     third symbol: shorter prefixes are no node that a word enters or passes.
     """
 
-    def hashed(points: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
+    def hashed(points: np.ndarray, seed: int) -> np.ndarray:
         """Chained hash of every prefix (columns: length) of the rows of ``points``."""
         out = np.empty((len(points), points.shape[1] + 1), dtype=np.uint64)
-        out[:, 0] = np.uint64(seed)
+        out[:, 0] = mix(np.uint64(seed) * np.uint64(0xD6E8FEB86659FD93))  # seeds differ in more bits than symbols do
         for i in range(points.shape[1]):
             out[:, i + 1] = mix((out[:, i] ^ points[:, i]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
         return out
@@ -173,39 +173,56 @@ def _paths(words: DataFrame) -> DataFrame:
         back = np.where(places < sizes[:, None], points[np.arange(count)[:, None], (sizes[:, None] - 1 - places) % max(width, 1)], np.uint64(0))
         with np.errstate(over="ignore"):
             for backwards, forth, other in ((False, points, back), (True, back, points)):
-                nodes, rests = hashed(forth, sizes, 11 + backwards), hashed(other, sizes, 21 + backwards)
+                nodes, rests = hashed(forth, 11 + backwards), hashed(other, 21 + backwards)
                 row, pos = np.nonzero((np.arange(width + 1) >= 3) & (np.arange(width + 1) <= sizes[:, None]))
                 last = pos == sizes[row]
                 symbol = np.where(last, END, forth[row, np.minimum(pos, width - 1)].astype(np.int64))
+                follows = np.where(pos + 1 < sizes[row], forth[row, np.minimum(pos + 1, width - 1)].astype(np.int64), END)
                 child = nodes[row, np.minimum(pos + 1, width)]
                 # The hash of the last k symbols is that of the first k backwards.
                 rest = rests[row, sizes[row] - pos]
                 tail = rests[row, np.maximum(sizes[row] - pos - 1, 0)]
-                columns = [ids[row], np.full(len(row), backwards), pos, nodes[row, pos].view(np.int64), symbol, child.view(np.int64), rest.view(np.int64), tail.view(np.int64), sizes[row]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "backwards", "pos", "node", "symbol", "child", "rest", "tail", "size"])
+                columns = [ids[row], np.full(len(row), backwards), pos, nodes[row, pos].view(np.int64), symbol, follows, child.view(np.int64), rest.view(np.int64), tail.view(np.int64), sizes[row]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    kinds = "id long, backwards boolean, pos long, node long, symbol long, child long, rest long, tail long, size long"
+    names = ["id", "backwards", "pos", "node", "symbol", "follows", "child", "rest", "tail", "size"]
+    kinds = ", ".join(f"{c} {'boolean' if c == 'backwards' else 'long'}" for c in names)
     return words.select("id", "word").mapInArrow(run, kinds)
 
 
 def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of ids (a, b), once each, of words (id, word; distinct, three symbols at least) that are one edit apart."""
     paths = scratch.keep(_paths(words))
-    # The edge table. Below an edge with one word, that word's rest is the tail.
+
+    def bit(symbol: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast({symbol} & 63 as int))")
+
+    # The edge table. Below an edge with one word, that word's rest is the tail; ``ahead`` is a bit set of
+    # the symbols (modulo 64) that lead on from the child.
     edges = paths.groupBy("node", "symbol").agg(
-        F.count(F.lit(1)).alias("words"), F.min("child").alias("child"), F.min("id").alias("only"), F.min("tail").alias("only_tail"), F.min("size").alias("only_size")
+        F.count(F.lit(1)).alias("words"),
+        F.min("child").alias("child"),
+        F.min("id").alias("only"),
+        F.min("tail").alias("only_tail"),
+        F.min("size").alias("only_size"),
+        F.bit_or(bit("follows")).alias("ahead"),
     )
     edges = scratch.keep(edges)
     # Level 0: own nodes of the second half that lead on in several ways, and all ways from there. An
     # alphabet of them at most.
-    ways = F.collect_list(F.struct("symbol", "words", "child", "only", "only_tail", "only_size"))
+    ways = F.collect_list(F.struct("symbol", "words", "child", "only", "only_tail", "only_size", "ahead"))
     branching = edges.groupBy("node").agg(ways.alias("ways")).filter("size(ways) > 1")
-    start = paths.filter("pos >= floor(size / 2)").join(branching, "node").select("id", "backwards", "pos", "symbol", "rest", "tail", "size", F.explode("ways").alias("way"))
+    start = paths.filter("pos >= floor(size / 2)").join(branching, "node")
+    start = start.select("id", "backwards", "pos", "symbol", "rest", "tail", "size", bit("symbol").alias("here"), bit("follows").alias("next"), F.explode("ways").alias("way"))
     start = start.filter((F.col("way.symbol") != END) & (F.col("way.symbol") != F.col("symbol")))
     # Replaced (once for both words: by the larger symbol), or inserted (at the end of a run of the symbol).
+    # What can't go on with its own next symbol is no state.
     edits = F.array(
-        F.when((F.col("symbol") != END) & (F.col("way.symbol") > F.col("symbol")), F.struct((F.col("pos") + 1).alias("pos"), F.col("tail").alias("rest"), F.lit(0).alias("more"))),
-        F.struct("pos", "rest", F.lit(1).alias("more")),
+        F.when(
+            (F.col("symbol") != END) & (F.col("way.symbol") > F.col("symbol")) & (F.col("way.ahead").bitwiseAND(F.col("next")) != 0),
+            F.struct((F.col("pos") + 1).alias("pos"), F.col("tail").alias("rest"), F.lit(0).alias("more")),
+        ),
+        F.when(F.col("way.ahead").bitwiseAND(F.col("here")) != 0, F.struct("pos", "rest", F.lit(1).alias("more"))),
     )
     branched = start.select("id", "backwards", "size", "way", F.explode(edits).alias("e")).filter("e is not null")
     branched = branched.filter((F.col("way.words") > 1) | ((F.col("way.only_tail") == F.col("e.rest")) & (F.col("way.only_size") == F.col("size") + F.col("e.more"))))
@@ -221,7 +238,7 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
         level = level.filter((F.col("words") > 1) | (F.col("only_size") == F.col("size") + F.col("more")))
         level = scratch.keep(level.select("id", "word", "size", (F.col("pos") + 1).alias("pos"), "more", F.col("child").alias("node"), "words", "only"))
         found.append(level.filter("words = 1").select(F.col("id").alias("a"), F.col("only").alias("b")))
-        frontier = level.filter("words > 1").select("id", "word", "size", "pos", "more", "node")
+        frontier = level.filter("words > 1 and pos <= size").select("id", "word", "size", "pos", "more", "node")
         if frontier.isEmpty():
             break
     pairs = found[0]
