@@ -626,27 +626,9 @@ def mmm_accuracy_national(t: Tables) -> DataFrame:
 REPLICATES = 100
 
 
-def _fit(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+@query("m7_mmm_ensemble_draws")
+def mmm_ensemble_draws(t: Tables) -> DataFrame:
+    """Draws of the pooled bootstrap ensemble, the fit without geo effects."""
     panel = views.dense_panel(t)
     media = stage(media_ops.scale_media(panel_ops.media_input(panel), CHANNELS))
-    return stage(mixfit.mmm_fit(panel, media, CHANNELS, REPLICATES)), panel, media
-
-
-@query("m7_mmm_fit_draws")
-def mmm_fit_draws(t: Tables) -> DataFrame:
-    fit, panel, _ = _fit(t)
-    return mixfit.fit_draws(fit, panel, CHANNELS)
-
-
-@query("m7_mmm_fit_roi")
-def mmm_fit_roi(t: Tables) -> DataFrame:
-    """Returns per channel from the fitted ensemble."""
-    fit, panel, media = _fit(t)
-    return media_ops.return_table(stage(mixfit.fit_draws(fit, panel, CHANNELS)), media, "roi")
-
-
-@query("m7_mmm_fit_accuracy")
-def mmm_fit_accuracy(t: Tables) -> DataFrame:
-    fit, panel, media = _fit(t)
-    fitted = stage(mixfit.fitted_values(fit, panel, media, CHANNELS))
-    return evaluation.mmm_accuracy_national(fitted, "day", "split", "actual", "expected")
+    return mixfit.fit_draws(stage(mixfit.mmm_fit(panel, media, CHANNELS, REPLICATES)), panel, CHANNELS)

@@ -59,7 +59,7 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     """All registered queries."""
-    from mixloom.plans import churn, decisions, lifetime, panel, quality, sales, scoring, sources
+    from mixloom.plans import churn, decisions, fitted, lifetime, panel, quality, sales, scoring, sources
 
-    del churn, decisions, lifetime, panel, quality, sales, scoring, sources
+    del churn, decisions, fitted, lifetime, panel, quality, sales, scoring, sources
     return REGISTRY
