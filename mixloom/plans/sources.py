@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from mixloom.operators import churn as churn_ops
 from mixloom.operators import keys
 from mixloom.plans import views
 from mixloom.plans.registry import Tables, as_text, query, rounded
-from mixloom.sources import readers, writers
+from mixloom.sources import readers, warehouse, writers
 from mixloom.sources.schemas import TABLES
 from mixloom.sources.staging import staging_root
 
@@ -88,6 +88,146 @@ def ingest(t: Tables) -> DataFrame:
     return as_text(tables["order"].drop("store_id"), "order_date")
 
 
+def _two_layouts(day: str, flag: Column) -> Column:
+    return F.when(flag, F.date_format(day, "dd-MM-yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+
+
+def _star_batches(t: Tables) -> dict[str, DataFrame]:
+    """Every retail table as a batch of text, with planted faults: see ``STAR_SQL``."""
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    customer = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    store = t.supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+    text, null = F.lit, F.lit(None).cast("string")
+    orders = views.order(t).withColumns(
+        {"order_date": _two_layouts("order_date", F.col("week") > 26), "store_id": (F.col("customer_id") % 10).cast("string")}
+    )
+    day = F.col("ts").cast("date")
+
+    def events(kind: str, **columns) -> DataFrame:
+        return t.events.filter(F.col("event_type") == kind).select(*[c.alias(n) for n, c in columns.items()])
+
+    key, user, hours = F.col("event_id"), F.col("user_id"), F.col("value").cast("int")
+    return {
+        "category": views.category(t),
+        "channel": t.orders.select(F.col("o_orderpriority").alias("channel_id"), F.col("o_orderpriority").alias("channel_name")).distinct(),
+        "store": store.select(F.col("s_suppkey").alias("store_id"), F.col("n_name").alias("store_city"), F.col("r_name").alias("store_state"), text("S").alias("store_type")),
+        "customer": customer.select(
+            F.col("c_custkey").alias("customer_id"),
+            F.when(F.col("c_custkey") % 53 == 7, "unknown").otherwise(F.when(F.col("c_custkey") % 2 == 0, "2020-02-01").otherwise("01-03-2020")).alias("signup_date"),
+            F.col("n_name").alias("city"),
+            F.col("r_name").alias("state"),
+            F.col("c_mktsegment").alias("segment"),
+            text("active").alias("status"),
+        ),
+        "promotion": t.part.select(
+            F.col("p_brand").alias("promo_id"), text("PCT_OFF").alias("promo_type"), text("2025-01-01").alias("start_date"), text("31-01-2025").alias("end_date"), F.lit(10.0).alias("discount_value")
+        ).distinct(),
+        "marketing_channel": t.events.select(
+            F.col("event_type").alias("channel_id"), F.col("event_type").alias("channel_name"), text("digital").alias("channel_type"), text("low").alias("cost_tier")
+        ).distinct(),
+        "product": t.part.select(
+            F.col("p_partkey").alias("product_id"),
+            F.when(F.col("p_partkey") % 41 == 3, "NONE").otherwise(F.col("p_type")).alias("category_id"),
+            F.col("p_brand").alias("brand"),
+            F.col("p_name").alias("sku_name"),
+        ),
+        "order": orders.unionByName(orders.filter(F.col("channel_id") == "1-URGENT")),
+        "order_item": t.lineitem.select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            null.alias("promo_id"),
+            F.when(F.col("l_partkey") % 89 == 5, "many").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+            F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("double").alias("item_discount"),
+        ),
+        "price_change": views.price_change(t),
+        "session": events(
+            "view", session_id=F.when(key % 101 != 0, key), customer_id=user, session_start=F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+            session_duration_sec=hours, pages_viewed=F.lit(1), device=text("web"), referrer=null,
+        ),
+        "support_ticket": events(
+            "error", ticket_id=key, customer_id=user, created_date=F.date_format(day, "yyyy-MM-dd"), issue_type=text("error"), status=text("open"),
+            resolution_time_hr=hours, csat_score=F.lit(3),
+        ),
+        "campaign_touch": events(
+            "click", touch_id=key, customer_id=user, touch_date=F.date_format(day, "dd-MM-yyyy"), channel=text("mail"), campaign_name=text("spring"), outcome=text("open")
+        ),
+        "external_factor": events(
+            "signup", factor_id=key, store_id=user % 10, factor_date=F.date_format(day, "yyyy-MM-dd"), is_holiday=F.lit(True), temp_c=F.col("value"),
+            rainfall_mm=F.lit(0.0), trend_index=F.lit(1.0), cpi_index=F.lit(1.0), year=F.year(day), week=F.weekofyear(day),
+        ),
+    }
+
+
+#: Customers with an unreadable date fall out, and with them their orders, items, sessions, tickets and
+#: touches; products without a category, and with them their items and prices.
+STAR_SQL = """WITH good_customer AS (SELECT c_custkey FROM customer WHERE c_custkey % 53 <> 7),
+    good_product AS (SELECT p_partkey FROM part WHERE p_partkey % 41 <> 3),
+    orders_read AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'),
+    good_order AS (SELECT DISTINCT o_orderkey FROM orders_read WHERE o_custkey IN (FROM good_customer)),
+    r AS (
+      SELECT 'category' AS t, CAST(p_type AS VARCHAR) AS k, CAST(NULL AS VARCHAR) AS reason FROM (SELECT DISTINCT p_type FROM part)
+      UNION ALL SELECT 'channel', o_orderpriority, NULL FROM (SELECT DISTINCT o_orderpriority FROM orders)
+      UNION ALL SELECT 'store', CAST(s_suppkey AS VARCHAR), NULL FROM supplier
+      UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 53 = 7 THEN 'bad_date' END FROM customer
+      UNION ALL SELECT 'promotion', p_brand, NULL FROM (SELECT DISTINCT p_brand FROM part)
+      UNION ALL SELECT 'marketing_channel', event_type, NULL FROM (SELECT DISTINCT event_type FROM events)
+      UNION ALL SELECT 'product', CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 41 = 3 THEN 'orphan:category_id' END FROM part
+      UNION ALL SELECT 'order', CAST(o_orderkey AS VARCHAR),
+                       CASE WHEN o_custkey NOT IN (FROM good_customer) THEN 'orphan:customer_id' END FROM orders_read
+      UNION ALL SELECT 'order_item', l_orderkey || '-' || l_linenumber,
+                       CASE WHEN l_partkey % 89 = 5 THEN 'bad_value' WHEN l_orderkey NOT IN (FROM good_order) THEN 'orphan:order_id'
+                            WHEN l_partkey NOT IN (FROM good_product) THEN 'orphan:product_id' END FROM lineitem
+      UNION ALL SELECT 'price_change', p || '-' || y || '-' || w, CASE WHEN p NOT IN (FROM good_product) THEN 'orphan:product_id' END
+                FROM (SELECT DISTINCT l_partkey AS p, year(o_orderdate) AS y, week(o_orderdate) AS w
+                      FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+      UNION ALL SELECT 'session', CAST(event_id AS VARCHAR), CASE WHEN event_id % 101 = 0 THEN 'null_key'
+                       WHEN user_id NOT IN (FROM good_customer) THEN 'orphan:customer_id' END FROM events WHERE event_type = 'view'
+      UNION ALL SELECT 'support_ticket', CAST(event_id AS VARCHAR),
+                       CASE WHEN user_id NOT IN (FROM good_customer) THEN 'orphan:customer_id' END FROM events WHERE event_type = 'error'
+      UNION ALL SELECT 'campaign_touch', CAST(event_id AS VARCHAR),
+                       CASE WHEN user_id NOT IN (FROM good_customer) THEN 'orphan:customer_id' END FROM events WHERE event_type = 'click'
+      UNION ALL SELECT 'external_factor', CAST(event_id AS VARCHAR), NULL FROM events WHERE event_type = 'signup'),
+    good AS (SELECT t, count(*) AS n, count(DISTINCT k) AS u FROM r WHERE reason IS NULL GROUP BY t),
+    bad AS (SELECT t, reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY ALL)
+    SELECT CAST(run AS INTEGER) AS run, t AS table_name, outcome, CAST(n AS BIGINT) AS n_rows FROM (
+      SELECT t, unnest(['inserted', 'present', 'duplicate']) AS outcome, unnest([u, 0, n - u]) AS n, 1 AS run FROM good
+      UNION ALL SELECT t, unnest(['inserted', 'present', 'duplicate']), unnest([0, u, n - u]), 2 FROM good
+      UNION ALL SELECT t, reason, n, unnest([1, 2]) FROM bad)"""
+
+
+@query("s5_ingest_star", STAR_SQL)
+def ingest_star(t: Tables) -> DataFrame:
+    """All retail tables in order of their keys, ingested twice; what became of the rows in each run."""
+    root = _folder(t)
+    for name, rows in _star_batches(t).items():
+        _as_csv(rows.select(*TABLES[name].schema.names), f"{root}/{name.upper()}.csv")
+    house = warehouse.Warehouse(t.spark, f"{root}/tables")
+    runs = [warehouse.report(t.spark, house.ingest(root)).withColumn("run", F.lit(run)) for run in (1, 2)]
+    return runs[0].unionByName(runs[1])
+
+
+@query(
+    "s5_ingested_sales",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, product_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, count(*) AS n_items
+       FROM (SELECT l_orderkey, l_linenumber, min(CAST(l_partkey AS VARCHAR)) AS product_id FROM lineitem
+             JOIN part ON p_partkey = l_partkey WHERE p_partkey % 41 <> 3 AND l_partkey % 89 <> 5 GROUP BY ALL)
+       JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+       WHERE c_custkey % 53 <> 7 GROUP BY ALL""",
+)
+def ingested_sales(t: Tables) -> DataFrame:
+    """Items per order and product of the loaded star schema, joined as it was loaded."""
+    root = _folder(t)
+    wanted = ["category", "channel", "store", "customer", "promotion", "product", "order", "order_item"]
+    batches = _star_batches(t)
+    for name in wanted:
+        _as_csv(batches[name].select(*TABLES[name].schema.names), f"{root}/{name.upper()}.csv")
+    house = warehouse.Warehouse(t.spark, f"{root}/tables")
+    house.ingest(root, wanted)
+    joined = house.table("order_item").join(house.table("order"), "order_id").join(house.table("product"), "product_id")
+    return as_text(joined.groupBy("order_id", "product_id", "order_date").agg(F.count(F.lit(1)).alias("n_items")), "order_date")
+
+
 @query(
     "s6_dedupe_on_key",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM (
