@@ -1,144 +1,128 @@
 """Order-dependent operators that do not pull a table into one task.
 
 A window without PARTITION BY moves every row into a single partition. The two
-building blocks here avoid it: ``exact_quantiles`` narrows value brackets with a
-bounded sketch, ``running_totals`` splits the order into ranges and adds the
-totals of the earlier ranges.
+building blocks here avoid it: ``exact_quantiles`` counts rows by the leading bits of
+their values, ``running_totals`` splits the order into ranges and adds the totals of the
+earlier ranges.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
-from functools import reduce
+import struct
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.sources.staging import stage
 
-SMALL_ROWS = 500_000
-SKETCH_ACCURACY = 10_000
+DIGIT = 16  # bits that a pass settles
+_NAN = (1 << 63) - 1
 
 
-def exact_quantiles(df: DataFrame, columns, probs, small_rows: int = SMALL_ROWS) -> dict[str, list]:
+def ordered_image(value: Column) -> Column:
+    """A long that orders like the double: its bits, negated for negative values; NaN is the largest.
+
+    There is no built-in for the bits, so they are taken apart: scaling by a power of two is exact.
+    """
+    size = F.abs(value)
+    guess = F.least(F.floor(F.log2(size)), F.lit(1023))
+    scaled = size / F.pow(F.lit(2.0), guess.cast("double"))
+    # The logarithm may be off by a rounding at a power of two.
+    power = guess + F.when(scaled >= 2.0, F.lit(1)).when(scaled < 1.0, F.lit(-1)).otherwise(F.lit(0))
+    part = F.when(scaled >= 2.0, scaled / 2.0).when(scaled < 1.0, scaled * 2.0).otherwise(scaled)
+    normal = (power + F.lit(1023)).cast("long") * F.lit(1 << 52) + ((part - F.lit(1.0)) * F.lit(float(1 << 52))).cast("long")
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    infinite = F.lit(2047 << 52).cast("long")
+    bits = F.when(size == float("inf"), infinite).when(size < 2.0**-1022, tiny).otherwise(normal)
+    return F.when(value.isNotNull(), F.when(F.isnan(value), F.lit(_NAN).cast("long")).when(value < 0, -bits).otherwise(bits))
+
+
+def image_value(image: int) -> float:
+    """The double of an image."""
+    if image == _NAN:
+        return math.nan
+    size = struct.unpack("<d", struct.pack("<q", abs(image)))[0]
+    return -size if image < 0 else size
+
+
+def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list]:
     """Exact linearly interpolated quantiles of each column, NULLs skipped.
 
-    A rank is looked up among the distinct values of its range, which starts as the whole column.
-    While a range holds more than ``small_rows`` rows, it is narrowed: a sketch brackets the rank and
-    the rows around the bracket are counted. All columns share these passes. ``df`` is read
-    several times and should be staged.
+    Radix selection: rows are counted by the leading 16 bits of their values, then, among those that
+    share the leading bits of a wanted rank, by the next 16, four times at most. All columns and ranks
+    share a pass; a pass ends a rank whose rows have one value. Counts are combined on the map side and
+    at most 65,536 of them per open rank reach the driver, whatever the number of rows. ``df`` is read
+    once a pass and should be staged.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    positions = {c: [p * (counts[c] - 1) for p in probs] for c in columns if counts[c]}
-    searches = [
-        _Search(c, counts[c], sorted({r for p in ps for r in (math.floor(p), math.ceil(p))}))
-        for c, ps in positions.items()
-    ]
-    at = _values_at(df, searches, small_rows)
-    return {c: [_interpolate(at, c, p) for p in positions[c]] if c in positions else [None] * len(probs) for c in columns}
-
-
-def _interpolate(at, column, position):
+    images = [F.struct(F.lit(i).alias("c"), ordered_image(F.col(c).cast("double")).alias("v")) for i, c in enumerate(columns)]
+    long = df.select(F.explode(F.array(*images)).alias("x")).select("x.c", "x.v").filter("v is not null")
+    found: dict[tuple[int, int], int] = {}
+    # Open ranks: (column, leading digits) to the ranks there and the rows before.
+    open_ranks: dict[tuple[int, int | None], list[int]] = {}
+    before: dict[tuple[int, int | None], int] = {}
+    positions: dict[int, list[float]] = {}
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        head = F.shiftright("v", shift + DIGIT) if shift < 64 - DIGIT else F.lit(None).cast("long")
+        rows = long
+        if open_ranks:
+            by_column: dict[int, list[int]] = {}
+            for c, lead in open_ranks:
+                by_column.setdefault(c, []).append(lead)
+            wanted = [(F.col("c") == c) & head.isin(*leads) for c, leads in by_column.items()]
+            rows = long.filter(_any(wanted))
+        counted = (
+            rows.groupBy("c", F.shiftright("v", shift).alias("lead"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()
+        )
+        groups: dict[tuple[int, int | None], list] = {}
+        for r in sorted(counted, key=lambda r: (r["c"], r["lead"])):
+            lead = r["lead"] >> DIGIT if shift < 64 - DIGIT else None
+            groups.setdefault((r["c"], lead), []).append(r)
+        if shift == 64 - DIGIT:
+            for (c, _), digits in groups.items():
+                n = sum(r["n"] for r in digits)
+                positions[c] = [p * (n - 1) for p in probs]
+                open_ranks[c, None] = sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))})
+                before[c, None] = 0
+        still: dict[tuple[int, int | None], list[int]] = {}
+        for key, ranks in open_ranks.items():
+            upto, at = before[key], 0
+            digits = groups[key]
+            for rank in ranks:
+                while upto + digits[at]["n"] <= rank:
+                    upto += digits[at]["n"]
+                    at += 1
+                digit = digits[at]
+                if digit["low"] == digit["high"]:
+                    found[key[0], rank] = digit["low"]
+                else:
+                    still.setdefault((key[0], digit["lead"]), []).append(rank)
+                    before[key[0], digit["lead"]] = upto
+        open_ranks = still
+        if not open_ranks:
+            break
+    return {
+        name: [_interpolate(found, i, p) for p in positions[i]] if i in positions else [None] * len(probs)
+        for i, name in enumerate(columns)
+    }
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _interpolate(found, column, position):
     low, high = math.floor(position), math.ceil(position)
-    below, above = at[column, low], at[column, high]
+    below, above = image_value(found[column, low]), image_value(found[column, high])
     return below if below == above else (high - position) * below + (position - low) * above
 
 
-@dataclass(frozen=True)
-class _Search:
-    """Ranks of one column that lie between two values, both excluded."""
-
-    column: str
-    n: int
-    ranks: list[int]
-    before: int = 0
-    low: float | None = None
-    high: float | None = None
-
-    def inside(self) -> Column:
-        """The value where it lies in the range, else NULL."""
-        value = F.col(self.column).cast("double")
-        limits = []
-        if self.low is not None:
-            limits.append(value > F.lit(self.low))
-        if self.high is not None:
-            limits.append(value < F.lit(self.high))
-        return F.when(reduce(lambda a, b: a & b, limits), value) if limits else value
-
-
-def _values_at(df: DataFrame, searches: list[_Search], small_rows: int) -> dict:
-    """Value per column and 0-based rank."""
-    found: dict = {}
-    while searches:
-        short = [s for s in searches if s.n <= small_rows]
-        long = [s for s in searches if s.n > small_rows]
-        if short:
-            found.update(_look_up(df, short))
-        searches = _narrow(df, long, found) if long else []
-    return found
-
-
-def _look_up(df: DataFrame, searches: list[_Search]) -> dict:
-    """Rank the values of ranges that hold few rows, all in one pass."""
-    cells = F.array(*[F.struct(F.lit(i).alias("s"), s.inside().alias("v")) for i, s in enumerate(searches)])
-    values = df.select(F.explode(cells).alias("c")).select("c.*").filter("v IS NOT NULL")
-    counted = values.groupBy("s", "v").agg(F.count(F.lit(1)).alias("n"))
-    # At most small_rows distinct values per search.
-    running = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("v")))
-    wanted = [(i, s.column, r, r - s.before) for i, s in enumerate(searches) for r in s.ranks]
-    row = running.agg(
-        *[
-            F.min(F.when((F.col("s") == i) & (F.col("upto") > place), F.col("v"))).alias(f"r{k}")
-            for k, (i, _, _, place) in enumerate(wanted)
-        ]
-    ).first()
-    return {(column, r): row[f"r{k}"] for k, (_, column, r, _) in enumerate(wanted)}
-
-
-def _narrow(df: DataFrame, searches: list[_Search], found: dict) -> list[_Search]:
-    """Cut each range at sketched values; ranks on a cut are found, the others keep a smaller range."""
-    slack = 2.0 / SKETCH_ACCURACY
-    marks = [
-        sorted({min(1.0, max(0.0, (r - s.before) / (s.n - 1) + d)) for r in s.ranks for d in (-slack, slack)})
-        for s in searches
-    ]
-    sketch = df.agg(
-        *[
-            F.percentile_approx(s.inside(), F.array(*[F.lit(m) for m in ms]), F.lit(SKETCH_ACCURACY)).alias(f"q{i}")
-            for i, (s, ms) in enumerate(zip(searches, marks))
-        ]
-    ).first()
-    cuts = [sorted(set(sketch[f"q{i}"])) for i in range(len(searches))]
-    # The cuts split a range into points and open gaps; count the rows below and at each cut.
-    cells = [(i, k, s.inside(), F.lit(c)) for i, s in enumerate(searches) for k, c in enumerate(cuts[i])]
-    tally = df.agg(
-        *[F.count_if(value < cut).alias(f"lt{i}_{k}") for i, k, value, cut in cells],
-        *[F.count_if(value <= cut).alias(f"le{i}_{k}") for i, k, value, cut in cells],
-    ).first()
-    smaller = []
-    for i, s in enumerate(searches):
-        points = cuts[i]
-        below = [s.before + tally[f"lt{i}_{k}"] for k in range(len(points))]
-        upto = [s.before + tally[f"le{i}_{k}"] for k in range(len(points))]
-        gaps: dict[int, list[int]] = {}
-        for r in s.ranks:
-            # The first cut with more than r rows at or below it either holds the rank or ends its gap.
-            k = next((k for k in range(len(points)) if upto[k] > r), len(points))
-            if k < len(points) and below[k] <= r:
-                found[s.column, r] = points[k]
-            else:
-                gaps.setdefault(k, []).append(r)
-        for k, ranks in gaps.items():
-            start = upto[k - 1] if k > 0 else s.before
-            end = below[k] if k < len(points) else s.before + s.n
-            low = points[k - 1] if k > 0 else s.low
-            high = points[k] if k < len(points) else s.high
-            smaller.append(_Search(s.column, end - start, ranks, start, low, high))
-    return smaller
-
-
 def order_ranges(df: DataFrame, order, buckets: int | None = None) -> DataFrame:
     """``df`` with ``_range``, the number of a range of the ascending ``order`` columns.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.scalars import equal_width_score, quantile_score, safe_ratio
-from mixloom.operators.ordering import SMALL_ROWS, exact_quantiles
+from mixloom.operators.ordering import exact_quantiles
 from mixloom.sources.staging import stage
 
 # Fixed values of the published analysis.
@@ -46,9 +46,9 @@ def rfm_raw(orders: DataFrame) -> DataFrame:
     )
 
 
-def bin_edges(df: DataFrame, columns, probs, small_rows: int = SMALL_ROWS) -> dict[str, list[float]]:
+def bin_edges(df: DataFrame, columns, probs) -> dict[str, list[float]]:
     """Quantile edges per column. ``df`` is read more than once and should be staged."""
-    return exact_quantiles(df, columns, probs, small_rows)
+    return exact_quantiles(df, columns, probs)
 
 
 def quantile_bins(df: DataFrame, column: str, bins: int, out: str) -> DataFrame:
@@ -63,13 +63,13 @@ def equal_width_bins(df: DataFrame, column: str, bins: int, out: str) -> DataFra
     return df.withColumn(out, equal_width_score(column, row["lo"] or 0.0, row["hi"] or 0.0, bins))
 
 
-def score_columns(df: DataFrame, specs: dict, bins: int, small_rows: int = SMALL_ROWS) -> dict[str, tuple[Column, str]]:
+def score_columns(df: DataFrame, specs: dict, bins: int) -> dict[str, tuple[Column, str]]:
     """Score of each column and the path taken: quantile edges, or equal width if an edge repeats.
 
     ``specs`` maps a column to True where small values score high.
     """
     probs = [i / bins for i in range(bins + 1)]
-    edges = bin_edges(df, list(specs), probs, small_rows)
+    edges = bin_edges(df, list(specs), probs)
     scores = {}
     for column, descending in specs.items():
         e = edges[column]
@@ -86,12 +86,12 @@ def assign_score(df: DataFrame, column: str, bins: int, out: str, ascending: boo
     return df.withColumns({out: score, f"{out}_path": F.lit(path)})
 
 
-def rfm(raw: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS) -> DataFrame:
+def rfm(raw: DataFrame, bins: int = 5) -> DataFrame:
     """R, F and M digits, the segment text and their mean score.
 
     ``raw`` is read twice, for the edges and for the scores; ``rfm_raw`` returns a staged table.
     """
-    scores = score_columns(raw, {"recency": True, "frequency": False, "monetary": False}, bins, small_rows)
+    scores = score_columns(raw, {"recency": True, "frequency": False, "monetary": False}, bins)
     r, f, m = (scores[c][0] for c in ("recency", "frequency", "monetary"))
     digits = raw.withColumns({"r_score": r, "f_score": f, "m_score": m})
     return digits.withColumns(
@@ -193,9 +193,9 @@ def active_customers(clv: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
     return clv.filter(F.col("recency") <= days)
 
 
-def value_tiers(clv: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def value_tiers(clv: DataFrame) -> DataFrame:
     """Bronze to Platinum by value quantiles, with a rank (1 = Platinum) for ordering."""
-    edges = bin_edges(clv, ["clv"], TIER_PROBS, small_rows)["clv"]
+    edges = bin_edges(clv, ["clv"], TIER_PROBS)["clv"]
     if len(set(edges)) != len(edges):
         raise ValueError("tier edges repeat; the value column is too concentrated for the tiers")
     level = quantile_score("clv", edges)

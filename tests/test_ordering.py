@@ -13,8 +13,7 @@ def frame(spark, values):
     return spark.createDataFrame([(float(v),) if v is not None else (None,) for v in values], "v double")
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 50])
-def test_exact_quantiles(spark, small_rows):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(1)
     columns = {
         "spread": rng.normal(0, 1e4, 3000),
@@ -24,18 +23,44 @@ def test_exact_quantiles(spark, small_rows):
     }
     names = list(columns)
     df = spark.createDataFrame([tuple(float(x) for x in r) for r in zip(*columns.values())], names)
-    got = ordering.exact_quantiles(df, names, PROBS, small_rows)
+    got = ordering.exact_quantiles(df, names, PROBS)
     for name in names:
         assert np.allclose(got[name], np.quantile(columns[name], PROBS), rtol=1e-14, atol=1e-12), name
 
 
-def test_exact_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch):
-    """With a sketch of ten marks the brackets are poor; the result is still exact."""
-    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 10)
+ODD = [0.0, -0.0, 5e-324, 2.0**-1074 * 7, 2.0**-1022, 1.5 * 2.0**-1022, 1.7976931348623157e308, float("inf"), 1.0, 2.0, 0.1, 0.3, 3.0, 1e300, 2.0**52 + 1, 123456789.125]
+
+
+def test_image_orders_like_the_double(spark):
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    values = np.concatenate([bits.view(np.float64), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1021, 1023), 0), ODD])
+    values = values[~np.isnan(values)]
+    values = np.concatenate([values, -values])
+    rows = frame(spark, values).select("v", ordering.ordered_image(F.col("v")).alias("i")).collect()
+    assert [r for r in rows if ordering.image_value(r["i"]) != r["v"]] == []
+    assert [r["v"] for r in sorted(rows, key=lambda r: r["i"])] == sorted(r["v"] for r in rows)
+    nan = frame(spark, [float("nan")]).select(ordering.ordered_image(F.col("v"))).first()[0]
+    assert np.isnan(ordering.image_value(nan)) and nan > max(r["i"] for r in rows)
+
+
+def test_quantiles_of_values_that_share_their_leading_bits(spark):
+    """All four passes are needed; half of the rows have one value."""
     rng = np.random.default_rng(2)
-    values = np.concatenate([rng.exponential(5.0, 900), np.full(500, 3.0)])
-    got = ordering.exact_quantiles(frame(spark, values), ["v"], PROBS, 20)["v"]
-    assert np.allclose(got, np.quantile(values, PROBS), rtol=1e-14)
+    values = np.concatenate([1.0 + rng.integers(0, 1 << 20, 900) * 2.0**-52, np.full(900, 1.0 + 2.0**-40), -rng.exponential(5.0, 300)])
+    got = ordering.exact_quantiles(frame(spark, values), ["v"], PROBS)["v"]
+    assert np.allclose(got, np.quantile(values, PROBS), rtol=5e-16, atol=0)
+
+
+def test_quantiles_take_four_small_jobs(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rng.normal(0, 1, (500, 6))], [f"c{i}" for i in range(6)])
+    tracker, group = spark.sparkContext.statusTracker(), "quantile-jobs"
+    spark.sparkContext.setJobGroup(group, "")
+    ordering.exact_quantiles(df, df.columns, PROBS)
+    # Adaptive execution runs the map side of an aggregate as a job of its own.
+    assert len(tracker.getJobIdsForGroup(group)) <= 8
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_quantiles_skip_nulls_and_allow_empty(spark):
@@ -46,7 +71,7 @@ def test_quantiles_skip_nulls_and_allow_empty(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-5, 5), min_size=12, max_size=60))
 def test_quantile_property(spark, values):
-    got = ordering.exact_quantiles(frame(spark, values), ["v"], [0.2, 0.5, 0.8], 5)["v"]
+    got = ordering.exact_quantiles(frame(spark, values), ["v"], [0.2, 0.5, 0.8])["v"]
     assert np.allclose(got, np.quantile(np.array(values, dtype=float), [0.2, 0.5, 0.8]))
 
 

@@ -76,12 +76,11 @@ def pandas_score(series, bins, ascending):
 
 @pytest.mark.parametrize("ascending", [True, False])
 @pytest.mark.parametrize("kind", ["spread", "few_values"])
-@pytest.mark.parametrize("small_rows", [10**6, 40])
-def test_scores_match_pandas_on_both_paths(spark, ascending, kind, small_rows):
+def test_scores_match_pandas_on_both_paths(spark, ascending, kind):
     rng = np.random.default_rng(4)
     values = rng.gamma(2.0, 50.0, 400) if kind == "spread" else rng.poisson(0.7, 400).astype(float)
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, x double")
-    score, path = scoring.score_columns(df, {"x": not ascending}, 5, small_rows)["x"]
+    score, path = scoring.score_columns(df, {"x": not ascending}, 5)["x"]
     got = [r[0] for r in df.withColumn("s", score).orderBy("i").select("s").collect()]
     assert path == ("quantile" if kind == "spread" else "equal_width")
     assert got == pandas_score(pd.Series(values), 5, ascending).tolist()
@@ -133,10 +132,9 @@ def test_value_per_month(spark):
         scoring.clv_descriptive(scoring.rfm_raw(orders(spark, rows)), frequency_basis="weeks")
 
 
-@pytest.mark.parametrize("small_rows", [10**6, 30])
-def test_tiers_cut_at_the_quantiles(spark, small_rows):
+def test_tiers_cut_at_the_quantiles(spark):
     df = spark.range(100).select(F.col("id").alias("customer_id"), F.pow(F.col("id"), F.lit(2.0)).alias("clv"))
-    sizes = {r["tier"]: r["count"] for r in scoring.value_tiers(df, small_rows).groupBy("tier").count().collect()}
+    sizes = {r["tier"]: r["count"] for r in scoring.value_tiers(df).groupBy("tier").count().collect()}
     assert sizes == {"Bronze": 20, "Silver": 30, "Gold": 30, "Platinum": 20}
     with pytest.raises(ValueError):
         scoring.value_tiers(df.withColumn("clv", F.lit(1.0)))
