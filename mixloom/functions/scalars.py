@@ -102,6 +102,32 @@ def lgamma(column) -> Column:
     return (y - F.lit(0.5)) * F.log(y) - y + F.lit(HALF_LOG_TWO_PI) + tail * inverse - F.log(steps)
 
 
+#: Coefficients of 1/y^2, 1/y^4, ... in the asymptotic series of the digamma function after
+#: log(y) - 1/(2y), and of 1/y^3, 1/y^5, ... in that of the trigamma function after 1/y + 1/(2y^2).
+DIGAMMA_SERIES = (-1 / 12, 1 / 120, -1 / 252, 1 / 240, -1 / 132, 691 / 32760, -1 / 12)
+TRIGAMMA_SERIES = (1 / 6, -1 / 30, 1 / 42, -1 / 30, 5 / 66, -691 / 2730, 7 / 6)
+
+
+def _gamma_derivative(column, lead, series, step) -> Column:
+    """Asymptotic series at ``x + 8``, stepped back by the recurrence."""
+    x = _c(column).cast("double")
+    y = x + F.lit(float(LGAMMA_SHIFT))
+    inverse = F.lit(1.0) / y
+    squared = inverse * inverse
+    tail = reduce(lambda acc, c: acc * squared + F.lit(c), reversed(series[:-1]), F.lit(series[-1]))
+    return reduce(lambda a, b: a + b, [step(x + F.lit(float(k))) for k in range(LGAMMA_SHIFT)], lead(y, inverse, tail * squared))
+
+
+def digamma(column) -> Column:
+    """Derivative of log-gamma for positive arguments, to 1e-12."""
+    return _gamma_derivative(column, lambda y, i, tail: F.log(y) - F.lit(0.5) * i + tail, DIGAMMA_SERIES, lambda x: F.lit(-1.0) / x)
+
+
+def trigamma(column) -> Column:
+    """Second derivative of log-gamma for positive arguments, to 1e-12."""
+    return _gamma_derivative(column, lambda y, i, tail: i + F.lit(0.5) * i * i + tail * i, TRIGAMMA_SERIES, lambda x: F.lit(1.0) / (x * x))
+
+
 def log_sum_exp(a, b) -> Column:
     """log(exp(a) + exp(b)) without overflow."""
     a, b = _c(a), _c(b)

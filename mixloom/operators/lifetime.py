@@ -15,7 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.dates import period_index
-from mixloom.functions.scalars import gauss_2f1, lgamma, log_sum_exp, safe_ratio
+from mixloom.functions.scalars import (
+    DIGAMMA_SERIES,
+    LGAMMA_SHIFT,
+    TRIGAMMA_SERIES,
+    digamma,
+    gauss_2f1,
+    lgamma,
+    log_sum_exp,
+    safe_ratio,
+    trigamma,
+)
 from mixloom.sources.staging import stage
 
 # Fixed values of the published analysis: weeks per month, months, monthly discount rate.
@@ -170,57 +180,148 @@ def bgnbd_fit(summary: DataFrame, penalty: float = PENALTY) -> BgNbd:
     histories = stage(_histories(summary))
     oldest = histories.agg(F.max("T")).first()[0]
     scale = 10.0 / oldest if oldest else 1.0
-    names = ("r", "alpha", "a", "b")
-    (r, alpha, a, b), report = _maximise(
-        histories, names, F.col("n"), lambda p: _bgnbd_row(p, scale), bgnbd_constant, penalty
-    )
+    x, tx, age = F.col("frequency").cast("double"), F.col("recency") * F.lit(scale), F.col("T") * F.lit(scale)
+    rows = histories.select(x.alias("x"), tx.alias("tx"), age.alias("age"), F.col("n").cast("double").alias("w"))
+    (r, alpha, a, b), report = _maximise(rows, _bgnbd_terms, _bgnbd_constant_terms, 4, penalty)
     return BgNbd(r, alpha / scale, a, b, report)
 
 
 def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     """Penalised maximum likelihood on repeat buyers; each step is one aggregate."""
-    buyers = stage(repeat_buyers(summary).select("frequency", "monetary_value"))
-    parameters, report = _maximise(buyers, ("p", "q", "v"), F.lit(1), _gg_row, gamma_gamma_constant, penalty)
+    buyers = stage(repeat_buyers(summary).select(F.col("frequency").cast("double").alias("x"), F.col("monetary_value").alias("m")))
+    rows = buyers.select("x", "m", F.lit(1.0).alias("w"))
+    parameters, report = _maximise(rows, _gg_terms, _gg_constant_terms, 3, penalty)
     return GammaGamma(*parameters, report)
 
 
-def _maximise(data, names, weight, row_loglik, constant, penalty, max_jobs=80, tolerance=1e-6):
+def _bgnbd_terms(parameters: list[Column]) -> list[list[Column]]:
+    """Stages of columns of one history: helpers, then value, gradient and upper Hessian by parameter.
+
+    With A = alive, G = gone and s the share of G in their sum, log(e^A + e^G) has gradient
+    (1 - s) A' + s G' and Hessian (1 - s) A'' + s G'' + s (1 - s) (G' - A')(G' - A')'.
+    """
+    r, alpha, a, b = parameters
+    x, tx, age = F.col("x"), F.col("tx"), F.col("age")
+    one, zero = F.lit(1.0), F.lit(0.0)
+    left = b + F.greatest(x, one) - one
+    first = [
+        (-(r + x) * F.log(alpha + age)).alias("_alive"),
+        (F.log(a) - F.log(left) - (r + x) * F.log(alpha + tx)).alias("_gone"),
+        F.log(alpha + age).alias("_la"),
+        F.log(alpha + tx).alias("_lt"),
+        digamma(r + x).alias("_dr"),
+        trigamma(r + x).alias("_tr"),
+        digamma(b + x).alias("_db"),
+        trigamma(b + x).alias("_tb"),
+        digamma(a + b + x).alias("_dab"),
+        trigamma(a + b + x).alias("_tab"),
+        (lgamma(r + x) + lgamma(b + x) - lgamma(a + b + x)).alias("_counts"),
+    ]
+    odds = F.col("_gone") - F.col("_alive")
+    second = [F.when(x > 0, one / (one + F.exp(-odds))).otherwise(zero).alias("_s")]
+    s = F.col("_s")
+    value = F.col("_counts") + F.when(x > 0, log_sum_exp("_alive", "_gone")).otherwise(F.col("_alive"))
+    # Derivatives of A and G by r, alpha, a, b.
+    ga = [-F.col("_la"), -(r + x) / (alpha + age), zero, zero]
+    gg = [-F.col("_lt"), -(r + x) / (alpha + tx), one / a, -one / left]
+    ha = {(0, 1): -one / (alpha + age), (1, 1): (r + x) / ((alpha + age) * (alpha + age))}
+    hg = {(0, 1): -one / (alpha + tx), (1, 1): (r + x) / ((alpha + tx) * (alpha + tx)), (2, 2): -one / (a * a), (3, 3): one / (left * left)}
+    counts = [F.col("_dr"), zero, -F.col("_dab"), F.col("_db") - F.col("_dab")]
+    curved = {(0, 0): F.col("_tr"), (2, 2): -F.col("_tab"), (2, 3): -F.col("_tab"), (3, 3): F.col("_tb") - F.col("_tab")}
+    gradient = [counts[i] + (one - s) * ga[i] + s * gg[i] for i in range(4)]
+    hessian = []
+    for i, j in itertools.combinations_with_replacement(range(4), 2):
+        spread = s * (one - s) * (gg[i] - ga[i]) * (gg[j] - ga[j])
+        hessian.append(curved.get((i, j), zero) + (one - s) * ha.get((i, j), zero) + s * hg.get((i, j), zero) + spread)
+    return [first, second, [value, *gradient, *hessian]]
+
+
+def _bgnbd_constant_terms(r, alpha, a, b) -> tuple[float, list[float], dict[tuple[int, int], float]]:
+    """Value, gradient and Hessian of ``bgnbd_constant``."""
+    gradient = [math.log(alpha) - psi(r), r / alpha, psi(a + b), psi(a + b) - psi(b)]
+    both = psi_prime(a + b)
+    hessian = {(0, 0): -psi_prime(r), (0, 1): 1 / alpha, (1, 1): -r / alpha**2, (2, 2): both, (2, 3): both, (3, 3): both - psi_prime(b)}
+    return bgnbd_constant(r, alpha, a, b), gradient, hessian
+
+
+def _gg_terms(parameters: list[Column]) -> list[list[Column]]:
+    """Stages of columns of one repeat buyer: helpers, then value, gradient and upper Hessian by p, q, v."""
+    p, q, v = parameters
+    x, m = F.col("x"), F.col("m")
+    px, one = p * x, F.lit(1.0)
+    first = [
+        (lgamma(px + q) - lgamma(px)).alias("_counts"),
+        digamma(px + q).alias("_dq"),
+        digamma(px).alias("_dp"),
+        trigamma(px + q).alias("_tq"),
+        trigamma(px).alias("_tp"),
+        F.log(m).alias("_lm"),
+        F.log(x).alias("_lx"),
+        (x * m + v).alias("_all"),
+        F.log(x * m + v).alias("_lall"),
+    ]
+    dq, dp, tq, tp, whole, lall = (F.col(c) for c in ("_dq", "_dp", "_tq", "_tp", "_all", "_lall"))
+    value = F.col("_counts") + (px - one) * F.col("_lm") + px * F.col("_lx") - (px + q) * lall
+    gradient = [x * (dq - dp + F.col("_lm") + F.col("_lx") - lall), dq - lall, -(px + q) / whole]
+    hessian = [x * x * (tq - tp), x * tq, -x / whole, tq, -one / whole, (px + q) / (whole * whole)]
+    return [first, [value, *gradient, *hessian]]
+
+
+def _gg_constant_terms(p, q, v) -> tuple[float, list[float], dict[tuple[int, int], float]]:
+    """Value, gradient and Hessian of ``gamma_gamma_constant``."""
+    gradient = [0.0, math.log(v) - psi(q), q / v]
+    return gamma_gamma_constant(p, q, v), gradient, {(1, 1): -psi_prime(q), (1, 2): 1 / v, (2, 2): -q / v**2}
+
+
+def psi(x: float) -> float:
+    """Digamma of a number, by the series of ``functions.scalars.digamma``."""
+    y = x + LGAMMA_SHIFT
+    tail = sum(c / y ** (2 * i + 2) for i, c in enumerate(DIGAMMA_SERIES))
+    return math.log(y) - 0.5 / y + tail - sum(1.0 / (x + k) for k in range(LGAMMA_SHIFT))
+
+
+def psi_prime(x: float) -> float:
+    """Trigamma of a number."""
+    y = x + LGAMMA_SHIFT
+    tail = sum(c / y ** (2 * i + 3) for i, c in enumerate(TRIGAMMA_SERIES))
+    return 1.0 / y + 0.5 / y**2 + tail + sum(1.0 / (x + k) ** 2 for k in range(LGAMMA_SHIFT))
+
+
+def _maximise(data, terms, constant, k, penalty, max_jobs=80, tolerance=1e-10):
     """Newton ascent on the logarithms of positive parameters.
 
-    One Spark job evaluates a batch of parameter vectors, held in a broadcast table of
-    some ten rows, which gives value, gradient and curvature at once. Only these sums
-    reach the driver. A step that does not improve is halved.
+    One aggregate gives value, gradient and Hessian of the sum over ``data`` at one parameter vector; no
+    row is multiplied. Only these sums reach the driver. A step that does not improve is halved.
+    ``data`` has a weight ``w``; parameters are columns of a one-row table, so that all jobs share
+    their compiled code.
     """
-    spark, k = data.sparkSession, len(names)
-    # Built once: the parameters are columns, so every job shares the expression and its compiled code.
-    total = F.sum(weight * row_loglik({n: F.col(n) for n in names})).alias("ll")
-    corners = list(itertools.combinations(range(k), 2))
-    h = 1e-3
-    unit = np.eye(k) * h
+    spark = data.sparkSession
+    corners = list(itertools.combinations_with_replacement(range(k), 2))
+    names = [f"_p{i}" for i in range(k)]
+    stages = terms([F.col(n) for n in names])
 
     def evaluate(at):
-        """Penalised mean negative log-likelihood with its gradient and curvature."""
-        points = [at, *[at + u for u in unit], *[at - u for u in unit]]
-        points += [at + unit[i] + unit[j] for i, j in corners]
-        theta = np.exp(np.array(points))
-        rows = ", ".join(f"({i}, {', '.join(f'{v!r}D' for v in p.tolist())})" for i, p in enumerate(theta))
-        table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(id, {', '.join(names)})")
-        sums = (
-            data.crossJoin(F.broadcast(table))
-            .groupBy("id")
-            .agg(total, F.sum(weight).alias("w"))
-            .collect()
-        )
-        f = np.full(len(points), np.inf)
-        for row in sums:
-            if row["ll"] is not None and math.isfinite(row["ll"]):
-                p = theta[row["id"]]
-                f[row["id"]] = -row["ll"] / row["w"] - constant(*p.tolist()) + penalty * float((p * p).sum())
-        here, plus, minus = f[0], f[1 : k + 1], f[k + 1 : 2 * k + 1]
-        curvature = np.diag((plus - 2 * here + minus) / h**2)
+        """Penalised mean negative log-likelihood with its gradient and Hessian by log parameter."""
+        theta = np.exp(at)
+        table = spark.sql(f"SELECT {', '.join(f'{v!r}D AS {n}' for v, n in zip(theta.tolist(), names, strict=True))}")
+        rows = data.crossJoin(F.broadcast(table))
+        for helpers in stages[:-1]:
+            rows = rows.select("*", *helpers)
+        weighted = [F.sum(F.col("w") * c).alias(f"s{i}") for i, c in enumerate(stages[-1])]
+        row = rows.agg(F.sum("w").alias("w"), *weighted).first()
+        if not row["w"] or row["s0"] is None or not all(math.isfinite(v) for v in row):
+            return math.inf, None, None
+        sums = np.array([row[f"s{i}"] for i in range(len(stages[-1]))]) / row["w"]
+        value, first, second = constant(*theta.tolist())
+        gradient = sums[1 : 1 + k] + np.array(first)
+        hessian = np.zeros((k, k))
         for n, (i, j) in enumerate(corners):
-            curvature[i, j] = curvature[j, i] = (f[2 * k + 1 + n] - plus[i] - plus[j] + here) / h**2
-        return here, (plus - minus) / (2 * h), curvature
+            hessian[i, j] = hessian[j, i] = sums[1 + k + n] + second.get((i, j), 0.0)
+        # Negative, with the penalty, and by the logarithms of the parameters.
+        gradient, hessian = -gradient + 2 * penalty * theta, -hessian + 2 * penalty * np.eye(k)
+        by_log = gradient * theta
+        curvature = hessian * np.outer(theta, theta) + np.diag(by_log)
+        return -(sums[0] + value) + penalty * float((theta**2).sum()), by_log, curvature
 
     at = np.zeros(k)
     here, gradient, curvature = evaluate(at)

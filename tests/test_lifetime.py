@@ -165,3 +165,59 @@ def test_regression_metrics_exclude_incomplete_pairs(spark):
     row = life.regression_metrics(df, "y", "p").first()
     assert (row["n"], row["n_excluded"]) == (2, 2)
     assert row["rmse"] == pytest.approx(math.sqrt(0.5)) and row["mae"] == 0.5 and row["r2"] == pytest.approx(0.5)
+
+
+def test_gamma_derivatives(spark):
+    xs = [0.01, 0.3, 1.0, 2.5, 17.0, 400.0]
+    from mixloom.functions.scalars import digamma, trigamma
+
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", digamma("x").alias("d"), trigamma("x").alias("t"))
+    for r in df.collect():
+        # By the recurrence up to 10^6, where log(y) - 1/2y and 1/y + 1/2y^2 are exact to the last digits.
+        n = 1_000_000
+        k = np.arange(n) + r["x"]
+        y = r["x"] + n
+        assert r["d"] == pytest.approx(math.log(y) - 0.5 / y - (1 / k).sum(), abs=1e-9)
+        assert r["t"] == pytest.approx(1 / y + 0.5 / y**2 + (1 / k**2).sum(), rel=1e-10)
+        assert life.psi(r["x"]) == pytest.approx(r["d"], rel=1e-12, abs=1e-12) and life.psi_prime(r["x"]) == pytest.approx(r["t"], rel=1e-12)
+
+
+def sums(rows, terms, theta):
+    data = rows.crossJoin(rows.sparkSession.createDataFrame([tuple(theta)], ", ".join(f"_p{i} double" for i in range(len(theta)))))
+    stages = terms([F.col(f"_p{i}") for i in range(len(theta))])
+    for helpers in stages[:-1]:
+        data = data.select("*", *helpers)
+    return np.array(data.agg(*[F.sum(F.col("w") * c) for c in stages[-1]]).first())
+
+
+@pytest.mark.parametrize(
+    ("terms", "constant", "theta", "columns"),
+    [
+        (life._bgnbd_terms, life._bgnbd_constant_terms, (0.9, 8.0, 0.7, 2.4), ("frequency as x", "recency as tx", "T as age", "1.0 as w")),
+        (life._gg_terms, life._gg_constant_terms, (3.0, 4.0, 20.0), ("frequency as x", "monetary_value as m", "2.0 as w")),
+    ],
+)
+def test_derivatives_are_those_of_the_likelihood(summary, terms, constant, theta, columns):
+    """Value, gradient and Hessian in one row against differences of the row above them."""
+    rows = life.repeat_buyers(summary).limit(200).unionByName(summary.filter("frequency = 0").limit(50 if "tx" in str(columns) else 0))
+    rows = rows.selectExpr(*columns)
+    k = len(theta)
+    here = sums(rows, terms, theta)
+    value, gradient, hessian = constant(*theta)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    for i in range(k):
+        h = 1e-5 * theta[i]
+        up, down = ([t + s * h * (n == i) for n, t in enumerate(theta)] for s in (1, -1))
+        high, low = sums(rows, terms, up), sums(rows, terms, down)
+        slopes = (high - low) / (2 * h)
+        assert here[1 + i] == pytest.approx(slopes[0], rel=1e-5, abs=1e-4)
+        cu, cd = constant(*up), constant(*down)
+        assert gradient[i] == pytest.approx((cu[0] - cd[0]) / (2 * h), rel=1e-5, abs=1e-7)
+        for j in range(i, k):
+            assert here[1 + k + pairs.index((i, j))] == pytest.approx(slopes[1 + j], rel=1e-5, abs=1e-4)
+            assert hessian.get((i, j), 0.0) == pytest.approx((cu[1][j] - cd[1][j]) / (2 * h), rel=1e-5, abs=1e-7)
+
+
+def test_fits_take_few_passes(summary):
+    for fitted in (life.bgnbd_fit(summary), life.gamma_gamma_fit(summary)):
+        assert fitted.report.converged and fitted.report.passes <= 25 and fitted.report.gradient < 1e-4
