@@ -5,6 +5,8 @@ These work on one row per channel, or on one row per channel and step of a spend
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,73 +127,73 @@ def spend_grid(lower: float = LOWER_BOUND, upper: float = UPPER_BOUND, steps: in
     return [lower + (upper - lower) * i / steps for i in range(steps + 1)]
 
 
-def envelope_points(curve: DataFrame, outcome: str = "median") -> DataFrame:
-    """The grid points of each channel that lie on the least concave majorant of its curve.
+def _best_plan(spends: list[np.ndarray], outcomes: list[np.ndarray], budget: float) -> list[int]:
+    """Index of the point to take of each channel: the best sum of outcomes within the budget, then the least spend.
 
-    A point lies on it if no slope to a later point is above a slope from an earlier one. Points are
-    compared within a channel's own grid, so a channel has (grid points)^2 comparisons.
+    Multiple-choice knapsack by max-plus convolution of the channels' points: after each channel only
+    plans that no cheaper plan equals in outcome are kept, so the search is exact for any curve and budget.
     """
-    other = curve.select("channel", F.col("spend").alias("_x"), F.col(outcome).alias("_y"))
-    pairs = curve.join(other, "channel")
-    slope = F.try_divide(F.col("_y") - F.col(outcome), F.col("_x") - F.col("spend"))
-    rest = [c for c in curve.columns if c not in ("channel", "spend")]
-    bounds = pairs.groupBy("channel", "spend").agg(
-        *[F.first(c).alias(c) for c in rest],
-        F.max(F.when(F.col("_x") > F.col("spend"), slope)).alias("_after"),
-        F.min(F.when(F.col("_x") < F.col("spend"), slope)).alias("_before"),
-    )
-    on = F.col("_after").isNull() | F.col("_before").isNull() | (F.col("_after") <= F.col("_before"))
-    return bounds.filter(on).select(*curve.columns)
+    limit = budget + abs(budget) * 1e-12
+    # What the channels to come need at least.
+    rest = np.concatenate([np.cumsum([s.min() for s in spends[::-1]])[::-1][1:], [0.0]])
+    spent, gained, trail = np.zeros(1), np.zeros(1), []
+    for at, (s, g) in enumerate(zip(spends, outcomes, strict=True)):
+        total, value = np.add.outer(spent, s).ravel(), np.add.outer(gained, g).ravel()
+        affordable = np.flatnonzero(total + rest[at] <= limit)
+        if not len(affordable):  # the budget does not pay the lowest spends
+            return [int(x.argmin()) for x in spends]
+        order = affordable[np.lexsort((-value[affordable], total[affordable]))]
+        best = np.maximum.accumulate(value[order])
+        kept = order[np.concatenate([[True], best[1:] > best[:-1]])]
+        trail.append((kept // len(s), kept % len(s)))
+        spent, gained = total[kept], value[kept]
+    plan, state = [], len(spent) - 1
+    for before, point in reversed(trail):
+        plan.append(int(point[state]))
+        state = int(before[state])
+    return plan[::-1]
+
+
+def optimize_budgets(curve: DataFrame, budgets: DataFrame, outcome: str = "median") -> DataFrame:
+    """``optimize_budget`` for every row of ``budgets`` (column ``budget``), each in a task of its own."""
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        parts = [p.sort_values("spend") for _, p in group.groupby("channel", sort=True)]
+        plan = _best_plan([p["spend"].to_numpy() for p in parts], [p["outcome"].to_numpy() for p in parts], key[0])
+        rows = [p.iloc[i] for p, i in zip(parts, plan, strict=True)]
+        spent = sum(r["spend"] for r in rows)
+        return pd.DataFrame(
+            {
+                "budget": key[0],
+                "channel": [r["channel"] for r in rows],
+                "spend_historical": [(p["spend"] / p["multiplier"]).max() for p in parts],
+                "spend": [r["spend"] for r in rows],
+                "incremental_outcome": [r["outcome"] for r in rows],
+                "unspent": key[0] - spent,
+            }
+        )
+
+    points = curve.select("channel", "multiplier", "spend", F.col(outcome).cast("double").alias("outcome")).filter("outcome is not null")
+    # A curve has channels times grid points.
+    paired = budgets.select(F.col("budget").cast("double").alias("budget")).distinct().join(F.broadcast(points))
+    kinds = "budget double, channel string, spend_historical double, spend double, incremental_outcome double, unspent double"
+    return paired.groupBy("budget").applyInPandas(run, kinds)
 
 
 def optimize_budget(curve: DataFrame, budget: float | None = None, outcome: str = "median") -> DataFrame:
     """Spend per channel that maximises the outcome under a fixed budget, for curves of any shape.
 
-    ``curve`` comes from ``response_curve`` over ``spend_grid``. Every channel starts at its lowest
-    spend. Where a curve bends upwards, the points below its concave majorant are skipped: a
-    channel goes over such a stretch as a whole or not at all. The steps are taken by falling marginal
-    return while the budget lasts, in order within a channel, as the majorant only bends down; so
-    spend and outcome are points of the curve. For concave curves this is the best allocation up to
-    one step; ``unspent`` is what is left of the budget, e.g. before a stretch that it can't pay.
-    The steps are as many as channels times grid points, so one window ranks them.
+    ``curve`` comes from ``response_curve`` over ``spend_grid``. Every channel takes one point of its
+    curve; no other plan within the budget has a larger sum, so no step up that raises the outcome could
+    be paid from ``unspent``. Without a budget it is the historical spend. A budget below the lowest spends
+    leaves every channel there, and ``unspent`` is negative.
     """
-    grid = Window.partitionBy("channel").orderBy("spend")
-    steps = envelope_points(curve, outcome).select(
-        "channel",
-        "spend",
-        F.col(outcome).alias("_at"),
-        (F.col("spend") - F.lag("spend").over(grid)).alias("_cost"),
-        (F.col(outcome) - F.lag(outcome).over(grid)).alias("_gain"),
-    )
-    floor = curve.groupBy("channel").agg(
-        F.min("spend").alias("_low"),
-        F.min_by(outcome, "spend").alias("_low_outcome"),
-        F.max(F.try_divide("spend", "multiplier")).alias("spend_historical"),
-    )
-    limit = floor.agg(
-        (F.sum("spend_historical") if budget is None else F.lit(float(budget))).alias("_budget"),
-        F.sum("_low").alias("_committed"),
-    )
-    ranking = Window.orderBy(F.desc("_marginal"), "channel", "spend").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    taken = (
-        steps.filter("_cost > 0 AND _gain > 0")
-        .withColumn("_marginal", F.col("_gain") / F.col("_cost"))
-        .withColumn("_used", F.sum("_cost").over(ranking))
-        .crossJoin(F.broadcast(limit))
-        .filter(F.col("_used") <= (F.col("_budget") - F.col("_committed")) * F.lit(1.0 + 1e-12))
-        .groupBy("channel")
-        .agg(F.max("spend").alias("_to"), F.max_by("_at", "spend").alias("_reached"))
-    )
-    chosen = floor.join(taken, "channel", "left").select(
-        "channel",
-        "spend_historical",
-        F.coalesce("_to", "_low").alias("spend"),
-        F.coalesce("_reached", "_low_outcome").alias("incremental_outcome"),
-    )
-    spent = chosen.agg(F.sum("spend").alias("_spent")).crossJoin(limit)
-    return chosen.crossJoin(F.broadcast(spent)).select(*chosen.columns, (F.col("_budget") - F.col("_spent")).alias("unspent"))
+    if budget is None:
+        per_channel = curve.groupBy("channel").agg(F.max(F.try_divide("spend", "multiplier")).alias("spend_historical"))
+        budgets = per_channel.agg(F.sum("spend_historical").alias("budget"))
+    else:
+        budgets = curve.sparkSession.range(1).select(F.lit(float(budget)).alias("budget"))
+    return optimize_budgets(curve, budgets, outcome).drop("budget")
 
 
 def compare_allocation(optimised: DataFrame, historical: DataFrame) -> DataFrame:

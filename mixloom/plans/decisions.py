@@ -477,21 +477,17 @@ def response_curve(t: Tables) -> DataFrame:
     return _money(_curve(t), "spend", "mean", "low", "median", "high")
 
 
-_optimal_sql = """
-    hull AS (SELECT c.channel, c.spend, c.median FROM curve c JOIN curve o ON o.channel = c.channel GROUP BY ALL
-             HAVING coalesce(max(CASE WHEN o.spend > c.spend THEN (o.median - c.median) / (o.spend - c.spend) END)
-                             <= min(CASE WHEN o.spend < c.spend THEN (o.median - c.median) / (o.spend - c.spend) END), TRUE)),
-    inc AS (SELECT channel, spend, median, spend - lag(spend) OVER w AS cost, median - lag(median) OVER w AS gain
-            FROM hull WINDOW w AS (PARTITION BY channel ORDER BY spend)),
-    flo AS (SELECT channel, min(spend) AS low_spend, arg_min(median, spend) AS low_outcome FROM curve GROUP BY 1),
-    ranked AS (SELECT *, sum(cost) OVER (ORDER BY gain / cost DESC, channel, spend ROWS UNBOUNDED PRECEDING) AS used
-               FROM inc WHERE cost > 0 AND gain > 0),
-    taken AS (SELECT channel, max(spend) AS reached, arg_max(median, spend) AS reached_outcome FROM ranked
-              WHERE used <= ((SELECT sum(spend_total) FROM channel_spend) - (SELECT sum(low_spend) FROM flo)) * (1 + 1e-12)
-              GROUP BY 1),
-    opt AS (SELECT channel, spend_total AS spend_historical, coalesce(reached, low_spend) AS spend,
-                   coalesce(reached_outcome, low_outcome) AS incremental_outcome
-            FROM flo JOIN channel_spend USING (channel) LEFT JOIN taken USING (channel)),
+# Every plan of one point per channel.
+_points = [f"p{i}" for i in range(len(CHANNELS))]
+_optimal_sql = f"""
+    plan AS (SELECT {", ".join(f"{p}.spend AS {p}_spend, {p}.median AS {p}_median" for p in _points)},
+                    {" + ".join(f"{p}.spend" for p in _points)} AS spent, {" + ".join(f"{p}.median" for p in _points)} AS gained
+             FROM {", ".join(f"(SELECT spend, median FROM curve WHERE channel = '{c}') {p}" for p, c in zip(_points, CHANNELS))}),
+    best AS (SELECT * FROM plan WHERE spent <= (SELECT sum(spend_total) FROM channel_spend) * (1 + 1e-12)
+             ORDER BY gained DESC, spent LIMIT 1),
+    opt AS (SELECT channel, spend_total AS spend_historical, spend, incremental_outcome FROM channel_spend JOIN (
+              {" UNION ALL ".join(f"SELECT '{c}' AS channel, {p}_spend AS spend, {p}_median AS incremental_outcome FROM best" for p, c in zip(_points, CHANNELS))}
+            ) USING (channel)),
     hist AS (SELECT channel, spend, median AS incremental_outcome FROM curve WHERE multiplier = 1.0)"""
 
 

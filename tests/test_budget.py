@@ -88,7 +88,7 @@ def curve(spark, shapes, lower=0.5, upper=2.0, steps=6):
     return spark.createDataFrame(rows, "channel string, multiplier double, spend double, median double")
 
 
-def test_greedy_steps_are_the_best_allocation(spark):
+def test_allocation_is_the_best_of_all_plans(spark):
     shapes = {
         "A": (8.0, lambda s: 30 * s / (s + 10)),
         "B": (8.0, lambda s: 50 * s / (s + 20)),
@@ -109,22 +109,6 @@ def test_greedy_steps_are_the_best_allocation(spark):
     assert 12.0 <= less <= 14.0
 
 
-def test_envelope_points(spark):
-    shapes = {"S": (10.0, lambda s: s**3 / (s**3 + 1000.0)), "R": (10.0, lambda s: s / (s + 10))}
-    df = curve(spark, shapes, 0.1, 2.0, 19)
-    for c in ("S", "R"):
-        raw = [(r["spend"], r["median"]) for r in df.filter(F.col("channel") == c).orderBy("spend").collect()]
-        hull = [(r["spend"], r["median"]) for r in budget.envelope_points(df).filter(F.col("channel") == c).orderBy("spend").collect()]
-        slopes = [(y2 - y1) / (x2 - x1) for (x1, y1), (x2, y2) in itertools.pairwise(hull)]
-        assert set(hull) <= set(raw) and hull[0] == raw[0] and hull[-1] == raw[-1]
-        assert all(b <= a + 1e-12 for a, b in itertools.pairwise(slopes))
-        for x, y in raw:
-            left, right = max(p for p in hull if p[0] <= x), min(p for p in hull if p[0] >= x)
-            line = left[1] if left == right else left[1] + (right[1] - left[1]) * (x - left[0]) / (right[0] - left[0])
-            assert y <= line + 1e-12
-        assert len(hull) == len(raw) if c == "R" else len(hull) < len(raw)
-
-
 def best_by_force(shapes, grids, limit):
     plans = itertools.product(*grids)
     return max(sum(f(s) for s, (_, f) in zip(plan, shapes.values())) for plan in plans if sum(plan) <= limit + 1e-9)
@@ -135,18 +119,50 @@ def hill4(top, half):
 
 
 def test_s_shaped_curves(spark):
-    """Both budgets pay whole stretches, so the greedy plan is the best one; its outcome is on the curve."""
+    """Awkward budgets, which no row of whole stretches meets; outcomes are on the curve."""
     shapes = {"A": (100.0, hill4(300.0, 90.0)), "B": (100.0, hill4(900.0, 80.0))}
     df = curve(spark, shapes, 0.0, 2.0, 20)
     grids = [[100.0 * m for m in budget.spend_grid(0.0, 2.0, 20)]] * 2
-    for limit in (150.0, 260.0, 400.0):
+    for limit in (1.0, 89.9, 150.0, 171.3, 260.0, 333.3, 400.0, 1000.0):
         out = {r["channel"]: r for r in budget.optimize_budget(df, budget=limit).collect()}
         for c, (_, f) in shapes.items():
             assert out[c]["incremental_outcome"] == pytest.approx(f(out[c]["spend"]))
         spent = sum(r["spend"] for r in out.values())
         assert spent <= limit + 1e-9 and all(r["unspent"] == pytest.approx(limit - spent) for r in out.values())
-        # With what was spent nothing better could have been done.
-        assert sum(r["incremental_outcome"] for r in out.values()) == pytest.approx(best_by_force(shapes, grids, spent))
+        assert sum(r["incremental_outcome"] for r in out.values()) == pytest.approx(best_by_force(shapes, grids, limit))
+
+
+def test_curves_of_any_shape(spark):
+    """Jagged curves on grids that share no step: the best of all plans, and nothing affordable is left."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(3):
+        rows, grids, tops = [], [], {}
+        for c, spend in (("A", 7.3), ("B", 11.9), ("C", 2.17), ("D", 5.01)):
+            points = [(m, spend * m, rng.choice([0.0, rng.random() * 9, m])) for m in budget.spend_grid(0.2, 2.0, 9)]
+            rows += [(c, *p) for p in points]
+            grids.append(points)
+            tops[c] = {p[1]: p[2] for p in points}
+        df = spark.createDataFrame(rows, "channel string, multiplier double, spend double, median double")
+        limits = [4.0, 9.7, 20.0, 26.38, 33.3]
+        wanted = spark.createDataFrame([(x,) for x in limits], "budget double")
+        for limit, plan in _by_budget(budget.optimize_budgets(df, wanted)).items():
+            plans = [p for p in itertools.product(*grids) if sum(x[1] for x in p) <= limit + 1e-9]
+            if not plans:
+                assert all(r["spend"] == min(tops[r["channel"]]) for r in plan) and plan[0]["unspent"] < 0
+                continue
+            assert sum(r["incremental_outcome"] for r in plan) == pytest.approx(max(sum(x[2] for x in p) for p in plans))
+            for r in plan:
+                more = [g for s, g in tops[r["channel"]].items() if r["spend"] < s <= r["spend"] + r["unspent"]]
+                assert all(g <= r["incremental_outcome"] for g in more)
+
+
+def _by_budget(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["budget"], []).append(r)
+    return out
 
 
 def test_kpis(spark, three):
