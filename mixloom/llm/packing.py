@@ -60,7 +60,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Words without the string of an added token are encoded alone; texts with one as they are.
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in t.get_added_tokens_decoder().values() if t.content]
+        t.encode_special_tokens = True
         self.code = "H" if t.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self.dtype = np.dtype(self.code).newbyteorder("<")
         self.end = array(self.code, [end_id]).tobytes()
@@ -119,6 +122,22 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the offsets of the texts in them."""
+        special = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            special |= pc.fill_null(pc.match_substring(texts, token, ignore_case=True), False).to_numpy(zero_copy_only=False)
+        if not special.any():
+            return self._encode_words(texts)
+        ids, offsets = self._encode_words(pc.if_else(pa.array(special), "", texts))
+        at = np.flatnonzero(special)
+        parts = [np.array(self.whole.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype=self.dtype) for i in at.tolist()]
+        sizes = np.diff(offsets)
+        sizes[at] += np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        # Before the end id of their text.
+        pieces = np.split(ids, offsets[at])
+        joined = [pieces[0], *[x for pair in zip(parts, pieces[1:], strict=True) for x in pair]]
+        return np.concatenate(joined), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         flat = split.flatten().dictionary_encode()
         words = flat.dictionary

@@ -11,12 +11,11 @@ tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
 PATH = public.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, source string"
+TOKENIZER = tokenizers.Tokenizer.from_file(PATH)
 
 
 def ids_of(text):
-    t = tokenizers.Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def run(spark, docs, schema=SCHEMA, **more):
@@ -64,6 +63,10 @@ ODD = [
     (1002, "same text", "s1"),
     (None, "ΟΔΟΣ İ it's DON'T\x1cx\x85y 中文字 é <|endoftext|> 12,345", "s2"),
     (1003, "long " * 9000, "s3"),
+    (1004, "hello <|endoftext|> world<|startoftext|>", "s1"),
+    (1005, "<|endoftext|>", "s1"),
+    (1006, "a<|ENDOFTEXT|>b <|endoftext|", "s1"),
+    (1007, "before\n<|startoftext|><|endoftext|>after it's É", "s0"),
 ]
 
 
@@ -104,3 +107,13 @@ def test_given_shares_rule_while_queues_last(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_texts_with_added_tokens_among_others():
+    import pyarrow as pa
+
+    from mixloom.llm.packing import WordTokenizer
+
+    texts = ["<|endoftext|> first", "plain", None, "", "x <|endoftext|>", "<|startoftext|>", "Last one."]
+    ids, offsets = WordTokenizer(PATH, 2).encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [ids_of(t) for t in texts]
