@@ -17,8 +17,10 @@ without labelled credentials only base spans are found, i.e. none.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -194,8 +196,9 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             text = text or ""
             spans = base_spans(text)
+            taken = _Taken(spans)
             counts.update((KINDS[k], classes(secret)) for _, k, _, secret in spans)
-            counts.update(("other", classes(t)) for a, b, t in candidates(text) if _is_free(spans, a, b))
+            counts.update(("other", classes(t)) for a, b, t in candidates(text) if taken.is_free(a, b))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k for k, _ in counts], pa.string()),
@@ -206,8 +209,16 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _is_free(spans: list, start: int, end: int) -> bool:
-    return not any(a < end and b > start for a, _, b, _ in spans)
+class _Taken:
+    """Which stretches the base spans (sorted by start) cover."""
+
+    def __init__(self, spans: list):
+        self.starts = [a for a, *_ in spans]
+        self.reach = list(itertools.accumulate((b for _, _, b, _ in spans), max))
+
+    def is_free(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return not before or self.reach[before - 1] <= start
 
 
 class Detector:
@@ -227,9 +238,9 @@ class Detector:
 
     def spans(self, text: str) -> tuple[list, list]:
         base = base_spans(text)
-        added = []
+        taken, added = _Taken(base), []
         for start, end, token in candidates(text):
-            if _is_free(base, start, end) and (kind := self.kind_of(token)):
+            if taken.is_free(start, end) and (kind := self.kind_of(token)):
                 added.append((start, KINDS.index(kind), end))
         return [x[:3] for x in base], added
 

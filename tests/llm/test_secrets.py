@@ -82,3 +82,16 @@ def test_repeated_rows_other_columns_and_no_labels(spark):
 def test_classes_and_overlaps():
     assert classes("aZ9-gF") == "hLd-lH"
     assert [k for _, k, _, _ in base_spans("secret=0123456789abcdef0")] == [0, 2]
+
+
+def test_long_text_is_linear():
+    import time
+
+    from mixloom.llm.secrets import Detector
+
+    rng = random.Random(3)
+    text = " ".join(rng.choice([f"token={secret(rng, 16)}", "0123456789abcdef01", f"part{i}number99xx"]) for i in range(100_000))
+    detector = Detector({"assign": {"dldldldldldl": 1}, "other": {"llllddllllllddll": 1}}, 0.3)
+    begin = time.perf_counter()
+    base, added = detector.spans(text)
+    assert time.perf_counter() - begin < 20 and len(base) > 60_000
