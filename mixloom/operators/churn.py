@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.scalars import safe_ratio
-from mixloom.operators.evaluation import class_weights, mode_per_column
-from mixloom.operators.ordering import exact_quantiles
+from mixloom.operators.evaluation import class_weights, mode_per_column, roc_auc_by
+from mixloom.operators.ordering import exact_quantiles, running_totals
+from mixloom.sources.staging import stage
 
 # Seed and iteration limit of the published models.
 SEED = 420
@@ -24,6 +25,34 @@ def vector_element(column: str, i: int) -> Column:
     return vector_to_array(F.col(column))[i]
 
 
+def vector_rows(df: DataFrame, key: str, column: str, names) -> DataFrame:
+    """All elements of a vector column as rows: key, position, feature name and value."""
+    elements = df.select(key, F.posexplode(vector_to_array(F.col(column))).alias("position", "value"))
+    return elements.select(key, "position", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1).alias("feature"), "value")
+
+
+def index_table(train: DataFrame, column: str) -> DataFrame:
+    """``column``, ``n`` and ``index`` of every category of the train rows: by falling count, then by value.
+
+    The ranks are running totals over ranges, so no task and no driver holds all categories.
+    """
+    counted = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.withColumns({"_less": -F.col("n"), "_one": F.lit(1).cast("long")})
+    ranked = running_totals(ordered, ["_less", column], {"index": "_one"})
+    return ranked.select(column, "n", (F.col("index") - 1).alias("index"))
+
+
+def index_strings(table: DataFrame, df: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with the index of its category; unseen and NULL categories get the next free index.
+
+    A join to one row per category; a category with a large share of the rows is split by adaptive execution.
+    """
+    size = table.agg(F.count(F.lit(1)).alias("_size"))
+    known = table.select(column, F.col("index").alias(out))
+    joined = df.join(known, column, "left").crossJoin(F.broadcast(size))
+    return joined.select(*df.columns, F.coalesce(out, "_size").alias(out))
+
+
 def random_split(df: DataFrame, ratio: float = 0.8, seed: int = SEED) -> list[DataFrame]:
     """Seeded random split."""
     return df.randomSplit([ratio, 1.0 - ratio], seed=seed)
@@ -135,9 +164,17 @@ def auc(predictions: DataFrame, label: str) -> float:
 
 
 def select_best(models: dict[str, PipelineModel], test: DataFrame, label: str) -> tuple[str, dict[str, float]]:
-    """Name of the model with the highest AUC on ``test``, the first on a tie, and all AUCs."""
-    scores = {name: auc(predict(m, test), label) for name, m in models.items()}
-    return max(scores, key=scores.get), scores
+    """Name of the model with the highest AUC on ``test``, the first on a tie, and all AUCs.
+
+    The scores of all models form one long table, which is ordered once for all of them.
+    """
+    scored = [predict(m, test).select(F.lit(name).alias("model"), label, "predicted_probability") for name, m in models.items()]
+    long = scored[0]
+    for more in scored[1:]:
+        long = long.unionByName(more)
+    found = {r["model"]: r["auc"] for r in roc_auc_by(stage(long), "model", label, "predicted_probability").collect()}
+    scores = {name: found[name] for name in models}
+    return max(scores, key=lambda n: scores[n] or 0.0), scores
 
 
 def feature_names(model: PipelineModel, df: DataFrame, numeric, categorical) -> list[str]:

@@ -5,7 +5,7 @@ Label, score and prediction stay in one DataFrame; nothing is aligned by positio
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.functions.scalars import safe_ratio
@@ -76,6 +76,29 @@ def roc_auc(scan: DataFrame) -> DataFrame:
     return scan.agg(safe_ratio(wins, F.max(F.col("n_pos") * F.col("n_neg").cast("double"))).alias("auc"))
 
 
+def roc_auc_by(df: DataFrame, group: str, label: str, score: str, buckets: int | None = None) -> DataFrame:
+    """Area under the ROC curve of every ``group`` (a model, a segment), tied scores count half; one order for all.
+
+    Running totals go over (group, falling score); a group's own totals begin where the groups before it
+    end. Groups are few, scores and rows may be any number.
+    """
+    counted = stage(
+        df.groupBy(F.col(group).alias("_g"), (-F.col(score)).alias("_order")).agg(
+            F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+        )
+    )
+    running = running_totals(counted, ["_g", "_order"], {"fp": "neg"}, buckets)
+    totals = counted.groupBy("_g").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    # One row per group.
+    earlier = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_before", F.coalesce(F.sum("n_neg").over(earlier), F.lit(0)))
+    joined = running.join(F.broadcast(totals), "_g")
+    below = F.col("n_neg") - (F.col("fp") - F.col("_before"))
+    wins = F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
+    out = joined.groupBy("_g").agg(safe_ratio(wins, F.max(F.col("n_pos") * F.col("n_neg").cast("double"))).alias("auc"))
+    return out.withColumnRenamed("_g", group)
+
+
 def cost_curve(scan: DataFrame, cost_fp: float, cost_fn: float) -> DataFrame:
     """Total cost when every score from the threshold upwards is treated as positive."""
     missed = F.col("n_pos") - F.col("tp")

@@ -287,7 +287,7 @@ def psi_prime(x: float) -> float:
     return 1.0 / y + 0.5 / y**2 + tail + sum(1.0 / (x + k) ** 2 for k in range(LGAMMA_SHIFT))
 
 
-def _maximise(data, terms, constant, k, penalty, max_jobs=80, tolerance=1e-10):
+def _maximise(data, terms, constant, k, penalty, max_jobs=80, tolerance=1e-9):
     """Newton ascent on the logarithms of positive parameters.
 
     One aggregate gives value, gradient and Hessian of the sum over ``data`` at one parameter vector; no
@@ -332,7 +332,7 @@ def _maximise(data, terms, constant, k, penalty, max_jobs=80, tolerance=1e-10):
         if step is None:
             # Positive curvature makes the step a descent; its length is limited.
             values, vectors = np.linalg.eigh(curvature)
-            step = -vectors @ ((vectors.T @ gradient) / np.maximum(np.abs(values), 1e-4))
+            step = -vectors @ ((vectors.T @ gradient) / np.maximum(np.abs(values), 1e-9))
             step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         tried = evaluate(at + step)
         jobs += 1

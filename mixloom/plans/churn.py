@@ -191,24 +191,60 @@ def one_hot(t: Tables) -> DataFrame:
     return churn_ops.one_hot(features(t).select("customer_id", "segment"), "segment", SEGMENTS).drop("segment")
 
 
-@query("l4_index_strings")
+@query(
+    "l4_index_strings",
+    _sql(
+        """, idx AS (SELECT segment, row_number() OVER (ORDER BY count(*) DESC, segment) - 1 AS i FROM f
+                     WHERE split = 'train' AND segment IS NOT NULL GROUP BY segment)
+           SELECT f.segment, coalesce(i, (SELECT count(*) FROM idx)) AS segment_indexed, count(*) AS n_rows
+           FROM f LEFT JOIN idx USING (segment) WHERE split = 'test' GROUP BY ALL"""
+    ),
+)
 def index_strings(t: Tables) -> DataFrame:
     train, test = _split(t)
-    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
-    indexed = model.transform(_filled(train, test))
+    indexed = churn_ops.index_strings(stage(churn_ops.index_table(train, "segment")), test, "segment", "segment_indexed")
     return indexed.groupBy("segment", "segment_indexed").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "l4_index_table",
+    _sql(
+        """SELECT nation, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, nation) - 1 AS index
+           FROM f WHERE split = 'train' AND nation IS NOT NULL GROUP BY nation"""
+    ),
+)
+def index_table(t: Tables) -> DataFrame:
+    return churn_ops.index_table(_split(t)[0], "nation")
+
+
 def _filled(train: DataFrame, df: DataFrame) -> DataFrame:
     return churn_ops.fill_map(df, churn_ops.fill_modes(train, CATEGORICAL))
 
 
-@query("l6_assemble_features")
-def assemble_features(t: Tables) -> DataFrame:
+def _vectors(t: Tables) -> tuple[DataFrame, list[str]]:
+    """Test rows with their feature vectors, gaps filled by exact train medians and modes, and the names along it."""
     train, test = _split(t)
-    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
-    first = churn_ops.vector_element("features", 0)
-    return model.transform(_filled(train, test)).select("customer_id", first.alias("scaled_orders"))
+    filled = [_filled(train, churn_ops.impute_median(train, df, list(NUMERIC))) for df in (train, test)]
+    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(filled[0])
+    return model.transform(filled[1]), churn_ops.feature_names(model, filled[0], NUMERIC, CATEGORICAL)
+
+
+_VECTOR_SQL = f""",
+    med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in NUMERIC)} FROM f WHERE split = 'train'),
+    modes AS ({_modes}),
+    g AS (SELECT customer_id, churn, split, {", ".join(f"coalesce(f.{c}, med.{c}) AS {c}" for c in NUMERIC)},
+                 {", ".join(f"coalesce({c}, (SELECT mode_value FROM modes WHERE column_name = '{c}')) AS {c}" for c in CATEGORICAL)}
+          FROM f, med),
+    mom AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in NUMERIC)} FROM g WHERE split = 'train'),
+    vec AS ({" UNION ALL ".join(f"SELECT customer_id, churn, '{c}' AS feature, ({c} - m_{c}) / s_{c} AS value FROM g, mom WHERE split = 'test'" for c in NUMERIC)}
+      UNION ALL {" UNION ALL ".join(f"SELECT customer_id, churn, '{c}_' || k, CASE WHEN {c} = k THEN 1.0 ELSE 0.0 END FROM g, (SELECT DISTINCT {c} AS k FROM g WHERE split = 'train') WHERE split = 'test'" for c in CATEGORICAL)})"""
+
+
+@query("l6_assemble_features", _sql(f"{_VECTOR_SQL} SELECT customer_id, feature, round(value, 6) AS value FROM vec"))
+def assemble_features(t: Tables) -> DataFrame:
+    """Every element of every feature vector, by name."""
+    vectors, names = _vectors(t)
+    return rounded(churn_ops.vector_rows(vectors, "customer_id", "features", names).drop("position"), 6, "value")
 
 
 @query(
@@ -357,13 +393,16 @@ def train(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, coefficient double")
 
 
-@query("l7_preprocessor")
+@query(
+    "l7_preprocessor",
+    _sql(f"{_VECTOR_SQL} SELECT churn, feature, count(*) AS n_rows, round(avg(value), 6) AS mean FROM vec GROUP BY ALL"),
+)
 def preprocessor(t: Tables) -> DataFrame:
-    train, test = _split(t)
-    model = churn_ops.preprocessor(NUMERIC, CATEGORICAL).fit(_filled(train, train))
-    return model.transform(_filled(train, test)).groupBy(LABEL).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.avg(churn_ops.vector_element("features", 1)).alias("mean_scaled_spend")
-    )
+    """Mean of every feature per class."""
+    vectors, names = _vectors(t)
+    rows = churn_ops.vector_rows(vectors.withColumn("_row", F.struct("customer_id", LABEL)), "_row", "features", names)
+    means = rows.groupBy(F.col(f"_row.{LABEL}").alias(LABEL), "feature").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("value").alias("mean"))
+    return rounded(means, 6, "mean")
 
 
 @query("l8_random_forest")
@@ -454,3 +493,117 @@ def top_features(t: Tables) -> DataFrame:
 def share_of_top_n(t: Tables) -> DataFrame:
     brands = views.main_items(t).groupBy("brand").agg(F.count(F.lit(1)).alias("n"))
     return rounded(evaluation.share_of_top_n(stage(brands), "brand", "n", 5), 6, "top_share_pct")
+
+
+# ---------------------------------------------------------------- what must hold for any fitted model
+
+_TESTED = _sql("SELECT count(*) AS n_rows, TRUE AS class_by_half, TRUE AS in_range, TRUE AS auc_is_rank FROM f WHERE split = 'test'")
+
+
+def _checked(t: Tables, classifier) -> DataFrame:
+    """Every test row is scored once, the class follows the probability, and two ways to the AUC agree."""
+    scored = stage(_scored(t, classifier))
+    p = F.col("predicted_probability")
+    by_rank = evaluation.roc_auc(evaluation.threshold_scan(scored, LABEL, "predicted_probability")).first()[0]
+    agree = abs(churn_ops.auc(scored, LABEL) - by_rank) < 1e-9
+    return scored.agg(
+        F.countDistinct("customer_id").alias("n_rows"),
+        F.every((p == 0.5) | (F.col("predicted_class") == (p > 0.5).cast("double"))).alias("class_by_half"),
+        F.every((p >= 0) & (p <= 1)).alias("in_range"),
+        F.lit(agree).alias("auc_is_rank"),
+    )
+
+
+@query("l8_random_forest_checks", _TESTED)
+def random_forest_checks(t: Tables) -> DataFrame:
+    return _checked(t, churn_ops.random_forest(LABEL))
+
+
+@query("l9_logistic_regression_checks", _TESTED)
+def logistic_regression_checks(t: Tables) -> DataFrame:
+    return _checked(t, churn_ops.logistic_regression(LABEL))
+
+
+@query("l10_gradient_boosting_checks", _TESTED)
+def gradient_boosting_checks(t: Tables) -> DataFrame:
+    return _checked(t, churn_ops.gradient_boosting(LABEL))
+
+
+_NAMES_SQL = " UNION ALL ".join([*(f"SELECT '{c}' AS feature" for c in NUMERIC), *(f"SELECT DISTINCT '{c}_' || {c} FROM f WHERE split = 'train' AND {c} IS NOT NULL" for c in CATEGORICAL)])
+
+
+@query("l11_train_checks", _sql(f"SELECT feature, TRUE AS finite FROM ({_NAMES_SQL})"))
+def train_checks(t: Tables) -> DataFrame:
+    """One finite coefficient for every numeric column and every category of the train rows."""
+    finite = ~F.isnan("coefficient") & (F.abs("coefficient") < float("inf"))
+    return train(t).select("feature", finite.alias("finite"))
+
+
+@query("l12_predict_checks", _sql("SELECT split, count(*) AS n_rows, TRUE AS complete FROM f GROUP BY split"))
+def predict_checks(t: Tables) -> DataFrame:
+    complete = F.every(F.col("predicted_class").isin(0.0, 1.0) & F.col("predicted_probability").between(0.0, 1.0))
+    return predict_all_rows(t).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), complete.alias("complete"))
+
+
+@query(
+    "l13_auc_by_group",
+    _sql(
+        """, p AS (SELECT nation, score FROM f WHERE churn = 1), q AS (SELECT nation, score FROM f WHERE churn <> 1)
+           SELECT k.nation, round(avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0 END), 9) AS auc
+           FROM (SELECT DISTINCT nation FROM f) k LEFT JOIN p ON p.nation = k.nation LEFT JOIN q ON q.nation = k.nation
+           GROUP BY k.nation HAVING count(p.score) > 0 AND count(q.score) > 0"""
+    ),
+)
+def auc_by_group(t: Tables) -> DataFrame:
+    """AUC of one score in every nation that has both classes, from one order over all of them."""
+    return rounded(evaluation.roc_auc_by(features(t), "nation", LABEL, "score"), 9, "auc").filter("auc is not null")
+
+
+@query("l13_select_best_checks", "SELECT unnest(['gradient_boosting', 'logistic_regression', 'random_forest']) AS model, TRUE AS same_auc, 1 AS n_best")
+def select_best_checks(t: Tables) -> DataFrame:
+    """The AUC of each model from the one long table is that of the model alone; one model is the best."""
+    models, _, test = _candidates(t)
+    best, scores = churn_ops.select_best(models, test, LABEL)
+    rows = [(n, abs(scores[n] - churn_ops.auc(churn_ops.predict(m, test), LABEL)) < 1e-9, int(scores[best] == max(scores.values()))) for n, m in models.items()]
+    return t.spark.createDataFrame(rows, "model string, same_auc boolean, n_best int")
+
+
+_RANKED_SQL = f"SELECT count(*) AS n_features, count(*) AS n_ranks, 1.0::DOUBLE AS total, TRUE AS falling FROM ({_NAMES_SQL})"
+
+
+@query("l15_importance_checks", _sql(_RANKED_SQL))
+def importance_checks(t: Tables) -> DataFrame:
+    """As many features as columns and categories, ranks without a gap, shares that add up and fall with the rank."""
+    ranked = stage(feature_importance(t))
+    after = ranked.select((F.col("rank") - 1).alias("rank"), F.col("importance").alias("_next"))
+    falling = ranked.join(after, "rank").agg(F.every(F.col("importance") >= F.col("_next")).alias("falling"))
+    sums = ranked.agg(F.count(F.lit(1)).alias("n_features"), F.max("rank").cast("long").alias("n_ranks"), F.round(F.sum("importance"), 9).alias("total"))
+    return sums.crossJoin(F.broadcast(falling))
+
+
+@query("k5_top_features_checks", "SELECT unnest(range(1, 6))::INTEGER AS rank, TRUE AS is_top")
+def top_features_checks(t: Tables) -> DataFrame:
+    """The five rows are those of rank 1 to 5, and none is below a feature left out."""
+    model, rows, _ = _fitted(t, churn_ops.logistic_regression(LABEL))
+    importance = stage(churn_ops.feature_importance(model, rows, NUMERIC, CATEGORICAL))
+    rest = importance.filter("rank > 5").agg(F.max("importance").alias("_rest"))
+    top = importance.orderBy(F.desc("importance"), "feature").limit(5)
+    return top.crossJoin(F.broadcast(rest)).select("rank", (F.col("importance") >= F.col("_rest")).alias("is_top"))
+
+
+@query("p18_vector_element_checks", _sql("SELECT customer_id, 1.0::DOUBLE AS total FROM f WHERE split = 'test'"))
+def vector_element_checks(t: Tables) -> DataFrame:
+    """The probabilities of a row are elements 0 and 1, and add up to 1."""
+    model, _, test = _fitted(t, churn_ops.logistic_regression(LABEL))
+    both = churn_ops.vector_element("probability", 0) + churn_ops.vector_element("probability", 1)
+    return model.transform(test).select("customer_id", F.round(both, 9).alias("total"))
+
+
+@query(
+    "j14_attach_checks",
+    _sql("SELECT customer_id, n_orders, round(spend, 2) AS spend, round(balance, 2) AS balance, tenure, urgent_orders, nation, TRUE AS predicted FROM f WHERE split = 'train'"),
+)
+def attach_checks(t: Tables) -> DataFrame:
+    """The columns beside a prediction are those of its own row."""
+    attached = attach_predictions(t).withColumn("predicted", F.col("predicted_class").isin(0.0, 1.0))
+    return rounded(attached.select("customer_id", *NUMERIC, "nation", "predicted"), 2, "spend", "balance")

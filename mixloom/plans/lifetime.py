@@ -322,3 +322,27 @@ def regression_metrics(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * F.col("p_retailprice")).alias("p")
     )
     return rounded(rounded(life.regression_metrics(lines, "y", "p"), 4, "rmse", "mae"), 6, "r2")
+
+
+_FIT_SQL = "SELECT TRUE AS converged, TRUE AS flat, TRUE AS few_passes, TRUE AS better_than_start"
+
+
+def _fit_checks(t: Tables, report: life.FitReport, fitted: DataFrame, start: DataFrame) -> DataFrame:
+    better = fitted.first()[0] >= start.first()[0]
+    row = [(report.converged, report.gradient < 1e-4, report.passes <= 25, better)]
+    return t.spark.createDataFrame(row, "converged boolean, flat boolean, few_passes boolean, better_than_start boolean")
+
+
+@query("c4_bgnbd_fit_checks", _FIT_SQL)
+def bgnbd_fit_checks(t: Tables) -> DataFrame:
+    """The fit ends at a stationary point, in few passes, above the likelihood of its starting point."""
+    cal = stage(_cal_holdout(t).withColumnsRenamed({"frequency_cal": "frequency", "recency_cal": "recency", "T_cal": "T"}))
+    m = life.bgnbd_fit(cal)
+    return _fit_checks(t, m.report, life.bgnbd_loglik(cal, m), life.bgnbd_loglik(cal, life.BgNbd(1.0, 1.0, 1.0, 1.0)))
+
+
+@query("c7_gamma_gamma_fit_checks", _FIT_SQL)
+def gamma_gamma_fit_checks(t: Tables) -> DataFrame:
+    summary = stage(_summary(t))
+    g = life.gamma_gamma_fit(summary)
+    return _fit_checks(t, g.report, life.gamma_gamma_loglik(summary, g), life.gamma_gamma_loglik(summary, life.GammaGamma(1.0, 1.0, 1.0)))

@@ -84,3 +84,18 @@ def test_a_missing_label_fails(spark):
     df = spark.createDataFrame([(1, 1), (None, 2)], "label int, x int")
     with pytest.raises(Exception, match="label is NULL"):
         evaluation.class_weights(df, "label").collect()
+
+
+def test_auc_of_many_groups_in_one_order(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    rows = [(f"m{g}", int(y), float(np.round(rng.normal(y * g / 4, 1), 1))) for g in range(6) for y in rng.integers(0, 2, 400)]
+    rows += [("one-sided", 1, 0.5), ("one-sided", 1, 0.7)]
+    df = spark.createDataFrame(rows, "model string, y int, s double")
+    got = {r["model"]: r["auc"] for r in evaluation.roc_auc_by(df, "model", "y", "s").collect()}
+    for model in {r[0] for r in rows}:
+        pos = [s for m, y, s in rows if m == model and y == 1]
+        neg = [s for m, y, s in rows if m == model and y == 0]
+        want = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg]) if neg else None
+        assert got[model] == (pytest.approx(want) if want is not None else None)

@@ -185,3 +185,16 @@ def test_staged_tables_go_on_request(spark):
     folder = Path(table.inputFiles()[0].removeprefix("file:")).parent
     assert table.count() == 3 and folder.exists()
     assert staging.drop_staged(spark) >= 1 and not folder.exists()
+
+
+def test_index_of_many_categories(spark):
+    """200,000 categories, one of them with half of the rows; unseen and NULL ones share the next index."""
+    hot = spark.range(200_000).select(F.lit("hot").alias("c"))
+    train = spark.range(200_000).select(F.concat(F.lit("c"), F.col("id")).alias("c")).union(hot).union(spark.createDataFrame([("c7",), (None,)], "c string"))
+    table = staging.stage(churn.index_table(train, "c"))
+    first = {r["c"]: r["index"] for r in table.filter("index < 4").collect()}
+    assert first == {"hot": 0, "c7": 1, "c0": 2, "c1": 3}
+    assert table.agg(F.countDistinct("index"), F.max("index")).first() == (200_001, 200_000)
+    rows = spark.createDataFrame([("c1", 1), (None, 2), ("new", 3), ("hot", 4)], "c string, k int")
+    got = {r["k"]: r["i"] for r in churn.index_strings(table, rows, "c", "i").collect()}
+    assert got == {1: 3, 2: 200_001, 3: 200_001, 4: 0}
