@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,60 +42,52 @@ def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
 
 
-def hot_keys(df: DataFrame, keys, share: float = 0.0005, min_rows: int = 1_000_000, tracked: int = 10_000) -> dict:
-    """Hashes of the keys with at least ``share`` of the rows and ``min_rows`` rows, with their share.
+def salts_of(df: DataFrame, keys, share: float = 0.0005, min_rows: int = 1_000_000, tracked: int = 10_000, parts: int | None = None) -> DataFrame:
+    """Hot keys of ``df`` as a table: ``_hash`` of the key and ``_salts``, the parts that it is spread over.
 
-    One column-pruned scan with a mergeable frequent-items sketch of bounded size. The
-    result has at most 1/share entries and only steers how rows are spread, so the
-    estimate cannot change a result.
+    A key is hot with at least ``share`` of the rows and ``min_rows`` rows; its parts are as large as one of
+    ``parts`` even ones. One column-pruned scan with a mergeable frequent-items sketch of bounded size, whose
+    result becomes the table in the same job: at most 1/share rows, and nothing comes to the driver. The
+    estimate only steers how rows are spread and cannot change a result.
     """
     top = min(int(1.0 / share) + 1, tracked)
-    row = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {top}, {tracked})").alias("top"))
-        .first()
+    parts = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if parts is None else parts
+    counted = df.select(F.xxhash64(*keys).alias("h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {top}, {tracked})").alias("top")
     )
-    floor = max(2, min_rows, share * row["n"])
-    return {item["item"]: item["count"] / row["n"] for item in row["top"] if item["count"] >= floor}
-
-
-def salts_per_key(df: DataFrame, hot: dict, partitions: int | None = None) -> dict:
-    """Number of salts per hot key, so that each part is no larger than an average partition."""
-    if partitions is None:
-        partitions = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return {h: max(2, math.ceil(part * partitions)) for h, part in hot.items()}
+    each = counted.select("n", F.explode("top").alias("x")).filter(F.col("x.count") >= F.greatest(F.lit(2), F.lit(min_rows), share * F.col("n")))
+    salts = F.greatest(F.lit(2), F.ceil(F.col("x.count") / F.col("n") * parts))
+    return each.select(F.col("x.item").alias("_hash"), salts.cast("int").alias("_salts"))
 
 
-def _salts_of(keys, salts: dict) -> Column:
-    """Salts of the row's key, 1 for keys that are not hot."""
-    table = F.create_map(*[F.lit(v) for pair in salts.items() for v in pair])
-    return F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1))
+def _with_salts(df: DataFrame, keys, salts: DataFrame) -> DataFrame:
+    """``df`` with the ``_salts`` of its key, 1 for keys that are not hot."""
+    joined = df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(salts), "_hash", "left")
+    return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_hash")
 
 
-def add_salt(left: DataFrame, keys, salts: dict) -> DataFrame:
+def add_salt(left: DataFrame, keys, salts: DataFrame) -> DataFrame:
     """Add ``_salt``, by the row and by its input partition.
 
     The partition number spreads identical rows, which hash alike; both stay the same
     when a task is run again.
     """
     row = F.xxhash64(*left.columns, F.spark_partition_id())
-    return left.withColumn("_salt", F.pmod(row, _salts_of(keys, salts)).cast("int"))
+    salted = _with_salts(left.withColumn("_row", row), keys, salts)
+    return salted.withColumn("_salt", F.pmod("_row", F.col("_salts")).cast("int")).drop("_row", "_salts")
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", hot: dict | None = None) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", salts: DataFrame | None = None) -> DataFrame:
     """Equi-join of a large skewed ``left`` with a ``right`` that has few rows per key.
 
     Adaptive execution does not split a skewed join when an aggregation on the same
     key follows it, so hot keys are salted here: their left rows are spread over many
-    partitions and their right rows are repeated once per salt. All other keys take
-    the plain path. ``how`` is inner or left.
+    partitions and their right rows are repeated once per salt. All other keys have one
+    salt. ``how`` is inner or left; ``salts`` are those of ``salts_of`` if not given.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
-    hot = hot_keys(left, keys) if hot is None else hot
-    if not hot:
-        return left.join(right, keys, how)
-    salts = salts_per_key(left, hot)
-    copies = F.sequence(F.lit(0), _salts_of(keys, salts) - F.lit(1))
-    salted_right = right.withColumn("_salt", F.explode(copies))
+    salts = salts_of(left, keys) if salts is None else salts
+    copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - F.lit(1)))
+    salted_right = _with_salts(right, keys, salts).withColumn("_salt", copies).drop("_salts")
     return add_salt(left, keys, salts).join(salted_right, [*keys, "_salt"], how).drop("_salt")

@@ -2,8 +2,9 @@
 
 ``media`` tables are long: geo, day, channel, media, spend. ``draws`` tables hold one
 row per draw, geo and channel with beta, alpha, ec and slope. Draws share few settings
-(alpha, ec, slope), so media are carried over and saturated once per setting, summed
-over days where the days are not wanted, and only then joined to the draws.
+(alpha, ec, slope), so the earlier days of a row are looked up once, carried over and
+saturated once per setting, summed over days where the days are not wanted, and only
+then joined to the draws.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from mixloom.operators.ordering import exact_quantiles
 MAX_LAG = 8
 INTERVAL = (0.025, 0.5, 0.975)
 SETTING = ("alpha", "ec", "slope")
+STRETCH = 1024  # days of a series that one task looks at
 
 
 def scale_media(media: DataFrame, channels) -> DataFrame:
@@ -35,15 +37,33 @@ def scale_media(media: DataFrame, channels) -> DataFrame:
     return joined.withColumn("scaled", safe_ratio("media", "media_unit", 0.0))
 
 
-def adstock(value: str, alpha: Column, window, max_lag: int = MAX_LAG) -> Column:
-    """Normalised geometric carry-over of the current and the last ``max_lag`` rows of ``window``.
+def with_lags(
+    media: DataFrame, value: str = "scaled", max_lag: int = MAX_LAG, keys=("geo", "channel"), step: int = 1, stretch: int = STRETCH
+) -> DataFrame:
+    """Media with ``_lags``: the value of the row and of each of the ``max_lag`` steps before, 0 where there is none.
 
-    All lags use one window, so there is one sort per series; a series has one row per day.
+    A step is ``step`` days; ``day`` is a date, a timestamp or a number. The calendar is cut into stretches of
+    ``stretch`` steps, and the last ``max_lag`` steps of a stretch go along with the next one, so a series runs
+    in as many tasks as it has stretches and ``stretch`` does not change the result. Rows without a day have no
+    earlier steps; rows of one day keep their own value and carry over their sum.
     """
-    lags = [F.lit(1.0), *[F.pow(alpha, F.lit(float(k))) for k in range(1, max_lag + 1)]]
-    carried = [F.coalesce(F.lag(value, k).over(window) if k else F.col(value), F.lit(0.0)) for k in range(max_lag + 1)]
-    weighted = reduce(lambda a, b: a + b, [w * x for w, x in zip(lags, carried)])
-    return weighted / reduce(lambda a, b: a + b, lags)
+    kind = media.schema["day"].dataType.typeName()
+    days = {"date": F.unix_date("day"), "timestamp": F.floor(F.unix_seconds(F.col("day").cast("timestamp")) / 86400)}
+    number = F.floor(days.get("timestamp" if kind.startswith("timestamp") else kind, F.col("day")) / step)
+    own = F.floor(F.col("_step") / stretch)
+    halo = F.sequence(own, F.floor((F.col("_step") + max_lag) / stretch))
+    cut = media.withColumn("_step", number).withColumn("_stretch", F.explode_outer(halo))
+    order = Window.partitionBy(*keys, "_stretch").orderBy("_step")
+    before = [F.when(F.col("_step").isNotNull(), F.sum(value).over(order.rangeBetween(-k, -k))) for k in range(1, max_lag + 1)]
+    lags = F.array(*[F.coalesce(x, F.lit(0.0)) for x in (F.col(value), *before)])
+    return cut.withColumn("_lags", lags).filter(F.col("_stretch").eqNullSafe(own)).drop("_step", "_stretch")
+
+
+def adstock(alpha: Column, max_lag: int = MAX_LAG) -> Column:
+    """Normalised geometric carry-over of the ``_lags`` of a row."""
+    weights = [F.lit(1.0), *[F.pow(alpha, F.lit(float(k))) for k in range(1, max_lag + 1)]]
+    weighted = reduce(lambda a, b: a + b, [w * F.col("_lags")[k] for k, w in enumerate(weights)])
+    return weighted / reduce(lambda a, b: a + b, weights)
 
 
 def settings_of(draws: DataFrame) -> DataFrame:
@@ -54,9 +74,8 @@ def settings_of(draws: DataFrame) -> DataFrame:
 def carry_over(media: DataFrame, settings: DataFrame, value: str = "scaled", max_lag: int = MAX_LAG) -> DataFrame:
     """Adstocked media per geo, channel and distinct setting."""
     keys = [c for c in ("geo", "channel") if c in settings.columns]
-    series = Window.partitionBy("geo", "channel", *SETTING).orderBy("day")
-    joined = media.join(settings, keys)
-    return joined.withColumn("adstocked", adstock(value, F.col("alpha"), series, max_lag))
+    joined = with_lags(media, value, max_lag).join(settings, keys)
+    return joined.withColumn("adstocked", adstock(F.col("alpha"), max_lag)).drop("_lags")
 
 
 def saturate(carried: DataFrame, multiplier=None) -> DataFrame:

@@ -11,12 +11,12 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.dates import period_index
 from mixloom.functions.scalars import hill, safe_ratio
-from mixloom.operators.media import adstock
+from mixloom.operators.media import adstock, with_lags
 from mixloom.operators.panel import temporal_split
 from mixloom.sources.staging import stage
 
@@ -35,10 +35,10 @@ def design(panel: DataFrame, media: DataFrame, channels, alphas=ALPHAS, ecs=ECS)
     spark = panel.sparkSession
     alpha_grid = spark.createDataFrame([(float(a),) for a in alphas], "alpha double")
     ec_grid = spark.createDataFrame([(float(e),) for e in ecs], "ec double")
-    series = Window.partitionBy("geo", "channel", "alpha").orderBy("day")
     carried = (
-        media.crossJoin(F.broadcast(alpha_grid))
-        .withColumn("adstocked", adstock("scaled", F.col("alpha"), series))
+        with_lags(media)
+        .crossJoin(F.broadcast(alpha_grid))
+        .withColumn("adstocked", adstock(F.col("alpha")))
         .crossJoin(F.broadcast(ec_grid))
         .withColumn("response", hill("adstocked", "ec", F.lit(1.0)))
     )

@@ -37,41 +37,54 @@ def hash_of(spark, value):
     return spark.range(1).select(F.xxhash64(F.lit(value).cast("long"))).first()[0]
 
 
+def table(salts):
+    return {r["_hash"]: r["_salts"] for r in salts.collect()}
+
+
 def test_hot_keys_are_found(spark, skewed):
     left, _ = skewed
-    hot = keys.hot_keys(left, ["k"], share=0.05, min_rows=0)
-    assert list(hot) == [hash_of(spark, 7)] and hot[hash_of(spark, 7)] == pytest.approx(1 / 3, abs=0.01)
-    assert keys.hot_keys(spark.range(1000).withColumnRenamed("id", "k"), ["k"], share=0.05, min_rows=0) == {}
+    found = table(keys.salts_of(left, ["k"], share=0.05, min_rows=0, parts=300))
+    assert list(found) == [hash_of(spark, 7)] and found[hash_of(spark, 7)] == pytest.approx(100, abs=3)
+    assert table(keys.salts_of(spark.range(1000).withColumnRenamed("id", "k"), ["k"], share=0.05, min_rows=0)) == {}
     # A key of two thousand rows is no burden for one task.
-    assert keys.hot_keys(left, ["k"]) == {}
-    assert keys.salts_per_key(left, {1: 1 / 3, 2: 0.0005}, 6000) == {1: 2000, 2: 3}
+    assert table(keys.salts_of(left, ["k"])) == {}
+    assert table(keys.salts_of(left.limit(0), ["k"])) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skew_join_equals_the_plain_join(skewed, how):
     left, right = skewed
-    hot = keys.hot_keys(left, ["k"], share=0.05, min_rows=0)
-    joined = keys.skew_join(left, right, ["k"], how, hot)
-    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    joined = keys.skew_join(left, right, ["k"], how, keys.salts_of(left, ["k"], share=0.05, min_rows=0))
     assert rows(joined.select("k", "v", "w").fillna(-1)) == rows(
         left.join(right, "k", how).select("k", "v", "w").fillna(-1)
     )
+    assert rows(keys.skew_join(left, right, ["k"], how).select("k", "v", "w").fillna(-1)) == rows(
+        left.join(right, "k", how).select("k", "v", "w").fillna(-1)
+    )
     with pytest.raises(ValueError):
         keys.skew_join(left, right, ["k"], "full")
 
 
 def test_salts_spread_hot_rows_and_their_copies(spark, skewed):
     left, _ = skewed
-    salts = keys.salts_per_key(left, keys.hot_keys(left, ["k"], share=0.05, min_rows=0))
+    salts = keys.salts_of(left, ["k"], share=0.05, min_rows=0)
     spread = keys.add_salt(left.repartition(8), ["k"], salts).groupBy("k").agg(F.count_distinct("_salt").alias("n"))
     counts = {r["k"]: r["n"] for r in spread.collect()}
     assert counts.pop(7) > 8 and set(counts.values()) == {1}
     copies = spark.range(800, numPartitions=8).select(F.lit(7).cast("long").alias("k"))
+    given = spark.createDataFrame([(hash_of(spark, 7), 64)], "_hash long, _salts int")
     # Hashes of eight partition numbers; two may meet.
-    assert keys.add_salt(copies, ["k"], {hash_of(spark, 7): 64}).select("_salt").distinct().count() >= 6
-
-
-def test_skew_join_without_hot_keys_is_plain(spark):
-    df = spark.range(1000).withColumnRenamed("id", "k")
-    plan = keys.skew_join(df, df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" not in plan
+    assert keys.add_salt(copies, ["k"], given).select("_salt").distinct().count() >= 6
+
+
+def test_a_key_with_half_the_rows_is_spread_at_the_default_settings(spark):
+    n = 2_400_000
+    key = F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id"))
+    left = spark.range(n).select(key.alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, n, 3).select(F.col("id").alias("k"), F.lit(1).alias("w")).union(spark.createDataFrame([(5, 1)], "k long, w int"))
+    salted = keys.add_salt(left, ["k"], keys.salts_of(left, ["k"])).filter("k = 5").groupBy("_salt").count().collect()
+    assert len(salted) >= 32 and max(r["count"] for r in salted) < n / 2 / 16
+    got, want = (
+        j.agg(F.count(F.lit(1)), F.sum("v"), F.sum("w")).first() for j in (keys.skew_join(left, right, ["k"]), left.join(right, "k"))
+    )
+    assert got == want and got[0] > n / 2

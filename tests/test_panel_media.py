@@ -162,6 +162,41 @@ def test_adstock_of_a_constant_is_the_constant(spark):
     assert all(r[0] == pytest.approx(3.0) for r in out)
 
 
+def lags_by_loop(points, max_lag):
+    """Sum per day of the days before; points are (day, value)."""
+    at = {}
+    for day, x in points:
+        at[day] = at.get(day, 0.0) + x
+    return sorted((day, [x, *[at.get(day - k, 0.0) for k in range(1, max_lag + 1)]]) for day, x in points)
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 8, 1024])
+def test_stretches_do_not_change_the_lags(spark, stretch):
+    # With gaps, a repeated day, days before zero and an empty series end.
+    points = [(d, float(d * d % 7)) for d in range(-20, 40) if d % 11 not in (3, 4)] + [(5, 0.5)]
+    df = spark.createDataFrame([("a", "X", d, x) for d, x in points] + [("b", "X", 1, None), ("b", "X", None, 2.0)], "geo string, channel string, day int, scaled double")
+    out = media_ops.with_lags(df, max_lag=5, stretch=stretch).collect()
+    assert sorted((r["day"], r["_lags"]) for r in out if r["geo"] == "a") == lags_by_loop(points, 5)
+    assert sorted(r["_lags"][0] for r in out if r["geo"] == "b") == [0.0, 2.0]
+    assert all(r["_lags"][1:] == [0.0] * 5 for r in out if r["geo"] == "b")
+
+
+def test_lags_by_date_and_in_steps(spark):
+    dates = spark.sql("select 'a' geo, 'X' channel, date_add(date'2024-01-01', cast(id * 7 as int)) day, cast(id as double) scaled from range(20)")
+    for df in (dates, dates.withColumn("day", F.col("day").cast("timestamp"))):
+        out = {r["scaled"]: r["_lags"] for r in media_ops.with_lags(df, max_lag=2, step=7, stretch=4).collect()}
+        assert out == {float(i): [float(i), float(max(i - 1, 0)), float(max(i - 2, 0))] for i in range(20)}
+
+
+def test_one_long_series_runs_in_many_tasks(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("a").alias("geo"), F.lit("X").alias("channel"), F.col("id").alias("day"), F.col("id").cast("double").alias("scaled"))
+    out = media_ops.with_lags(df).select("day", "_lags", F.spark_partition_id().alias("task"))
+    wrong = F.exists(F.transform("_lags", lambda x, k: x != F.greatest(F.col("day") - k, F.lit(0))), lambda w: w)
+    row = out.agg(F.count(F.lit(1)).alias("n"), F.sum(wrong.cast("int")).alias("wrong"), F.count_distinct("task").alias("tasks")).first()
+    assert (row["n"], row["wrong"]) == (n, 0) and row["tasks"] > 1
+
+
 def test_contributions_match_loops(media, draws):
     want = brute(media, draws)
     got = media_ops.contributions(draws, media).collect()
