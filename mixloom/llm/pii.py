@@ -2,14 +2,16 @@
 
 Base spans are e-mail addresses, IP addresses, payment cards and phone numbers in their usual forms.
 Candidates are runs of words with a digit or an at sign. Their surroundings are lexical patterns:
-the two words before, the word on either side. Patterns and candidate texts (instances) form a
+the two words before, the word on either side; words of marks alone are passed over, as long as
+another one is among the four next to the candidate. Patterns and candidate texts (instances) form a
 graph. Instances of base form have score 1 for their kind; a pattern is trusted as far as its
 distinct instances have that kind, and an instance as far as some pattern around it is trusted. The
 scores are iterated, and candidates in trusted patterns that overlap no base span are added.
 
 The graph has one edge per pattern and distinct instance, so copies of a document add nothing to the
 trust in a pattern, and words that are everywhere only add to counts that combine before shuffling.
-Texts are read once and never shuffled.
+Texts are read once and never shuffled. Work is linear in a text: places are summed up in blocks of
+matches, and neighbouring words are taken from the parts between the matches.
 
 Defined cases: a null text is empty; repeated rows are judged one by one and alike; an empty table
 gives no row, no seeds give base spans only.
@@ -33,15 +35,28 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
-AROUND = 80  # characters next to a candidate in which its neighbouring words are looked for
+NEAR = 4  # words next to a candidate among which its neighbours with a letter or digit are looked for
+CELL = 64  # code points of a text in which spans are held against each other
+BLOCK = 256  # matches whose places are summed up together
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """All matches with their place in code points: lengths of what lies between and of the matches, summed up."""
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _parts(text: Column, pattern: str) -> Column:
+    """Every match ``f`` with what lies before it, ``b``."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    return _let(found, lambda f: F.arrays_zip(F.slice(between, 1, F.size(f)).alias("b"), f.alias("f")))
+
+
+def _placed(parts: Column) -> Column:
+    """Places of the matches in code points: lengths of the parts summed up within blocks, then over the blocks."""
+    none = F.array().cast(SPAN)
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["b"])
@@ -49,8 +64,26 @@ def _spans(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), pair["f"].alias("text"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("b"), found.alias("f"))
-    return F.aggregate(pairs, start, step, lambda s: s["spans"])
+    def block(i: Column) -> Column:
+        return F.aggregate(F.slice(parts, i * BLOCK + 1, F.lit(BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("spans")), step)
+
+    def add(state: Column, one: Column) -> Column:
+        return F.struct((state["at"] + one["at"]).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    def shifted(one: Column, at: Column) -> Column:
+        return F.transform(
+            one["spans"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["text"].alias("text"))
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), block)
+    summed = _let(blocks, lambda bs: F.flatten(F.zip_with(bs, F.aggregate(bs, first, add, lambda s: s["starts"]), shifted)))
+    return F.when(F.size(parts) > 0, summed).otherwise(none)
+
+
+def _spans(text: Column, pattern: str) -> Column:
+    """All matches with their place in code points."""
+    return _let(_parts(text, pattern), _placed)
 
 
 def _luhn(text: Column) -> Column:
@@ -89,29 +122,51 @@ def _kind_of(text: Column) -> Column:
 
 def _candidates(text: Column) -> Column:
     """Candidates with the two words before and the word after, lower-cased and without marks at their ends."""
-    spans = _spans(text, CANDIDATE)
-
-    def words(part: Column) -> Column:
-        bare = F.transform(F.split(part, r"\s+"), lambda w: F.regexp_replace(F.lower(w), r"^[\p{Punct}]+|[\p{Punct}]+$", ""))
-        return F.filter(bare, lambda w: w != "")
-
-    def around(s: Column) -> Column:
-        from_ = F.greatest(s["start"] - AROUND, F.lit(0))
-        left = words(F.substring(text, from_ + 1, s["start"] - from_))
-        right = words(F.substring(text, s["end"] + 1, F.lit(AROUND)))
-        bare = F.regexp_extract(s["text"], r"^[\"'(\[<]*(.*?)[.,;:!?\"')\]>]*$", 1)
-        lead = F.length(s["text"]) - F.length(F.regexp_replace(s["text"], r"^[\"'(\[<]+", ""))
-        return F.struct(
-            (s["start"] + lead).alias("start"),
-            (s["start"] + lead + F.length(bare)).alias("end"),
-            bare.alias("text"),
-            F.coalesce(F.try_element_at(left, F.lit(-2)), F.lit("")).alias("l2"),
-            F.coalesce(F.try_element_at(left, F.lit(-1)), F.lit("")).alias("l1"),
-            F.coalesce(F.try_element_at(right, F.lit(1)), F.lit("")).alias("r1"),
+
+    def ends(part: Column) -> Column:
+        """The first and the last words of a part."""
+        words = F.filter(F.split(part, r"\s+"), lambda w: w != "")
+        return _let(
+            words,
+            lambda w: F.struct(F.slice(w, 1, NEAR).alias("head"), F.slice(w, F.greatest(F.size(w) - NEAR + 1, F.lit(1)), F.lit(NEAR)).alias("tail")),
         )
 
-    found = F.filter(F.transform(spans, around), lambda c: c["end"] > c["start"])
-    return F.when(text.rlike("[0-9@]"), found)
+    def bare(words: Column) -> Column:
+        return F.filter(F.transform(words, lambda w: F.btrim(F.lower(w), F.lit(MARKS))), lambda w: w != "")
+
+    def around(parts: Column, last: Column) -> Column:
+        none = F.array().cast("array<string>")
+        sides = F.transform(
+            F.concat(parts, F.array(F.struct(last.alias("b"), F.lit("").alias("f")))),
+            lambda p: F.struct(ends(p["b"]).alias("b"), ends(p["f"]).alias("f")),
+        )
+
+        def candidate(side: Column, s: Column, i: Column) -> Column:
+            def part(k: int, which: str, end: str) -> Column:
+                return F.coalesce(F.get(side, i + k)[which][end], none)
+
+            # A match has a word at least, so NEAR matches on either side hold enough.
+            before = F.concat(*[x for k in range(-NEAR, 0) for x in (part(k, "f", "tail"), part(k + 1, "b", "tail"))])
+            after = F.concat(*[x for k in range(1, NEAR + 1) for x in (part(k, "b", "head"), part(k, "f", "head"))])
+            left = bare(F.slice(before, F.greatest(F.size(before) - NEAR + 1, F.lit(1)), F.lit(NEAR)))
+            right = bare(F.slice(after, 1, NEAR))
+            opened = F.ltrim(s["text"], F.lit("\"'([<"))
+            inner = F.rtrim(opened, F.lit(".,;:!?\"')]>"))
+            start = s["start"] + F.length(s["text"]) - F.length(opened)
+            return F.struct(
+                start.alias("start"),
+                (start + F.length(inner)).alias("end"),
+                inner.alias("text"),
+                F.coalesce(F.try_element_at(left, F.lit(-2)), F.lit("")).alias("l2"),
+                F.coalesce(F.try_element_at(left, F.lit(-1)), F.lit("")).alias("l1"),
+                F.coalesce(F.try_element_at(right, F.lit(1)), F.lit("")).alias("r1"),
+            )
+
+        return _let(sides, lambda side: F.transform(_placed(parts), lambda s, i: candidate(side, s, i)))
+
+    last = F.element_at(F.split(text, CANDIDATE, -1), -1)
+    found = _let(_parts(text, CANDIDATE), lambda parts: _let(last, lambda end: around(parts, end)))
+    return F.when(text.rlike("[0-9@]"), F.filter(found, lambda c: c["end"] > c["start"]))
 
 
 def _patterns(c: Column) -> Column:
@@ -123,18 +178,19 @@ def _patterns(c: Column) -> Column:
 
 
 def trusted_patterns(
-    edges: DataFrame, seeds: DataFrame, scratch: Scratch, support: float = 4.0, trust: float = 0.8, rounds: int = 5
+    edges: DataFrame, seeds: DataFrame, scratch: Scratch, support: float = 4.0, trust: float = 0.8, rounds: int = 50
 ) -> DataFrame:
     """Patterns (with kind and trust) after iterating scores over the graph of ``edges`` (pattern, instance).
 
     ``seeds`` are instances with their kind. The trust in a pattern is the sum of its instances' scores
     for the kind over their number plus one; ``support`` is the least such sum. Seeds keep score 1
-    for their kind and none for others. Ends early when the trusted patterns stay the same.
+    for their kind and none for others. Ends when patterns and scores stay the same to six digits, or
+    after ``rounds``, which only scores that keep going to and fro reach.
     """
     sizes = scratch.keep(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= support))
     useful = scratch.keep(edges.join(sizes.select("pattern"), "pattern"))
     fixed = seeds.withColumn("score", F.lit(1.0))
-    labels, before, patterns = fixed, -1, None
+    labels, before, patterns = fixed, None, None
     for _ in range(rounds):
         sums = useful.join(labels, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"))
         fresh = scratch.keep(
@@ -146,8 +202,10 @@ def trusted_patterns(
         )
         if patterns is not None:
             scratch.drop(patterns)
-        patterns, now = fresh, fresh.count()
-        if now == before or now == 0:
+        patterns = fresh
+        state = F.xxhash64("pattern", "kind", F.round("trust", 6)).cast("decimal(38,0)")
+        now = tuple(fresh.agg(F.count(F.lit(1)), F.sum(state)).first())
+        if now == before or now[0] == 0:
             break
         before = now
         # Noisy or: an instance is of a kind unless all its trusted patterns are wrong.
@@ -158,7 +216,18 @@ def trusted_patterns(
     return patterns
 
 
-def find_pii(docs: DataFrame, scratch: Scratch, support: float = 4.0, trust: float = 0.8, rounds: int = 5) -> DataFrame:
+def _overlapping(spans: DataFrame, read: DataFrame) -> DataFrame:
+    """The (row, start, end) of ``spans`` that overlap a base span of their row; both meet by cells of the text."""
+
+    def cells(df: DataFrame, start: str, end: str) -> DataFrame:
+        return df.withColumn("cell", F.explode(F.sequence(F.floor(F.col(start) / CELL), F.floor((F.col(end) - 1) / CELL))))
+
+    base = read.select("row", F.explode("base").alias("s")).select("row", F.col("s.start").alias("from"), F.col("s.end").alias("to"))
+    met = cells(spans.select("row", "start", "end"), "start", "end").join(cells(base, "from", "to"), ["row", "cell"])
+    return met.filter((F.col("from") < F.col("end")) & (F.col("to") > F.col("start"))).select("row", "start", "end").distinct()
+
+
+def find_pii(docs: DataFrame, scratch: Scratch, support: float = 4.0, trust: float = 0.8, rounds: int = 50) -> DataFrame:
     """Per row of ``docs``: doc_id, ``base`` and ``added`` spans (kind, start, end), sorted by start and kind."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = base_spans(F.col("_text"))
@@ -172,22 +241,19 @@ def find_pii(docs: DataFrame, scratch: Scratch, support: float = 4.0, trust: flo
         .select("doc_id", F.array_sort(F.concat(*[labelled(k) for k in KINDS])).alias("base"), _candidates(F.col("_text")).alias("candidates"))
         .withColumn("row", F.monotonically_increasing_id())
     )
-    each = read.select("row", "base", F.explode("candidates").alias("c"))
-    linked = each.select("row", "base", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.text").alias("instance"), F.explode(_patterns(F.col("c"))).alias("pattern"))
+    each = read.select("row", F.explode("candidates").alias("c"))
+    linked = each.select("row", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.text").alias("instance"), F.explode(_patterns(F.col("c"))).alias("pattern"))
     edges = linked.select("pattern", "instance").distinct()
     seeds = scratch.keep(each.select(F.col("c.text").alias("instance")).distinct().withColumn("kind", _kind_of(F.col("instance"))).filter("kind is not null"))
     patterns = trusted_patterns(edges, seeds, scratch, support, trust, rounds)
 
-    free = ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     best = F.max(F.struct("trust", (-order).alias("at"))).alias("x")
+    judged = scratch.keep(linked.join(patterns, "pattern").groupBy("row", "start", "end").agg(best).select("row", "start", "end", (-F.col("x.at")).alias("at")))
     added = (
-        linked.filter(free)
-        .join(patterns, "pattern")
-        .groupBy("row", "start", "end")
-        .agg(best)
+        judged.join(_overlapping(judged, read), ["row", "start", "end"], "left_anti")
         .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", (-F.col("x.at")).alias("at"), "end"))).alias("added"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "at", "end"))).alias("added"))
     )
 
     def named(spans: Column) -> Column:

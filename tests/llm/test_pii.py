@@ -1,10 +1,12 @@
 import random
 import re
+import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from mixloom.llm.pii import KINDS, find_pii
+from mixloom.llm.pii import KINDS, NEAR, _candidates, find_pii
 from mixloom.llm.scratch import Scratch
 
 SCHEMA = "doc_id long, text string"
@@ -86,6 +88,58 @@ def test_a_second_round_reaches_further(spark):
     assert rows[400] and rows[100]
 
 
+def words_around(text):
+    """Candidates with their neighbouring words, by a plain walk over the words."""
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\n\x0b\f\r]+", text)]
+    runs = []
+    for k, (a, b) in enumerate(words):
+        if not re.search(r"[0-9@]", text[a:b]):
+            continue
+        if runs and runs[-1][1] == k - 1 and text[words[k - 1][1] : a] == " ":
+            runs[-1][1] = k
+        else:
+            runs.append([k, k])
+
+    def bare(ks):
+        return [w for w in (text[slice(*words[k])].lower().strip(string.punctuation) for k in ks if 0 <= k < len(words)) if w]
+
+    out = []
+    for first, last in runs:
+        start, run = words[first][0], text[words[first][0] : words[last][1]]
+        inner = run.lstrip("\"'([<")
+        start += len(run) - len(inner)
+        inner = inner.rstrip(".,;:!?\"')]>")
+        left, right = bare(range(first - NEAR, first)), bare(range(last + 1, last + 1 + NEAR))
+        l2, l1 = ["", "", *left][-2:]
+        if inner:
+            out.append((start, start + len(inner), inner, l2, l1, (right or [""])[0]))
+    return out
+
+
+def test_candidates_equal_a_walk_over_the_words(spark):
+    rng = random.Random(7)
+    parts = ["a", "Word", "7", "x@y", "@", "-", "(5)", "..", "\"q1\",", " ", " ", " ", " ", "  ", "\n", "\t", "é9", "😀", "end."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(800)]
+    texts += [" ".join(f"w{i}" if i % 3 else "plain" for i in range(2000)), "\n".join(str(i) for i in range(700)), "1", " 1 "]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).select("doc_id", _candidates(F.col("text")).alias("c"))
+    got = {r["doc_id"]: [tuple(c) for c in r["c"] or []] for r in df.collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == words_around(text), text[:200]
+
+
+def test_a_long_text_with_very_many_candidates(spark):
+    rng = random.Random(8)
+    forms = ["u{}@x.org", "10.0.{}.7", "+1 555 {:07d}", "id{}"]
+    n = 60_000
+    text = "\n".join(f"mail {forms[i % 4].format(rng.randint(0, 255))} sent" for i in range(n))
+    began = time.monotonic()
+    (row,) = run(spark, [(1, text)])
+    assert plain(row["base"]) == brute(text)
+    assert time.monotonic() - began < 120
+    spans = [(s, e) for _, s, e in plain(row["added"])]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_repeated_rows_and_other_columns(spark):
     docs = [(1, "x@y.z", "q"), (1, "x@y.z", "q"), (None, "1.2.3.4", "r")]
     rows = run(spark, docs, SCHEMA + ", base string")
