@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixloom.llm.linededup import dedup_lines
@@ -35,13 +35,23 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
-    kept = near_duplicates(docs, _fresh(spark)).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    # Copies of a kept row are duplicates as well.
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    first = chosen.filter("doc_id is not null").withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
-    return first.select(*docs.columns).union(chosen.filter("doc_id is null").select(*docs.columns))
+    """One row of each group of near-duplicates: five-word shingles, similarity of 0.8 or more.
+
+    Decided by row, under a written row number: rows that share a doc_id stay if their texts differ, and
+    rows without one are compared like all others. The row with the smallest doc_id stays, of several the
+    first. Rows without words are in no group and stay.
+    """
+    scratch = _fresh(spark)
+    numbered = scratch.keep(docs.select(F.struct(*docs.columns).alias("_doc")).withColumn("_row", F.monotonically_increasing_id()))
+    rows = numbered.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text"))
+    groups = near_duplicates(rows, scratch).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    chosen = (
+        groups.join(numbered.select("_row", F.col("_doc.doc_id").alias("doc_id")), "_row")
+        .groupBy("_group")
+        .agg(F.min(order)["_row"].alias("_row"))
+    )
+    return numbered.join(chosen, "_row", "left_semi").select("_doc.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
