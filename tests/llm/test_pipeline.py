@@ -57,6 +57,19 @@ def test_stages_equal_brute_force(spark, tmp_path):
     test_packing.check(final, [(r[0], r[1]) for r in before[4]], 4096, 256)
 
 
+def test_near_duplicates_are_decided_by_row(spark):
+    page = "one two three four five six seven eight nine ten eleven twelve"
+    other = "red orange yellow green blue indigo violet black white grey"
+    rows = [(1, page), (1, other), (1, page), (2, page), (None, page), (None, "some words of a row without an id"), (7, None), (7, ""), (7, " ")]
+    rows += [(None, other), (8, "a lone page"), (None, "a lone page"), (None, "both without"), (None, "both without")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert out.columns == COLUMNS
+    kept = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    lone = {(1, page): 1, (1, other): 1, (None, "some words of a row without an id"): 1, (8, "a lone page"): 1, (None, "both without"): 1}
+    assert kept == Counter({**lone, (7, None): 1, (7, ""): 1, (7, " "): 1})
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
