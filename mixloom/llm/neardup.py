@@ -10,9 +10,13 @@ chunk), 19 at 0.8 (0.49).
 
 Classes that meet are not paired all with all. First, every class is compared with one lead of its
 buckets, on the full sets, and what is linked is joined to components. Only buckets that still
-hold different components go on: small ones pair their members across components; large ones are
-gathered to groups, cut into blocks, and compared block by block, giving back a spanning forest of
-the links. So no links between different texts are lost, and no group meets in one task.
+hold different components go on. Small ones pair their members across components. The members of
+large ones are gathered to groups, and a link in a group shows in the rare shingles of its sets: in
+any order of the shingles, two linked sets share one of their first few, as many as may differ and
+one more. The order is by how many sets of the group hold a shingle, so pages of one template, which
+meet but are just too different, share none of them and are never compared. Shingles that many sets
+have among their first are left to blocks, which are compared block by block and give back a spanning
+forest of the links. So no links between different texts are lost, and no group meets in one task.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; rows
 that share doc_id are one document, also if their texts differ; a row without doc_id links nothing,
@@ -35,6 +39,7 @@ from mixloom.llm.scratch import Scratch
 from mixloom.llm.shingles import mix, shingle_sets
 
 CHUNK = 8  # values (bytes) per chunk: one 64-bit word
+CELL_BITS = 17  # a group's shingles are counted in this many bits of their hash
 
 
 def chunks_for(percent: int, missed: float = 3e-6) -> int:
@@ -188,6 +193,79 @@ def _block_links(rows: DataFrame, width: int, percent: int, most: int, chunks: i
     return rows.groupBy("grp", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _levels(members: DataFrame, width: int) -> DataFrame:
+    """Per group, how many sets hold the shingles of each cell: one byte, the binary logarithm. ``members``: grp, text."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = batch.column(0).to_numpy(zero_copy_only=False)
+            for at in np.unique(groups):
+                own = batch.column(1).filter(pa.array(groups == at))
+                parts = [np.unique(s >> np.uint64(64 - CELL_BITS)) for s in shingle_sets(own, width)]
+                cells, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(cells), at)), pa.array(cells.astype(np.int32)), pa.array(n.astype(np.int64))], names=["grp", "cell", "n"]
+                )
+
+    def gather(table: pa.Table) -> pa.Table:
+        levels = np.zeros(1 << CELL_BITS, dtype=np.uint8)
+        levels[table.column("cell").to_numpy()] = np.log2(table.column("n").to_numpy()).astype(np.uint8) + 1
+        return pa.table({"grp": table.column("grp")[:1], "levels": pa.array([levels.tobytes()], pa.binary())})
+
+    counted = members.select("grp", "text").mapInArrow(count, "grp long, cell int, n long")
+    # At most 2^CELL_BITS rows per group, whatever its size.
+    return counted.groupBy("grp", "cell").agg(F.sum("n").alias("n")).groupBy("grp").applyInArrow(gather, "grp long, levels binary")
+
+
+def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
+    """How many first shingles of a set of ``n`` meet those of a linked set: one that is not smaller, and any."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1, n - -(-percent * n // 100) + 1
+
+
+def _prefixes(members: DataFrame, levels: DataFrame, width: int, percent: int) -> DataFrame:
+    """First shingles of every set in the order of its group; ``inner`` are those that meet any set that is not smaller.
+
+    ``members``: grp, block, id, component, text.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, sizes, counts, inner = [], [], [], []
+        if left.num_rows:
+            order = np.frombuffer(right.column("levels")[0].as_py(), dtype=np.uint8)
+            for s in shingle_sets(left.column("text").combine_chunks(), width):
+                least, most = prefix_sizes(len(s), percent)
+                first = s[np.lexsort((s, order[s >> np.uint64(64 - CELL_BITS)]))[:most]]
+                keys.append(first)
+                sizes.append(len(s))
+                counts.append(len(first))
+                inner.append(np.arange(len(first)) < least)
+        counts = np.array(counts, dtype=np.int64)
+
+        def spread(values) -> pa.Array:
+            return pa.array(np.repeat(np.asarray(values, dtype=np.int64), counts))
+
+        return pa.table(
+            {
+                "grp": spread(left.column("grp").to_numpy()),
+                "key": pa.array((np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)).view(np.int64)),
+                "id": spread(left.column("id").to_numpy()),
+                "component": spread(left.column("component").to_numpy()),
+                "n": spread(sizes),
+                "inner": pa.array(np.concatenate(inner) if inner else np.zeros(0, dtype=bool)),
+            }
+        )
+
+    of_block = members.select("grp", "block").distinct().join(levels, "grp").select(F.col("grp").alias("g"), F.col("block").alias("b"), "levels")
+    schema = "grp long, key long, id long, component long, n long, inner boolean"
+    return members.groupBy("grp", "block").cogroup(of_block.groupBy("g", "b")).applyInArrow(run, schema)
+
+
+def _in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (grp, id, component) with their block, and the number of blocks, of about ``block`` members."""
+    sizes = members.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    return members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+
 def _with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
     return rows.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
@@ -253,15 +331,36 @@ def near_duplicates(
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    more = scratch.keep(_verified(_close(pairs, classes, most), texts, width, percent))
-
     many = rest.filter(F.col("size") > small)
+    crowd = None
     if not many.isEmpty():
         groups = connected_components(many.filter("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")), scratch)
         members = many.select("id", "component").distinct().join(groups.withColumnRenamed("component", "grp"), "id")
-        sizes = members.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-        placed = members.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        members = scratch.keep(_in_blocks(members, block))
+        with_text = members.join(texts, "id")
+        prefixes = scratch.keep(_prefixes(with_text, _levels(with_text, width), width, percent))
+        shared = prefixes.groupBy("grp", "key").agg(
+            F.count_if("inner").alias("held"), F.count(F.lit(1)).alias("seen"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("lead")
+        )
+        # Written, so that the join to it stands alone and a hot shingle in it can be split.
+        shared = scratch.keep(shared.filter("held > 0 and lo <> hi").select("grp", "key", "lead", (F.col("held") * F.col("seen") <= small * small).alias("paired")))
+        meeting = scratch.keep(prefixes.join(shared, ["grp", "key"]))
+        scratch.drop(prefixes, shared)
+        apart = meeting.filter("paired").select("grp", "key", "id", "component", "n")
+        smaller = meeting.filter("paired and inner").select("grp", "key", *[F.col(c).alias(f"{c}_s") for c in ("id", "component", "n")])
+        near = (
+            smaller.join(apart, ["grp", "key"])
+            .filter(f"id <> id_s and component <> component_s and n_s <= n and 100 * n_s >= {percent} * n")
+            .select(F.least("id", "id_s").alias("a"), F.greatest("id", "id_s").alias("b"))
+        )
+        pairs = pairs.union(near.distinct().join(tested, ["a", "b"], "left_anti")).distinct()
+        crowd = meeting.filter("not paired")
+    more = scratch.keep(_verified(_close(pairs, classes, most), texts, width, percent))
+
+    if crowd is not None and not crowd.isEmpty():
+        groups = connected_components(crowd.filter("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")), scratch)
+        members = crowd.select("id", "component").distinct().join(groups.withColumnRenamed("component", "grp"), "id")
+        cells = _in_blocks(members, block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             "grp",
             F.least("block", "other").alias("i"),
             F.greatest("block", "other").alias("j"),

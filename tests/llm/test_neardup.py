@@ -137,3 +137,61 @@ def test_signature_chunks_follow_from_the_threshold(spark, percent):
     d = (1 - percent / 100) * 255 / 256
     at_most_one = (1 - d) ** 8 + 8 * d * (1 - d) ** 7
     assert (1 - at_most_one) ** seen[0] <= 3e-6
+
+
+def test_prefixes_of_linked_sets_meet():
+    """Any two sets at the threshold share a shingle of their prefixes, in any common order."""
+    rng = random.Random(3)
+    for _ in range(3000):
+        percent, common = rng.choice([70, 80, 85, 95]), rng.randint(1, 60)
+        a = set(range(common)) | {1000 + i for i in range(rng.randint(0, 12))}
+        b = set(range(common)) | {2000 + i for i in range(rng.randint(0, 12))}
+        if len(a) > len(b):
+            a, b = b, a
+        if 100 * len(a & b) < percent * len(a | b):
+            continue
+        order = {x: rng.random() for x in a | b}
+        first = sorted(a, key=order.get)[: neardup.prefix_sizes(len(a), percent)[0]]
+        second = sorted(b, key=order.get)[: neardup.prefix_sizes(len(b), percent)[1]]
+        assert set(first) & set(second)
+
+
+def template_pages(rng, n, core, own):
+    base = [f"t{i}" for i in range(core)]
+    return [" ".join(base + [f"o{rng.randrange(10**9)}" for _ in range(own)]) for _ in range(n)]
+
+
+def test_pages_of_one_template_below_the_threshold(spark, monkeypatch):
+    """They meet, but are not links: nothing is compared block by block; the few links among them are found."""
+    rng = random.Random(8)
+    texts = template_pages(rng, 600, 420, 40)
+    for i in (3, 77, 500):
+        texts.append(" ".join([*texts[i].split()[:-6], *(f"e{rng.randrange(10**9)}" for _ in range(6))]))
+    compared = []
+    original = neardup._block_links
+    monkeypatch.setattr(neardup, "_block_links", lambda rows, *more: compared.append(rows.count()) or original(rows, *more))
+    rows = run(spark, list(enumerate(texts)), width=3, percent=85)
+    linked = {r["doc_id"]: r["component_id"] for r in rows if not r["kept"]}
+    assert linked == {600: 3, 601: 77, 602: 500}
+    assert not compared
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
+def test_recall_of_pairs_around_the_threshold(spark, width, percent):
+    """Links found against all links, on pairs just above and below the threshold."""
+    rng = random.Random(percent)
+    docs = []
+    for i in range(400):
+        words = [f"p{i}x{j}" for j in range(rng.randint(60, 300))]
+        twin = list(words)
+        for at in rng.sample(range(len(words)), max(1, round(len(words) * rng.uniform(0.5, 1.3) * (100 - percent) / 200 / width))):
+            twin[at] = f"q{rng.randrange(10**9)}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(twin))]
+    links = set()
+    for (a, x), (_, y) in zip(docs[::2], docs[1::2]):
+        s, t = shingles(x, width), shingles(y, width)
+        if 100 * len(s & t) >= percent * len(s | t):
+            links.add(a)
+    found = {r["component_id"] for r in run(spark, docs, width=width, percent=percent) if not r["kept"]}
+    assert 100 < len(links) < 390
+    assert found <= links and len(found) >= 0.99 * len(links)
