@@ -132,11 +132,14 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def train(docs: DataFrame, sample: int = 4000, passes: int = 3, **penalties) -> LanguageModel:
+def train(
+    docs: DataFrame, sample: int = 4000, passes: int = 3, per_language: int = 50, languages: int = 100, **penalties
+) -> LanguageModel:
     """A model from the documents that have a language and whose checksum leaves no remainder of ``HELD_OUT``.
 
-    ``sample`` bounds the rows of which n-grams come to the driver; every fourth of them only sets the
-    temperature.
+    N-grams of about ``sample`` rows come to the driver, shared out by the size of the languages, and of
+    ``per_language`` rows of each smaller one; every fourth row only sets the temperature. The
+    ``languages`` largest languages are learned (ties: by name), whatever their share of the table.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != HELD_OUT))
@@ -175,12 +178,24 @@ def train(docs: DataFrame, sample: int = 4000, passes: int = 3, **penalties) ->
                 names=["place", "lang", "columns", "counts"],
             )
 
-    # Rows in order of a hash: about a sample's worth below the limit, and never more than a sample.
-    share = min(1.0, sample / max(total, 1))
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    quota = {r["lang"]: max(math.ceil(sample * r["count"] / max(total, 1)), min(r["count"], per_language)) for r in sizes}
+    # Rows of a language in order of a hash: about its quota lies below a limit, three spreads above it to be sure.
+    limits = {r["lang"]: min(1.0, (quota[r["lang"]] + 3 * math.sqrt(quota[r["lang"]]) + 3) / r["count"]) for r in sizes}
+    limit = F.lit(-1)
+    if limits:
+        limit = F.create_map(*[F.lit(x) for lang, share in limits.items() for x in (lang, int(share * (1 << 40)))])[F.col("lang")]
     place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 40))
-    near = rows.withColumn("place", place).filter(F.col("place") <= F.lit(int(share * (1 << 40)))).select("place", "lang", "text")
-    picked = near.mapInArrow(grams, "place long, lang string, columns array<int>, counts array<int>").limit(2 * sample).toArrow()
-    picked = picked.sort_by([("place", "ascending"), ("lang", "ascending")]).slice(0, sample)
+    near = rows.withColumn("place", place).filter(F.col("place") <= limit).select("place", "lang", "text")
+    picked = near.mapInArrow(grams, "place long, lang string, columns array<int>, counts array<int>")
+    # Repeated rows share a place; they can't take more than twice what is wanted.
+    picked = picked.limit(2 * (sum(quota.values()) + len(quota))).toArrow().sort_by([("place", "ascending"), ("lang", "ascending")])
+    left, chosen = dict(quota), []
+    for i, lang in enumerate(picked.column("lang").to_pylist()):
+        if left[lang]:
+            left[lang] -= 1
+            chosen.append(i)
+    picked = picked.take(pa.array(chosen, pa.int64()))
     langs = sorted(set(picked.column("lang").to_pylist()))
     examples = []
     for lang, columns, counts in zip(picked.column("lang").to_pylist(), picked.column("columns"), picked.column("counts"), strict=True):

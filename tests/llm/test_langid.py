@@ -39,6 +39,21 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
 
 
+def test_a_rare_language_is_learned_whatever_its_share(spark):
+    """12 of 4,000 documents, far below one in a sample of 200."""
+    docs = texts(4, 4000)
+    rng = random.Random(6)
+    rare = [(10**6 + i, " ".join(rng.choice(["kwa", "ni", "wa", "mtu", "zaidi", "hii"]) for _ in range(80)), "sw") for i in range(12)]
+    rows = {r["doc_id"]: r for r in run(spark, docs + rare, sample=200)}
+    assert all(rows[d]["lang_pred"] == "sw" for d, _, _ in rare)
+    assert sum(rows[d]["lang_pred"] == lang for d, _, lang in docs) > 0.98 * len(docs)
+
+
+def test_languages_beyond_the_largest_are_not_learned(spark):
+    docs = texts(9, 300) + [(10**6, "kwa ni wa mtu", "sw")]
+    assert {r["lang_pred"] for r in run(spark, docs, languages=3)} == {"en", "fr", "de"}
+
+
 def test_texts_without_letters_nulls_and_long_texts(spark):
     docs = texts(2, 200) + [(1000, None, "en"), (1001, "", None), (1002, "12 34 !?\n", "fr"), (None, "the and of the", "en"), (1003, "der und " * 100000, None), (5, docs_text := "the of", None), (5, docs_text, None)]
     rows = run(spark, docs, sample=200)
