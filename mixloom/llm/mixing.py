@@ -12,7 +12,8 @@ decided where it is read; texts are never shuffled, whatever the share of a sour
 
 Defined cases: documents without source form a source of their own; documents without a word (or
 with a null text) have no tokens and are left out, as is a source that only has such documents;
-repeated rows have the same place and are taken or left together; an empty table stays empty.
+repeated rows have the same place and are taken or left together; an empty table stays empty. A target
+that no exponent up to the largest one meets is an error.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from mixloom.llm.scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 SECTIONS = 32
-MAX_EXPONENT = 1.0  # 1 keeps the shares as they are, 0 makes all sources equal
+MAX_EXPONENT = 1.0  # 0 makes all sources equal, 1 keeps the shares as they are, more sharpens them
 BROADCAST_SOURCES = 10_000  # a source has one row of about 100 bytes
 
 
@@ -50,12 +51,12 @@ def _measures(stats: DataFrame, exponents: list[float], budget_share: float) ->
     return sorted((r["x"], 1.0 if r["top"] == 0 else r["h"] / r["top"], r["r"]) for r in rows)
 
 
-def _bisect(stats: DataFrame, budget_share: float, met, digits: int = 6) -> float:
-    """Smallest exponent in [0, MAX_EXPONENT] from which on ``met(entropy, repetitions)`` holds, rounded up.
+def _bisect(stats: DataFrame, budget_share: float, met, largest: float, digits: int = 6) -> float:
+    """Smallest exponent in [0, ``largest``] from which on ``met(entropy, repetitions)`` holds, rounded up; ``largest`` if none does.
 
     Each step looks at several exponents at once and keeps the section where the answer changes.
     """
-    low, high = 0.0, MAX_EXPONENT
+    low, high = 0.0, largest
     while high - low > 0.01 * 10**-digits:
         grid = [low + (high - low) * i / SECTIONS for i in range(SECTIONS + 1)]
         rows = _measures(stats, grid, budget_share)
@@ -74,12 +75,15 @@ def source_weights(
     target_entropy: float | None = 0.9,
     max_repetitions: float | None = 2.0,
     budget: int | None = None,
+    max_exponent: float = MAX_EXPONENT,
 ) -> DataFrame:
     """Per source: tokens, exponent, weight, target tokens, whole passes and tokens of the partial pass.
 
     ``target_entropy`` is a share of the largest possible entropy: shares are evened out until the
     weights reach it, and left as they are if they do already. ``max_repetitions`` then raises the
-    exponent until no source is repeated more often.
+    exponent until no source is repeated more often; with a ``max_exponent`` above 1 both may sharpen the
+    shares. A repetition limit that stays out of reach is a ValueError, and so is an entropy that the
+    sharpest shares allowed still exceed; without sharpening, such shares are even enough and stay.
     ``budget`` is the total number of tokens, by default as many as there are.
     """
     per_source = sized.groupBy("_m_source").agg(F.sum("_m_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
@@ -93,9 +97,14 @@ def source_weights(
     stats = per_source.withColumn("share", F.col("tokens") / F.lit(total))
     exponent = 0.0
     if target_entropy is not None:
-        exponent = _bisect(stats, budget / total, lambda h, r: h <= target_entropy)
+        exponent = _bisect(stats, budget / total, lambda h, r: h <= target_entropy, max_exponent)
     if max_repetitions is not None:
-        exponent = max(exponent, _bisect(stats, budget / total, lambda h, r: r <= max_repetitions))
+        exponent = max(exponent, _bisect(stats, budget / total, lambda h, r: r <= max_repetitions, max_exponent))
+    (_, entropy, repetitions) = _measures(stats, [exponent], budget / total)[0]
+    if max_repetitions is not None and repetitions > max_repetitions + 1e-4:
+        raise ValueError(f"some source is repeated {repetitions:.3f} times with exponent {exponent}; the limit is {max_repetitions}")
+    if target_entropy is not None and max_exponent > 1 and entropy > target_entropy + 1e-4:
+        raise ValueError(f"entropy is {entropy:.6f} with exponent {exponent}; the target is {target_entropy}")
     z = stats.agg(F.sum(F.pow("share", F.lit(exponent)))).first()[0]
     return (
         stats.withColumn("exponent", F.lit(exponent))
@@ -115,6 +124,7 @@ def mix_sources(
     budget: int | None = None,
     block_docs: int = 1024,
     seed: str = "mix",
+    max_exponent: float = MAX_EXPONENT,
 ) -> DataFrame:
     """The documents of the mixture, repeated as often as they are taken.
 
@@ -129,7 +139,7 @@ def mix_sources(
         }
     )
     light = scratch.keep(sized.filter("_m_tokens > 0").select("doc_id", "_m_source", "_m_tokens"))
-    weights = source_weights(light, scratch, target_entropy, max_repetitions, budget)
+    weights = source_weights(light, scratch, target_entropy, max_repetitions, budget, max_exponent)
     # Hexadecimal digits of a block: as many as keep blocks small.
     digits = F.greatest(F.lit(0), F.ceil(F.log(F.col("docs") / block_docs) / F.log(F.lit(16.0)))).cast("int")
     weights = scratch.keep(weights.withColumn("digits", digits))

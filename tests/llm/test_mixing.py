@@ -89,6 +89,22 @@ def test_exponent_meets_the_targets(spark):
     assert run(spark, DOCS, target_entropy=0.1, max_repetitions=None)[0]["_m_exponent"] == 1
 
 
+def test_shares_are_sharpened_only_if_asked_to(spark):
+    sharp = run(spark, DOCS, target_entropy=0.3, max_repetitions=None, max_exponent=8.0)[0]["_m_exponent"]
+    assert sharp > 1 and abs(measures(DOCS, sharp)[0] - 0.3) < 1e-4
+    rows = run(spark, DOCS, target_entropy=0.3, max_repetitions=None, max_exponent=8.0)
+    copies = brute(DOCS, sharp, sum(len((t or "").split()) for _, t, _ in DOCS), 1024)
+    assert len(rows) == sum(copies.values())
+
+
+def test_targets_out_of_reach_are_errors(spark):
+    even = [(i, "a b c d", f"s{i % 4}") for i in range(8)]
+    with pytest.raises(ValueError, match="entropy"):
+        run(spark, even, target_entropy=0.5, max_exponent=8.0)
+    with pytest.raises(ValueError, match="repeated"):
+        run(spark, even, budget=100, max_repetitions=2.0)
+
+
 def test_shares_that_are_even_enough_keep_every_document(spark):
     docs = [(i, "a b c d", f"s{i % 4}") for i in range(80)]
     rows = run(spark, docs)
