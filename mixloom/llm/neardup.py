@@ -40,6 +40,7 @@ from mixloom.llm.shingles import mix, shingle_sets
 
 CHUNK = 8  # values (bytes) per chunk: one 64-bit word
 CELL_BITS = 17  # a group's shingles are counted in this many bits of their hash
+SLICE_BITS = 12  # and the counts go on in slices of this many bits
 
 
 def chunks_for(percent: int, missed: float = 3e-6) -> int:
@@ -194,7 +195,7 @@ def _block_links(rows: DataFrame, width: int, percent: int, most: int, chunks: i
 
 
 def _levels(members: DataFrame, width: int) -> DataFrame:
-    """Per group, how many sets hold the shingles of each cell: one byte, the binary logarithm. ``members``: grp, text."""
+    """Per group and slice of cells, how many sets hold shingles of a cell: one byte, the binary logarithm. ``members``: grp, text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,13 +209,13 @@ def _levels(members: DataFrame, width: int) -> DataFrame:
                 )
 
     def gather(table: pa.Table) -> pa.Table:
-        levels = np.zeros(1 << CELL_BITS, dtype=np.uint8)
-        levels[table.column("cell").to_numpy()] = np.log2(table.column("n").to_numpy()).astype(np.uint8) + 1
-        return pa.table({"grp": table.column("grp")[:1], "levels": pa.array([levels.tobytes()], pa.binary())})
+        levels = np.zeros(1 << SLICE_BITS, dtype=np.uint8)
+        levels[table.column("cell").to_numpy() & ((1 << SLICE_BITS) - 1)] = np.log2(table.column("n").to_numpy()).astype(np.uint8) + 1
+        return pa.table({"grp": table.column("grp")[:1], "slice": table.column("slice")[:1], "levels": pa.array([levels.tobytes()], pa.binary())})
 
-    counted = members.select("grp", "text").mapInArrow(count, "grp long, cell int, n long")
-    # At most 2^CELL_BITS rows per group, whatever its size.
-    return counted.groupBy("grp", "cell").agg(F.sum("n").alias("n")).groupBy("grp").applyInArrow(gather, "grp long, levels binary")
+    counted = members.select("grp", "text").mapInArrow(count, "grp long, cell int, n long").groupBy("grp", "cell").agg(F.sum("n").alias("n"))
+    sliced = counted.withColumn("slice", F.shiftright("cell", SLICE_BITS))
+    return sliced.groupBy("grp", "slice").applyInArrow(gather, "grp long, slice int, levels binary")
 
 
 def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
@@ -231,7 +232,10 @@ def _prefixes(members: DataFrame, levels: DataFrame, width: int, percent: int) -
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         keys, sizes, counts, inner = [], [], [], []
         if left.num_rows:
-            order = np.frombuffer(right.column("levels")[0].as_py(), dtype=np.uint8)
+            order = np.zeros((1 << (CELL_BITS - SLICE_BITS), 1 << SLICE_BITS), dtype=np.uint8)
+            for at, levels in zip(right.column("slice").to_pylist(), right.column("levels").to_pylist(), strict=True):
+                order[at] = np.frombuffer(levels, dtype=np.uint8)
+            order = order.ravel()
             for s in shingle_sets(left.column("text").combine_chunks(), width):
                 least, most = prefix_sizes(len(s), percent)
                 first = s[np.lexsort((s, order[s >> np.uint64(64 - CELL_BITS)]))[:most]]
@@ -255,7 +259,7 @@ def _prefixes(members: DataFrame, levels: DataFrame, width: int, percent: int) -
             }
         )
 
-    of_block = members.select("grp", "block").distinct().join(levels, "grp").select(F.col("grp").alias("g"), F.col("block").alias("b"), "levels")
+    of_block = members.select("grp", "block").distinct().join(levels, "grp").select(F.col("grp").alias("g"), F.col("block").alias("b"), "slice", "levels")
     schema = "grp long, key long, id long, component long, n long, inner boolean"
     return members.groupBy("grp", "block").cogroup(of_block.groupBy("g", "b")).applyInArrow(run, schema)
 
