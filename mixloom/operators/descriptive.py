@@ -130,9 +130,14 @@ def quantile_trim(df: DataFrame, column: str, prob: float = 0.99) -> DataFrame:
     return df.filter(F.lit(False)) if edge is None else df.filter(F.col(column) <= F.lit(edge))
 
 
-def lorenz(customers: DataFrame, key: str, value: str, buckets: int | None = None) -> DataFrame:
-    """Cumulative share of value against cumulative share of customers, largest first."""
-    base = stage(customers.select(key, F.col(value).alias("_value"), (-F.col(value)).alias("_order")))
+def lorenz(customers: DataFrame, key: str, value: str, buckets: int | None = None, digits: int | None = None) -> DataFrame:
+    """Cumulative share of value against cumulative share of customers, largest first; ties by key.
+
+    Values that are sums of doubles differ in their last bits with the order of addition; with ``digits`` the
+    order is that of the values rounded so far, and equal ones are ties.
+    """
+    order = F.col(value) if digits is None else F.round(value, digits)
+    base = stage(customers.select(key, F.col(value).alias("_value"), (-order).alias("_order")))
     ones = base.withColumn("_one", F.lit(1).cast("long"))
     running = running_totals(ones, ["_order", key], {"_cum_value": "_value", "_rank": "_one"}, buckets)
     total = base.agg(F.sum("_value").alias("_sum"), F.count(F.lit(1)).alias("_n"))

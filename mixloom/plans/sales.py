@@ -270,7 +270,9 @@ def quantile_trim(t: Tables) -> DataFrame:
 )
 def lorenz(t: Tables) -> DataFrame:
     metrics = revenue.customer_metrics(views.order_sales(t))
-    return rounded(descriptive.lorenz(metrics, "customer_id", "total_spending"), 6, "cum_value_pct", "cum_customer_pct")
+    # Totals are whole rupees over the exchange rate: different ones are further apart, equal ones nearer, than 1e-6.
+    curve = descriptive.lorenz(metrics, "customer_id", "total_spending", digits=6)
+    return rounded(curve, 6, "cum_value_pct", "cum_customer_pct")
 
 
 @query(

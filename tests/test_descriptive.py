@@ -111,3 +111,10 @@ def test_trim_and_top(sample):
     assert kept == (data["c"] <= np.quantile(data["c"], 0.99)).sum()
     top = descriptive.top_n_per_group(df.withColumn("h", F.col("i") % 10), "g", "h", 3)
     assert top.groupBy("g").count().filter("count != 3").count() == 0
+
+
+def test_lorenz_takes_totals_that_differ_by_the_order_of_addition_as_ties(spark):
+    totals = [(1, 0.3 + 0.2 + 0.1), (2, 0.1 + 0.2 + 0.3), (3, 9.0)]
+    assert totals[0][1] < totals[1][1]
+    rows = descriptive.lorenz(spark.createDataFrame(totals, "k int, v double"), "k", "v", 2, digits=6)
+    assert [r["k"] for r in rows.orderBy("customer_rank").collect()] == [3, 1, 2]
