@@ -172,3 +172,19 @@ def test_chain_from_prior_to_accuracy(market):
     test = [r for r in fitted if r["split"] == "test"]
     assert sum(abs(r["actual"] - r["expected"]) for r in test) < 0.05 * sum(r["actual"] for r in test)
     assert all(r["expected_low"] <= r["expected"] <= r["expected_high"] for r in fitted)
+
+
+def test_geos_that_are_alike_converge_in_few_passes(spark):
+    """Many variances between geos near 0 have a flat likelihood; the EM algorithm ran out of passes there."""
+    rng = np.random.default_rng(6)
+    size, rows = 12, []
+    for g in range(20):
+        media = 0.8 + 0.02 * rng.normal(size=(22, 3))
+        for d, x in enumerate(media):
+            columns = [*map(float, x), 1.0, 0.1 + 0.01 * float(rng.normal()), d / 30, *[float(d % 7 == k) for k in range(6)]]
+            y = 1.0 + 0.5 * float(x.sum() - 2.4) + 0.03 * float(rng.normal())
+            rows.append((0.5, 1.0, f"g{g}", d, *columns, y, False))
+    schema = "alpha double, ec double, geo string, day int, " + ", ".join(f"x{i} double" for i in range(size)) + ", y double, is_holdout boolean"
+    grams = stage(geofit.geo_gram(spark.createDataFrame(rows, schema), size))
+    (fit,) = geofit.fit_settings(grams, {(0.5, 1.0): (np.zeros(size), np.zeros(size))}, size, 40)
+    assert fit.converged and np.sqrt(fit.state.sigma2) == pytest.approx(0.03, rel=0.1)
