@@ -10,13 +10,17 @@ from __future__ import annotations
 
 import math
 import struct
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.sources.staging import stage
 
 DIGIT = 16  # bits that a pass settles
+GATHERED = 200_000  # rows of a column that a task gathers before it sums them up
 _NAN = (1 << 63) - 1
 
 
@@ -51,30 +55,26 @@ def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list]:
 
     Radix selection: rows are counted by the leading 16 bits of their values, then, among those that
     share the leading bits of a wanted rank, by the next 16, four times at most. All columns and ranks
-    share a pass; a pass ends a rank whose rows have one value. Counts are combined on the map side and
+    share a pass; a pass ends a rank whose rows have one value. Counts are summed up in Arrow batches where the rows are read and
     at most 65,536 of them per open rank reach the driver, whatever the number of rows. ``df`` is read
     once a pass and should be staged.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    images = [F.struct(F.lit(i).alias("c"), ordered_image(F.col(c).cast("double")).alias("v")) for i, c in enumerate(columns)]
-    long = df.select(F.explode(F.array(*images)).alias("x")).select("x.c", "x.v").filter("v is not null")
     found: dict[tuple[int, int], int] = {}
     # Open ranks: (column, leading digits) to the ranks there and the rows before.
     open_ranks: dict[tuple[int, int | None], list[int]] = {}
     before: dict[tuple[int, int | None], int] = {}
     positions: dict[int, list[float]] = {}
     for shift in range(64 - DIGIT, -1, -DIGIT):
-        head = F.shiftright("v", shift + DIGIT) if shift < 64 - DIGIT else F.lit(None).cast("long")
-        rows = long
-        if open_ranks:
-            by_column: dict[int, list[int]] = {}
-            for c, lead in open_ranks:
-                by_column.setdefault(c, []).append(lead)
-            wanted = [(F.col("c") == c) & head.isin(*leads) for c, leads in by_column.items()]
-            rows = long.filter(_any(wanted))
+        wanted: dict[int, list[int] | None] = {} if open_ranks else dict.fromkeys(range(len(columns)))
+        for c, lead in open_ranks:
+            wanted.setdefault(c, []).append(lead)
+        # Only columns that have open ranks are read.
+        asked = df.select(*[F.col(columns[c]).cast("double").alias(f"v{c}") for c in wanted])
         counted = (
-            rows.groupBy("c", F.shiftright("v", shift).alias("lead"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            asked.mapInArrow(_count_digits(wanted, shift), "c int, lead long, n long, low long, high long")
+            .groupBy("c", "lead")
+            .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
             .collect()
         )
         groups: dict[tuple[int, int | None], list] = {}
@@ -110,11 +110,44 @@ def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list]:
     }
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+def _images(values: pa.Array) -> np.ndarray:
+    """``ordered_image`` of the values that are not NULL: the bits of the double, negated for negative values."""
+    doubles = values.drop_null().to_numpy(zero_copy_only=False)
+    bits = doubles.view(np.int64)
+    images = np.where(bits < 0, -(bits & _NAN), bits)
+    images[np.isnan(doubles)] = _NAN
+    return images
+
+
+def _count_digits(wanted: dict, shift: int):
+    """Rows by leading digits, with smallest and largest image, per column: summed up while a partition is read."""
+
+    def merged(parts: list[np.ndarray]) -> np.ndarray:
+        rows = np.concatenate(parts, axis=1)
+        rows = rows[:, np.argsort(rows[0], kind="stable")]
+        first = np.flatnonzero(np.diff(rows[0], prepend=rows[0, :1] - 1))
+        return np.stack([rows[0, first], np.add.reduceat(rows[1], first), np.minimum.reduceat(rows[2], first), np.maximum.reduceat(rows[3], first)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # At most as many counts as there are digits behind the wanted leads.
+        kept: dict[int, list[np.ndarray]] = {c: [] for c in wanted}
+        waiting = dict.fromkeys(wanted, 0)
+        for batch in batches:
+            for at, (c, leads) in enumerate(wanted.items()):
+                images = _images(batch.column(at))
+                if leads is not None:
+                    images = images[np.isin(images >> (shift + DIGIT), leads)]
+                if len(images):
+                    kept[c].append(np.stack([images >> shift, np.ones_like(images), images, images]))
+                    waiting[c] += len(images)
+                if waiting[c] > GATHERED:
+                    kept[c], waiting[c] = [merged(kept[c])], 0
+        for c, parts in kept.items():
+            if parts:
+                lead, n, low, high = merged(parts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), c, np.int32)), *map(pa.array, (lead, n, low, high))], names=["c", "lead", "n", "low", "high"])
+
+    return run
 
 
 def _interpolate(found, column, position):

@@ -99,3 +99,19 @@ def test_ranges_follow_the_order_and_split_ties(spark):
 def test_running_totals_of_nothing(spark):
     df = spark.createDataFrame([], "a double, w long")
     assert ordering.running_totals(df, ["a"], {"total": "w"}).count() == 0
+
+
+def test_digits_are_summed_up_where_the_rows_are_read(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ordering, "GATHERED", 50)
+    values = [None, -0.0, 0.0, float("nan"), float("inf"), -float("inf"), -5e-324, *(float(i % 40) for i in range(1000))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(values[i : i + 30], pa.float64())], names=["v0"]) for i in range(0, len(values), 30)]
+    found = pa.Table.from_batches(list(ordering._count_digits({0: None}, 48)(iter(batches)))).to_pylist()
+    images = [r["i"] for r in frame(spark, values).select(ordering.ordered_image(F.col("v")).alias("i")).collect() if r["i"] is not None]
+    wanted = {}
+    for i in images:
+        wanted.setdefault(i >> 48, []).append(i)
+    assert {r["lead"]: (r["n"], r["low"], r["high"]) for r in found} == {k: (len(v), min(v), max(v)) for k, v in wanted.items()}
+    # One row per digit of the partition, not one per value.
+    assert len(found) == len(wanted)
