@@ -122,8 +122,9 @@ def preprocessor(numeric, categorical) -> Pipeline:
 
 
 def random_forest(label: str, trees: int = 100, depth: int = 12) -> RandomForestClassifier:
+    # A row's node in every tree is kept from level to level; without that, each pass walks all trees from the root.
     return RandomForestClassifier(
-        labelCol=label, featuresCol="features", weightCol="class_weight", seed=SEED, numTrees=trees, maxDepth=depth
+        labelCol=label, featuresCol="features", weightCol="class_weight", seed=SEED, numTrees=trees, maxDepth=depth, cacheNodeIds=True
     )
 
 

@@ -198,3 +198,12 @@ def test_index_of_many_categories(spark):
     rows = spark.createDataFrame([("c1", 1), (None, 2), ("new", 3), ("hot", 4)], "c string, k int")
     got = {r["k"]: r["i"] for r in churn.index_strings(table, rows, "c", "i").collect()}
     assert got == {1: 3, 2: 200_001, 3: 200_001, 4: 0}
+
+
+def test_forest_keeps_the_nodes_of_its_rows_with_the_same_result(spark):
+    rows = [(i, float(i * 37 % 101), f"s{i % 3}", int(i * 37 % 101 + i % 7 > 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, x double, s string, y int")
+    kept = churn.random_forest("y", 5, 6)
+    assert kept.getCacheNodeIds()
+    found = [churn.predict(churn.train(df, "y", ["x"], ["s"], c), df).orderBy("k").collect() for c in (kept, churn.random_forest("y", 5, 6).setCacheNodeIds(False))]
+    assert found[0] == found[1]
