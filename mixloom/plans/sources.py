@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,12 +198,24 @@ STAR_SQL = """WITH good_customer AS (SELECT c_custkey FROM customer WHERE c_cust
       UNION ALL SELECT t, reason, n, unnest([1, 2]) FROM bad)"""
 
 
+def _put_batches(t: Tables, root: str, names=None) -> None:
+    """The named batches (all) as CSV files, written side by side."""
+    batches = _star_batches(t)
+
+    def put(name: str) -> None:
+        _as_csv(batches[name].select(*TABLES[name].schema.names), f"{root}/{name.upper()}.csv")
+
+    with ThreadPoolExecutor(warehouse.AT_ONCE) as pool:
+        written = [pool.submit(inheritable_thread_target(t.spark)(put), n) for n in names or batches]
+    for w in written:
+        w.result()
+
+
 @query("s5_ingest_star", STAR_SQL)
 def ingest_star(t: Tables) -> DataFrame:
     """All retail tables in order of their keys, ingested twice; what became of the rows in each run."""
     root = _folder(t)
-    for name, rows in _star_batches(t).items():
-        _as_csv(rows.select(*TABLES[name].schema.names), f"{root}/{name.upper()}.csv")
+    _put_batches(t, root)
     house = warehouse.Warehouse(t.spark, f"{root}/tables")
     runs = [warehouse.report(t.spark, house.ingest(root)).withColumn("run", F.lit(run)) for run in (1, 2)]
     return runs[0].unionByName(runs[1])
@@ -219,9 +233,7 @@ def ingested_sales(t: Tables) -> DataFrame:
     """Items per order and product of the loaded star schema, joined as it was loaded."""
     root = _folder(t)
     wanted = ["category", "channel", "store", "customer", "promotion", "product", "order", "order_item"]
-    batches = _star_batches(t)
-    for name in wanted:
-        _as_csv(batches[name].select(*TABLES[name].schema.names), f"{root}/{name.upper()}.csv")
+    _put_batches(t, root, wanted)
     house = warehouse.Warehouse(t.spark, f"{root}/tables")
     house.ingest(root, wanted)
     joined = house.table("order_item").join(house.table("order"), "order_id").join(house.table("product"), "product_id")

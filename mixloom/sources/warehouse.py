@@ -3,8 +3,9 @@
 A loaded table is a folder of batches, ``<target>/<table>/batch-000001`` and so on. Ingesting a batch adds
 the rows whose key is not there yet; what is loaded is never rewritten, so the cost is that of the batch
 and of one join to the loaded keys. The new rows are written beside the table and get their name by a
-rename when they are complete; a run that fails leaves a folder that no reader sees. Tables are
-committed in order of their foreign keys, parents first, so a loaded row's parents are always loaded.
+rename when they are complete; a run that fails leaves a folder that no reader sees. A table waits until
+its parents are committed, so a loaded row's parents are always loaded; tables that do not wait for each
+other run side by side.
 
 Rows that break the contract do not get in. They are kept, as they were read, in
 ``<target>/_quarantine/<table>/batch-...`` with the first reason that holds:
@@ -18,9 +19,11 @@ Rows that break the contract do not get in. They are kept, as they were read, in
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +32,12 @@ from mixloom.functions.dates import parse_date
 from mixloom.operators.keys import dedupe_on_key
 from mixloom.sources.readers import CORRUPT, read_csv
 from mixloom.sources.schemas import TABLES, TableSpec
-from mixloom.sources.staging import stage
+from mixloom.sources.staging import stage, staging_root
 
 REASON = "_reason"
 QUARANTINE = "_quarantine"
 BATCH = "batch-"
+AT_ONCE = 4  # tables that are merged side by side
 
 
 @dataclass(frozen=True)
@@ -70,7 +74,20 @@ class Warehouse:
         A file without one of the declared columns is skipped and reported, as is a missing file.
         """
         wanted = list(self.tables) if names is None else list(names)
-        return [self._merge(self.tables[n], f"{folder.rstrip('/')}/{n.upper()}.csv") for n in self.tables if n in wanted]
+        staging_root(self.spark)  # chosen once, before the threads ask for it
+        merges: dict[str, Future] = {}
+
+        def merge(name: str, before: list[Future]) -> Loaded:
+            # They were handed in earlier, so the first of the waiting tables can always go on.
+            for other in before:
+                other.result()
+            return self._merge(self.tables[name], f"{folder.rstrip('/')}/{name.upper()}.csv")
+
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            for name in [n for n in self.tables if n in wanted]:
+                kin = [m for n, m in merges.items() if n in self.tables[name].parents.values() or name in self.tables[n].parents.values()]
+                merges[name] = pool.submit(inheritable_thread_target(self.spark)(merge), name, kin)
+        return [m.result() for m in merges.values()]
 
     def _merge(self, spec: TableSpec, path: str) -> Loaded:
         missing = self._missing_columns(spec, path)
@@ -79,12 +96,19 @@ class Warehouse:
         rows = stage(self._classified(spec, path))
         counted = rows.groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per reason
         reasons = {r[REASON]: r["n"] for r in counted}
-        good = rows.filter(F.col(REASON).isNull()).select(*[F.col(f"_v_{c}").alias(c) for c in spec.schema.names])
+        good = rows.filter(F.col(REASON).isNull()).select(*[F.col(_typed(spec, c)).alias(c) for c in spec.schema.names])
         rest = [c for c in spec.schema.names if c not in spec.key]
-        unique = stage(dedupe_on_key(good, list(spec.key), rest or list(spec.key)).select(*spec.schema.names))
-        n_good, n_unique = reasons.get(None, 0), unique.count()
-        fresh = unique.join(self.table(spec.name).select(*spec.key), list(spec.key), "left_anti").select(*spec.schema.names)
-        inserted = self._commit(fresh, f"{self.target}/{spec.name}")
+        keys = list(spec.key)
+        unique = dedupe_on_key(good, keys, rest or keys).select(*spec.schema.names)
+        folder = f"{self.target}/{spec.name}"
+        if self._batches(folder):
+            loaded = self.table(spec.name).select(*keys)
+            # Keys alone tell whether a batch has anything new; rows are only dealt by key if it has.
+            known = good.select(*keys).distinct().join(loaded.withColumn("_loaded", F.lit(True)), keys, "left")
+            n_unique, present = known.agg(F.count(F.lit(1)), F.count("_loaded")).first()
+            inserted = self._commit(unique.join(loaded, keys, "left_anti"), folder) if n_unique > present else 0
+        else:
+            inserted, present = self._commit(unique, folder), 0
         bad = {k: n for k, n in reasons.items() if k is not None}
         if bad:
             raw = [c for c in _raw_schema(spec).names]
@@ -93,24 +117,26 @@ class Warehouse:
             known = self.quarantine(spec.name).select(*raw, REASON)
             again = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*raw, REASON)])
             self._commit(rejected.alias("a").join(known.distinct().alias("b"), again, "left_anti"), f"{self.target}/{QUARANTINE}/{spec.name}")
-        return Loaded(spec.name, n_good + sum(bad.values()), inserted, n_unique - inserted, n_good - n_unique, bad)
+        n_good = reasons.get(None, 0)
+        return Loaded(spec.name, n_good + sum(bad.values()), inserted, present, n_good - inserted - present, bad)
 
     def _classified(self, spec: TableSpec, path: str) -> DataFrame:
-        """Raw columns, typed columns (``_v_``) and the reason why a row can't be loaded."""
+        """Raw columns, dates (``_v_``) and the reason why a row can't be loaded."""
         raw = read_csv(self.spark, path, _raw_schema(spec, corrupt=False), keep_corrupt=True)
-        typed = raw.withColumns({f"_v_{f.name}": parse_date(f.name) if f.name in spec.date_columns else F.col(f.name) for f in spec.schema})
+        typed = raw.withColumns({_typed(spec, c): parse_date(c) for c in spec.date_columns}) if spec.date_columns else raw
         reason = F.when(F.col(CORRUPT).isNotNull(), "bad_value")
         for c in spec.date_columns:
             reason = reason.when(F.col(c).isNotNull() & F.col(f"_v_{c}").isNull(), "bad_date")
         for c in spec.key:
-            reason = reason.when(F.col(f"_v_{c}").isNull(), "null_key")
+            reason = reason.when(F.col(_typed(spec, c)).isNull(), "null_key")
         for at, (column, parent) in enumerate(spec.parents.items()):
             (key,) = self.tables[parent].key
-            keys = self.table(parent).select(F.col(key).alias(f"_v_{column}"), F.lit(True).alias(f"_has{at}"))
+            child = _typed(spec, column)
+            keys = self.table(parent).select(F.col(key).alias(child), F.lit(True).alias(f"_has{at}"))
             # A parent has one row per key, so no row is multiplied.
-            typed = typed.join(keys, f"_v_{column}", "left")
-            reason = reason.when(F.col(f"_v_{column}").isNotNull() & F.col(f"_has{at}").isNull(), f"orphan:{column}")
-        return typed.select(*_raw_schema(spec).names, *[f"_v_{c}" for c in spec.schema.names], reason.alias(REASON))
+            typed = typed.join(keys, child, "left")
+            reason = reason.when(F.col(child).isNotNull() & F.col(f"_has{at}").isNull(), f"orphan:{column}")
+        return typed.select(*_raw_schema(spec).names, *[_typed(spec, c) for c in spec.date_columns], reason.alias(REASON))
 
     def _missing_columns(self, spec: TableSpec, path: str) -> tuple[str, ...]:
         where = self._path(path)
@@ -138,7 +164,8 @@ class Warehouse:
     def _read(self, folder: str, schema: T.StructType) -> DataFrame:
         paths = [f"{folder}/{b}" for b in self._batches(folder)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            # Known to be empty when a query is planned, so joins to it cost nothing.
+            return self.spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).filter(F.lit(False))
         return self.spark.read.schema(schema).parquet(*paths)
 
     def _batches(self, folder: str) -> list[str]:
@@ -155,6 +182,11 @@ class Warehouse:
         return self.spark._jsc.hadoopConfiguration()
 
 
+def _typed(spec: TableSpec, column: str) -> str:
+    """The column of classified rows that holds the value; only dates have another than the one that was read."""
+    return f"_v_{column}" if column in spec.date_columns else column
+
+
 def _raw_schema(spec: TableSpec, corrupt: bool = True) -> T.StructType:
     """Columns as they are read: dates as text, with the text of rows that do not fit."""
     fields = [T.StructField(f.name, T.StringType() if f.name in spec.date_columns else f.dataType) for f in spec.schema]

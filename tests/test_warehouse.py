@@ -1,5 +1,8 @@
+import threading
+
 import pytest
 
+from mixloom.sources import staging
 from mixloom.sources.schemas import TABLES
 from mixloom.sources.warehouse import Warehouse, report
 
@@ -82,3 +85,30 @@ def test_report_rows(spark, tmp_path, batch):
     rows = {(r["table_name"], r["outcome"]): r["n_rows"] for r in report(spark, loaded).collect()}
     assert rows["category", "inserted"] == 2 and rows["product", "orphan:category_id"] == 1
     assert rows["channel", "missing:channel_name"] == 0
+
+
+def test_tables_run_side_by_side_but_after_their_parents(spark, tmp_path, monkeypatch):
+    seen, meet = [], threading.Barrier(2, timeout=20)
+
+    def merge(self, spec, path):
+        if spec.name in ("category", "channel"):
+            meet.wait()  # breaks if one runs after the other
+        seen.append(spec.name)
+        return spec.name
+
+    monkeypatch.setattr(Warehouse, "_merge", merge)
+    names = ["category", "channel", "product", "price_change"]
+    assert Warehouse(spark, str(tmp_path / "house")).ingest(str(tmp_path), reversed(names)) == names
+    assert seen[2:] == ["product", "price_change"]
+
+
+def test_a_batch_without_new_keys_stages_its_rows_once_and_commits_nothing(spark, tmp_path, batch, monkeypatch):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    assert "LocalTableScan" in house.table("category")._jdf.queryExecution().executedPlan().toString()
+    house.ingest(str(batch), ["category", "product"])
+    commits, staged = [], len(staging._STAGED)
+    commit = Warehouse._commit
+    monkeypatch.setattr(Warehouse, "_commit", lambda self, rows, folder: (commits.append(folder), commit(self, rows, folder))[1])
+    again = house.ingest(str(batch), ["category", "product"])
+    assert [(x.inserted, x.present, x.duplicate) for x in again] == [(0, 2, 1), (0, 2, 0)]
+    assert len(staging._STAGED) - staged == 2 and all("_quarantine" in c for c in commits)
