@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import itertools
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from mixloom.functions.scalars import (
     safe_ratio,
     trigamma,
 )
-from mixloom.sources.staging import stage
+from mixloom.sources.staging import stage, staging_root
 
 # Fixed values of the published analysis: weeks per month, months, monthly discount rate.
 WEEKS_PER_MONTH = 4.345
@@ -194,6 +196,15 @@ def gamma_gamma_fit(summary: DataFrame, penalty: float = PENALTY) -> GammaGamma:
     return GammaGamma(*parameters, report)
 
 
+def clv_fits(summary: DataFrame, penalty: float = PENALTY) -> tuple[BgNbd, GammaGamma]:
+    """Both models of a staged summary; neither fit needs the other, so their many short jobs run side by side."""
+    staging_root(summary.sparkSession)  # chosen once, before the threads ask for it
+    inherit = inheritable_thread_target(summary.sparkSession)
+    with ThreadPoolExecutor(2) as pool:
+        model, spend = (pool.submit(inherit(fit), summary, penalty) for fit in (bgnbd_fit, gamma_gamma_fit))
+        return model.result(), spend.result()
+
+
 def _bgnbd_terms(parameters: list[Column]) -> list[list[Column]]:
     """Stages of columns of one history: helpers, then value, gradient and upper Hessian by parameter.
 

@@ -283,7 +283,7 @@ def trimmed_histogram(t: Tables) -> DataFrame:
 def predicted_clv_fitted(t: Tables) -> DataFrame:
     """Both models fitted on the whole period, 52 monthly periods."""
     summary = _summary(t)
-    model, spend = life.bgnbd_fit(summary), life.gamma_gamma_fit(summary)
+    model, spend = life.clv_fits(summary)
     return life.predicted_clv(summary, model, spend)
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -221,3 +222,18 @@ def test_derivatives_are_those_of_the_likelihood(summary, terms, constant, theta
 def test_fits_take_few_passes(summary):
     for fitted in (life.bgnbd_fit(summary), life.gamma_gamma_fit(summary)):
         assert fitted.report.converged and fitted.report.passes <= 25 and fitted.report.gradient < 1e-4
+
+
+def test_the_fits_run_side_by_side(summary, monkeypatch):
+    meet = threading.Barrier(2, timeout=20)
+    for name in ("bgnbd_fit", "gamma_gamma_fit"):
+        # Breaks if one fit waits for the other.
+        monkeypatch.setattr(life, name, lambda rows, penalty, name=name: (meet.wait(), (name, rows, penalty))[1])
+    assert life.clv_fits(summary, 0.5) == (("bgnbd_fit", summary, 0.5), ("gamma_gamma_fit", summary, 0.5))
+
+
+def test_fits_side_by_side_are_those_one_after_the_other(summary):
+    model, spend = life.clv_fits(summary)
+    alone = life.bgnbd_fit(summary), life.gamma_gamma_fit(summary)
+    for got, want, names in ((model, alone[0], ("r", "alpha", "a", "b")), (spend, alone[1], ("p", "q", "v"))):
+        assert [getattr(got, n) for n in names] == pytest.approx([getattr(want, n) for n in names], rel=1e-6)
