@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -77,17 +77,32 @@ def add_salt(left: DataFrame, keys, salts: DataFrame) -> DataFrame:
     return salted.withColumn("_salt", F.pmod("_row", F.col("_salts")).cast("int")).drop("_row", "_salts")
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys, how: str = "inner", salts: DataFrame | None = None) -> DataFrame:
+def parts_of(n_rows: int, task_rows: int, spark: SparkSession) -> int:
+    """Partitions of at most about ``task_rows`` rows, as many as the session has cores at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_rows // task_rows))
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, keys, how: str = "inner", salts: DataFrame | None = None, parts: int | None = None
+) -> DataFrame:
     """Equi-join of a large skewed ``left`` with a ``right`` that has few rows per key.
 
     Adaptive execution does not split a skewed join when an aggregation on the same
     key follows it, so hot keys are salted here: their left rows are spread over many
     partitions and their right rows are repeated once per salt. All other keys have one
     salt. ``how`` is inner or left; ``salts`` are those of ``salts_of`` if not given.
+
+    Adaptive execution makes tasks as large as its advisory size of compressed bytes, which can be
+    millions of rows. With ``parts`` both sides are put into that many partitions, which it leaves
+    as they are, also where ``right`` is broadcast: for joins followed by work that holds its rows.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
-    salts = salts_of(left, keys) if salts is None else salts
+    if salts is None:
+        salts = salts_of(left, keys, parts=None if parts is None else max(64, parts))
     copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - F.lit(1)))
+    salted_left = add_salt(left, keys, salts)
     salted_right = _with_salts(right, keys, salts).withColumn("_salt", copies).drop("_salts")
-    return add_salt(left, keys, salts).join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    if parts is not None:
+        salted_left, salted_right = (side.repartition(parts, *keys, "_salt") for side in (salted_left, salted_right))
+    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.operators import descriptive, quality, revenue, scoring
-from mixloom.operators.keys import skew_join
+from mixloom.operators.keys import parts_of, skew_join
 from mixloom.plans import views
 from mixloom.plans.quality import STATS, _describe_sql
 from mixloom.plans.registry import Tables, as_text, query, rounded
@@ -240,10 +240,15 @@ def ordered_tiers(t: Tables) -> DataFrame:
     return views.tiers(t).groupBy("tier", "tier_rank").agg(F.count(F.lit(1)).alias("n")).orderBy("tier_rank")
 
 
-def _tier_items(t: Tables) -> DataFrame:
+# Items of one task where they are counted on wide, nearly unique keys, which takes some 350 bytes each.
+TASK_ITEMS = 500_000
+
+
+def _tier_items(t: Tables, task_items: int | None = None) -> DataFrame:
     """Tiers on every item row; a customer with very many items is salted.
 
-    The joined items are needed three times (tiers, hot keys, fan-out), so they are staged.
+    The joined items are needed three times (tiers, hot keys, fan-out), so they are staged. With
+    ``task_items`` no task gets many more items than that, however many there are.
     """
     items = stage(
         views.items(t).select(
@@ -256,7 +261,8 @@ def _tier_items(t: Tables) -> DataFrame:
     tiers = scoring.value_tiers(scoring.clv_descriptive(raw)).select("customer_id", "tier", "clv")
     wanted = items.select("customer_id", "customer_type", "city", "state", "category_name", "brand")
     # Every item's customer has a tier, so the inner join from the item side equals the left join from the tiers.
-    return skew_join(wanted, tiers, ["customer_id"])
+    parts = None if task_items is None else parts_of(items.count(), task_items, t.spark)
+    return skew_join(wanted, tiers, ["customer_id"], parts=parts)
 
 
 TIER_ITEMS_SQL = """
@@ -274,7 +280,7 @@ TYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
     ),
 )
 def tier_items(t: Tables) -> DataFrame:
-    per_customer = _tier_items(t).groupBy("tier", "category_name", "brand", "state", "customer_id").agg(
+    per_customer = _tier_items(t, TASK_ITEMS).groupBy("tier", "category_name", "brand", "state", "customer_id").agg(
         F.count(F.lit(1)).alias("n")
     )
     return per_customer.groupBy("tier", "category_name", "brand", "state").agg(

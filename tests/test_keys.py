@@ -88,3 +88,20 @@ def test_a_key_with_half_the_rows_is_spread_at_the_default_settings(spark):
         j.agg(F.count(F.lit(1)), F.sum("v"), F.sum("w")).first() for j in (keys.skew_join(left, right, ["k"]), left.join(right, "k"))
     )
     assert got == want and got[0] > n / 2
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_parts_bound_the_rows_of_a_task(spark, broadcast):
+    left = spark.range(40_000).select((F.col("id") % 20_000).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 20_000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert keys.parts_of(40_000, 1000, spark) == 40 and keys.parts_of(0, 1000, spark) == spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        for how in ("inner", "left"):
+            joined = keys.skew_join(left, right, ["k"], how, parts=keys.parts_of(40_000, 1000, spark))
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert max(sizes) < 2000 and sum(sizes) == (20_000 if how == "inner" else 40_000)
+            assert rows(joined.select("k", "v", "w").fillna(-1)) == rows(left.join(right, "k", how).select("k", "v", "w").fillna(-1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

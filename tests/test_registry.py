@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from mixloom.plans import scoring as scoring_plans
 from mixloom.plans import views
 from mixloom.plans.registry import Tables, load_all
 from tools.check_oracle import compare, connect
@@ -48,6 +49,24 @@ def test_every_line_keeps_its_price_and_a_lookup_can_miss(spark):
     assert 0 < found.count() < lines and missed.count() > 0
 
 
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
+def test_tier_items_are_counted_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(scoring_plans, "TASK_ITEMS", 100)
+    given = []
+    join = scoring_plans.skew_join
+
+    def spied(*args, **kwargs):
+        given.append(join(*args, **kwargs))
+        return given[-1]
+
+    monkeypatch.setattr(scoring_plans, "skew_join", spied)
+    verdict = compare(entry.queries()["j4_tier_items"](spark, FOLDER), connect(FOLDER), entry.oracle_sql()["j4_tier_items"])
+    assert verdict.startswith("ok"), verdict
+    # 6,000 items of 150 customers.
+    sizes = [r["count"] for r in given[0].groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 500
+
+
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
 def test_flagship(spark):
     assert entry.entry(spark).count() == 10
