@@ -38,6 +38,7 @@ REASON = "_reason"
 QUARANTINE = "_quarantine"
 BATCH = "batch-"
 AT_ONCE = 4  # tables that are merged side by side
+HASH_BYTES = 64  # of a row in a hash table, without its columns
 
 
 @dataclass(frozen=True)
@@ -102,7 +103,7 @@ class Warehouse:
         unique = dedupe_on_key(good, keys, rest or keys).select(*spec.schema.names)
         folder = f"{self.target}/{spec.name}"
         if self._batches(folder):
-            loaded = self.table(spec.name).select(*keys)
+            loaded = self._sorted_if_large(self.table(spec.name).select(*keys))
             # Keys alone tell whether a batch has anything new; rows are only dealt by key if it has.
             known = good.select(*keys).distinct().join(loaded.withColumn("_loaded", F.lit(True)), keys, "left")
             n_unique, present = known.agg(F.count(F.lit(1)), F.count("_loaded")).first()
@@ -114,7 +115,7 @@ class Warehouse:
             raw = [c for c in _raw_schema(spec).names]
             rejected = rows.filter(F.col(REASON).isNotNull()).select(*raw, REASON)
             # A batch that is read again is not put aside again.
-            known = self.quarantine(spec.name).select(*raw, REASON)
+            known = self._sorted_if_large(self.quarantine(spec.name).select(*raw, REASON))
             again = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*raw, REASON)])
             self._commit(rejected.alias("a").join(known.distinct().alias("b"), again, "left_anti"), f"{self.target}/{QUARANTINE}/{spec.name}")
         n_good = reasons.get(None, 0)
@@ -134,10 +135,23 @@ class Warehouse:
             child = _typed(spec, column)
             keys = self.table(parent).select(F.col(key).alias(child), F.lit(True).alias(f"_has{at}"))
             # A parent has one row per key, so no row is multiplied.
-            typed = typed.join(keys, child, "left")
+            typed = typed.join(self._sorted_if_large(keys), child, "left")
             reason = reason.when(F.col(child).isNotNull() & F.col(f"_has{at}").isNull(), f"orphan:{column}")
         return typed.select(*_raw_schema(spec).names, *[_typed(spec, c) for c in spec.date_columns], reason.alias(REASON))
 
+    def _sorted_if_large(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as the right side of a join that must not be broadcast if they are large.
+
+        The driver builds the hash tables that are broadcast. Catalyst chooses by a share of the compressed files, of
+        which they can be a hundredfold; so the rows and their text are measured, against the limit of the session.
+        """
+        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if isinstance(f.dataType, T.StringType)]
+        n, length = rows.agg(F.count(F.lit(1)), F.sum(reduce(lambda a, b: a + b, text, F.lit(0).cast("long")))).first()
+        # A hash table holds a row as key and as value, and a null-safe key tells of every column whether it is null.
+        size = n * (HASH_BYTES + 3 * 8 * len(rows.columns)) + 2 * (length or 0)
+        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return rows.hint("merge") if size > limit else rows
+
     def _missing_columns(self, spec: TableSpec, path: str) -> tuple[str, ...]:
         where = self._path(path)
         if not where.getFileSystem(self._conf()).exists(where):

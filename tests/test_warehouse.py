@@ -1,6 +1,7 @@
 import threading
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from mixloom.sources import staging
 from mixloom.sources.schemas import TABLES
@@ -112,3 +113,27 @@ def test_a_batch_without_new_keys_stages_its_rows_once_and_commits_nothing(spark
     again = house.ingest(str(batch), ["category", "product"])
     assert [(x.inserted, x.present, x.duplicate) for x in again] == [(0, 2, 1), (0, 2, 0)]
     assert len(staging._STAGED) - staged == 2 and all("_quarantine" in c for c in commits)
+
+
+def test_keys_are_sorted_where_their_hash_table_is_large_though_their_files_are_small(spark, tmp_path, monkeypatch):
+    # 20,000 categories: some 50 KB of key by the size of the file, 2 MB as a hash table on the driver.
+    folder = tmp_path / "one"
+    put(folder, "category", "category_id,category_name\n" + "".join(f"C{i},Same\n" for i in range(20_000)))
+    put(folder, "channel", "channel_id,channel_name\nW,web\n")
+    lines = "".join(f"P{i},C{i},A,Same\n" for i in range(100)) + "".join(f"Q{i},X{i},A,Same\n" for i in range(5_000))
+    put(folder, "product", "product_id,category_id,brand,sku_name\n" + lines)
+    joined, join = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, *a, **k: (joined.append(join(self, *a, **k)), joined[-1])[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "600KB")
+    try:
+        house = Warehouse(spark, str(tmp_path / "house"))
+        for run in (1, 2):
+            got = {x.table: x for x in house.ingest(str(folder), ["category", "channel", "product"])}
+            assert (got["product"].inserted, got["product"].present) == ((100, 0) if run == 1 else (0, 100))
+            assert got["product"].quarantined == {"orphan:category_id": 5_000}
+        assert house.quarantine("product").count() == 5_000 and house.table("category").count() == 20_000
+        plans = [j._jdf.queryExecution().executedPlan().toString() for j in joined]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Parents of products (twice), loaded categories, rejected products; channels and loaded products are small.
+    assert sum("SortMergeJoin" in p for p in plans) == 4 and sum("BroadcastHashJoin" in p for p in plans) == 2
